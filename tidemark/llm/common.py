@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +15,10 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 def tune(spark: SparkSession, rows: int = 256) -> None:
     """Small Arrow batches: texts differ in length by five orders of magnitude, and a Python worker holds one batch."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    # workers must find this package even if the driver runs from another folder
+    root, env = str(Path(__file__).parents[2]), spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [root, env.get("PYTHONPATH", "")]))
 
 
 def ensure_shared_dir(spark: SparkSession) -> None:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import html_text, language, licenses, packing, sharding, transport, warc
+from tidemark.llm import benchmark, html_text, language, licenses, ngrams, packing, sharding, transport, warc
 from tidemark.llm.tables import table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -21,6 +21,14 @@ def op2_diagonal_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op3_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngrams.score(table(spark, sf_dir, "documents"))
+
+
+def op4_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return benchmark.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_transport_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transport.media_column(table(spark, sf_dir, "documents"))
 
@@ -42,7 +50,10 @@ def op10_chunked_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_sampled_splitters, op2_diagonal_licenses, op5_transport_streams, op6_main_text, op8_language, op9_vector_packing, op10_chunked_warc)
+    own = (
+        op1_sampled_splitters, op2_diagonal_licenses, op3_deleted_interpolation, op4_benchmark_leaks, op5_transport_streams, op6_main_text,
+        op8_language, op9_vector_packing, op10_chunked_warc,
+    )
     return {f.__name__: f for f in own}
 
 
@@ -53,7 +64,8 @@ WITH p AS (
 ), h AS (
   SELECT page_id, octet_length(payload) AS payload_bytes, sha1(payload) AS hex FROM p
 ), b AS (
-  SELECT *, array_to_string(list_transform(range(1, 41), i -> (ascii(substr(hex, i::INT, 1)) - CASE WHEN substr(hex, i::INT, 1) < 'a' THEN 48 ELSE 87 END)::UTINYINT::BIT::VARCHAR[5:8]), '') AS bits FROM h
+  SELECT *, array_to_string(list_transform(range(1, 41), i -> substr('0000000100100011010001010110011110001001101010111100110111101111',
+    (4 * (position(substr(hex, i::INT, 1) IN '0123456789abcdef') - 1) + 1)::INT, 4)), '') AS bits FROM h
 )
 SELECT page_id, payload_bytes,
   array_to_string(list_transform(range(0, 32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',

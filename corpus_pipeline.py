@@ -1,28 +1,62 @@
-"""The corpus pipeline: language ID, near-duplicates, decontamination, packing."""
+"""The corpus pipeline: language ID, near-duplicates, decontamination, packing.
+
+Each stage works on all that its predecessor kept; the first three return the columns of documents, the last one the
+pieces of packed sequences.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import language
+from tidemark.llm import benchmark, language, near_dups, packing
+from tidemark.llm.common import stored
+from tidemark.llm.queries import TOKENIZER
+from tidemark.llm.tables import table
 
-COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+#: No SQL: fitted weights, locality-sensitive hashing and a tokenizer decide; tests hold stages against brute force.
 ORACLE_SQL = None
 
 
+def _rows_in(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    return docs.join(ids.select(F.col("doc_id").alias("wanted")).distinct(), F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi")
+
+
 def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told; those without a letter go."""
+    """Documents whose language can be told: null texts and texts without a letter go."""
     found = language.identify(docs)
-    return docs.join(found.filter(found.lang_pred != language.UNKNOWN).select("doc_id").distinct(), "doc_id", "left_semi")
+    return _rows_in(docs, found.filter(F.col("lang_pred") != language.UNKNOWN))
+
+
+def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates: the one with the smallest identifier."""
+    return _rows_in(docs, stored(near_dups.near_duplicates(docs).filter("kept")))
+
+
+def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of a benchmark item."""
+    leaked = benchmark.leaks(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("leaked")).distinct()
+    return docs.join(leaked, F.col("doc_id").eqNullSafe(F.col("leaked")), "left_anti")
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sequences of at most 2048 tokens."""
+    return packing.pack(docs, TOKENIZER)
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [("language", keep_known_language)]
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("language", keep_known_language),
+    ("near-duplicates", keep_one_of_near_duplicates),
+    ("decontamination", drop_benchmark_leaks),
+    ("packing", pack_sequences),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    """All stages over documents, each stage's rows written before the next one reads them."""
+    docs = table(spark, sf_dir, "documents")
+    for _, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

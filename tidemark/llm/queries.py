@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import benchmark, html_text, language, licenses, ngrams, packing, sharding, transport, warc
+from tidemark.llm import benchmark, html_text, language, licenses, near_dups, ngrams, packing, sharding, transport, warc
 from tidemark.llm.tables import table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -37,6 +37,10 @@ def op6_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.main_text(table(spark, sf_dir, "pages"))
 
 
+def op7_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dups.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
@@ -52,7 +56,7 @@ def op10_chunked_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (
         op1_sampled_splitters, op2_diagonal_licenses, op3_deleted_interpolation, op4_benchmark_leaks, op5_transport_streams, op6_main_text,
-        op8_language, op9_vector_packing, op10_chunked_warc,
+        op7_lsh_forest, op8_language, op9_vector_packing, op10_chunked_warc,
     )
     return {f.__name__: f for f in own}
 
@@ -64,11 +68,11 @@ WITH p AS (
 ), h AS (
   SELECT page_id, octet_length(payload) AS payload_bytes, sha1(payload) AS hex FROM p
 ), b AS (
-  SELECT *, array_to_string(list_transform(range(1, 41), i -> substr('0000000100100011010001010110011110001001101010111100110111101111',
+  SELECT *, array_to_string(list_transform(range(1, 41), lambda i: substr('0000000100100011010001010110011110001001101010111100110111101111',
     (4 * (position(substr(hex, i::INT, 1) IN '0123456789abcdef') - 1) + 1)::INT, 4)), '') AS bits FROM h
 )
 SELECT page_id, payload_bytes,
-  array_to_string(list_transform(range(0, 32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+  array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
     (1 + 16 * substr(bits, (5 * i + 1)::INT, 1)::INT + 8 * substr(bits, (5 * i + 2)::INT, 1)::INT + 4 * substr(bits, (5 * i + 3)::INT, 1)::INT
        + 2 * substr(bits, (5 * i + 4)::INT, 1)::INT + substr(bits, (5 * i + 5)::INT, 1)::INT)::INT, 1)), '') AS payload_digest,
   CASE WHEN page_id = min(page_id) OVER w THEN 'response' ELSE 'revisit' END AS record_type,
@@ -77,5 +81,29 @@ FROM b WINDOW w AS (PARTITION BY hex, payload_bytes)
 """
 
 
+#: Shingles as strings, pairs by a common shingle, components by a recursive walk.
+OP7_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents
+), s AS (
+  SELECT doc_id, CASE WHEN len(words) = 0 THEN [] ELSE list_distinct(list_transform(range(1, greatest(len(words) - 4, 1) + 1), lambda i: array_to_string(words[i:i + 4], chr(10)))) END AS shingles FROM w
+), n AS (
+  SELECT doc_id, len(shingles) AS n_shingles FROM s
+), e AS (
+  SELECT doc_id, unnest(shingles) AS shingle FROM s
+), p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM e a JOIN e b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY 1, 2
+), l AS (
+  SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * common >= 75 * (x.n_shingles + y.n_shingles - common)
+), g AS (
+  SELECT a, b FROM l UNION ALL SELECT b, a FROM l
+), r AS (
+  SELECT doc_id AS node, doc_id AS reached FROM n UNION SELECT r.node, g.b FROM r JOIN g ON r.reached = g.a
+)
+SELECT n.doc_id, n.n_shingles::BIGINT AS n_shingles, min(r.reached) AS component_id, n.doc_id = min(r.reached) AS kept
+FROM n JOIN r ON r.node = n.doc_id GROUP BY n.doc_id, n.n_shingles
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op10_chunked_warc": OP10_SQL}
+    return {"op7_lsh_forest": OP7_SQL, "op10_chunked_warc": OP10_SQL}

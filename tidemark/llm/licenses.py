@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import ascii_lower
 
 K = 4
+#: Words of a template at most.
+MOST_WORDS = 128
 #: Diagonals at most so far apart belong to one span.
 DIAGONAL_GAP = 3
 #: A span's likeness to its template, 1 - edit distance / longer length, is at least this.
@@ -75,48 +77,52 @@ def _grams(words: Column) -> Column:
     return F.when(F.size(words) >= K, F.transform(at, lambda i: F.xxhash64(*[F.get(words, i + n) for n in range(K)])))
 
 
-def template_positions(spark, templates=TEMPLATES) -> DataFrame:
-    """One row per k-gram of a template; its size depends on the templates alone."""
+def _templates(spark, templates) -> DataFrame:
+    """A row a template; its size depends on the templates alone."""
+    if any(not K <= len(text.split(" ")) <= MOST_WORDS for _, text in templates):
+        raise ValueError(f"a template has {K} to {MOST_WORDS} words")
     rows = [F.struct(F.lit(n).alias("t_id"), F.lit(label).alias("t_label"), F.lit(text).alias("t_text")) for n, (label, text) in enumerate(templates)]
-    return (
-        spark.range(0, 1, 1, 1)
-        .select(F.inline(F.array(*rows)))
-        .withColumn("t_words", F.split("t_text", " ", -1))
-        .select("t_id", "t_label", "t_text", F.size("t_words").alias("t_n"), F.posexplode(_grams(F.col("t_words"))).alias("t_pos", "gram"))
-    )
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*rows))).withColumn("t_words", F.split("t_text", " ", -1)).withColumn("t_n", F.size("t_words"))
 
 
 def license_spans(docs: DataFrame, templates=TEMPLATES) -> DataFrame:
-    """Verified spans: doc_id, text_hash, label, first_word, last_word, likeness, coverage.
+    """Verified spans: doc_id, id_hash, text_hash, label, first_word, last_word, likeness, coverage.
 
     docs has doc_id and text; other columns are ignored. Rows with the same id and text give the same spans once.
-    Null or empty texts have none. Nothing but hits is shuffled.
+    Null or empty texts have none. Nothing but hits is shuffled, once, by document.
     """
-    key = ["doc_id", "text_hash"]
-    grams = docs.select(F.col("doc_id"), F.xxhash64("text").alias("text_hash"), words_of(F.col("text")).alias("words")).select(
+    key = ["doc_id", "id_hash", "text_hash"]
+    known = _templates(docs.sparkSession, templates)
+    grams = docs.select("doc_id", F.xxhash64("doc_id").alias("id_hash"), F.xxhash64("text").alias("text_hash"), words_of(F.col("text")).alias("words")).select(
         *key, "words", F.posexplode(_grams(F.col("words"))).alias("pos", "gram")
     )
+    positions = known.select("t_id", "t_n", F.posexplode(_grams(F.col("t_words"))).alias("t_pos", "gram"))
     start = F.greatest(F.col("pos") - F.col("t_pos"), F.lit(0))
-    hits = grams.join(F.broadcast(template_positions(docs.sparkSession, templates)), "gram").select(
-        *key, "t_id", "t_label", "t_text", "t_n", "t_pos", "pos", (F.col("pos") - F.col("t_pos")).alias("diagonal"),
-        F.array_join(F.slice("words", start + 1, F.col("t_n")), " ").alias("span_text"),
-    )
-    # span_text follows from the diagonal, so max() only picks the common value
-    votes = hits.groupBy(*key, "t_id", "t_label", "t_text", "t_n", "diagonal").agg(
-        F.countDistinct("t_pos").alias("votes"), F.max("span_text").alias("span_text")
+    # on a diagonal each position of the template is one bit
+    bits = [F.when(F.floor(F.col("t_pos") / 64) == n, F.call_function("shiftleft", F.lit(1).cast("long"), F.col("t_pos") % 64)).otherwise(F.lit(0).cast("long")).alias(f"bits{n}") for n in range(2)]
+    hits = grams.join(F.broadcast(positions), "gram").select(
+        *key, "t_id", (F.col("pos") - F.col("t_pos")).alias("diagonal"), *bits, F.array_join(F.slice("words", start + 1, F.col("t_n")), " ").alias("span_text")
+    )
+    votes = (
+        hits.repartition("id_hash", "text_hash")
+        .groupBy(*key, "t_id", "diagonal")
+        # span_text follows from the diagonal, so max() only picks the common value
+        .agg(F.bit_or("bits0").alias("bits0"), F.bit_or("bits1").alias("bits1"), F.max("span_text").alias("span_text"))
+        .withColumn("votes", F.bit_count("bits0") + F.bit_count("bits1"))
     )
     near = W.partitionBy(*key, "t_id").orderBy("diagonal")
     merged = (
         votes.withColumn("apart", F.coalesce((F.col("diagonal") - F.lag("diagonal").over(near) > DIAGONAL_GAP).cast("int"), F.lit(0)))
         .withColumn("island", F.sum("apart").over(near))
-        .groupBy(*key, "t_id", "t_label", "t_text", "t_n", "island")
+        .groupBy(*key, "t_id", "island")
         .agg(F.sum("votes").alias("votes"), F.max_by(F.struct("diagonal", "span_text"), F.struct("votes", F.negate("diagonal"))).alias("best"))
+        .join(F.broadcast(known.select("t_id", "t_label", "t_text", "t_n")), "t_id")
+        .withColumn("coverage", F.least(F.lit(1.0), F.col("votes") / (F.col("t_n") - (K - 1))))
+        .filter(F.col("coverage") >= MIN_COVERAGE)
     )
     likeness = 1 - F.levenshtein("best.span_text", "t_text") / F.greatest(F.length("best.span_text"), F.length("t_text"))
     return (
-        merged.withColumn("coverage", F.least(F.lit(1.0), F.col("votes") / (F.col("t_n") - (K - 1))))
-        .filter(F.col("coverage") >= MIN_COVERAGE)
-        .withColumn("likeness", likeness)
+        merged.withColumn("likeness", likeness)
         .filter(F.col("likeness") >= MIN_LIKENESS)
         .select(
             *key, F.col("t_label").alias("label"), F.greatest(F.col("best.diagonal"), F.lit(0)).cast("long").alias("first_word"),
@@ -133,22 +139,21 @@ def scan(docs: DataFrame) -> DataFrame:
     """
     spans = (
         license_spans(docs)
-        .groupBy("doc_id", "text_hash")
+        .groupBy("id_hash", "text_hash")
         .agg(F.collect_set("label").alias("found"), F.max("likeness").alias("best"))
-        .select(F.col("doc_id").alias("s_id"), F.col("text_hash").alias("s_hash"), "found", "best")
     )
-    base = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), _plain(F.col("text")).alias("plain"))
+    base = docs.select("doc_id", F.xxhash64("doc_id").alias("id_hash"), F.xxhash64("text").alias("text_hash"), _plain(F.col("text")).alias("plain"))
     base = base.withColumn("words", F.array_remove(F.split("plain", " ", -1), "")).select(
-        "doc_id", "text_hash", F.size("words").cast("long").alias("n_words"),
+        "doc_id", "id_hash", "text_hash", F.size("words").cast("long").alias("n_words"),
         *[_places(F.col("plain"), F.col("words"), phrase).alias(f"p{n}") for n, (phrase, _) in enumerate(PHRASES)],
     )
     places = F.concat(*[F.col(f"p{n}") for n in range(len(PHRASES))])
     named = F.array_compact(F.array(*[F.when(F.size(f"p{n}") > 0, label) for n, (_, label) in enumerate(PHRASES)]))
     base = base.select(
-        "doc_id", "text_hash", "n_words", F.size(places).cast("long").alias("n_base"),
+        "doc_id", "id_hash", "text_hash", "n_words", F.size(places).cast("long").alias("n_base"),
         F.array_min(places).cast("long").alias("first_word"), F.array_max(places).cast("long").alias("last_word"), named.alias("named"),
     )
-    out = base.join(spans, base.doc_id.eqNullSafe(spans.s_id) & (base.text_hash == spans.s_hash), "left")
+    out = base.join(spans, ["id_hash", "text_hash"], "left")
     every = F.array_union("named", F.coalesce("found", F.array().cast("array<string>")))
     return out.select(
         "doc_id", "n_words", "n_base", "first_word", "last_word",

@@ -6,10 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.plans import scoring, streams, watching
+from tidemark.plans.base import ORACLES, QUERIES
+
+__all__ = ["queries", "oracle_sql", "scoring", "streams", "watching"]
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLES)

@@ -115,7 +115,10 @@ def license_spans(docs: DataFrame, templates=TEMPLATES) -> DataFrame:
         votes.withColumn("apart", F.coalesce((F.col("diagonal") - F.lag("diagonal").over(near) > DIAGONAL_GAP).cast("int"), F.lit(0)))
         .withColumn("island", F.sum("apart").over(near))
         .groupBy(*key, "t_id", "island")
-        .agg(F.sum("votes").alias("votes"), F.max_by(F.struct("diagonal", "span_text"), F.struct("votes", F.negate("diagonal"))).alias("best"))
+        .agg(
+            F.sum("votes").alias("votes"), F.min("diagonal").alias("low"), F.max("diagonal").alias("high"),
+            F.max_by(F.struct("diagonal", "span_text"), F.struct("votes", F.negate("diagonal"))).alias("best"),
+        )
         .join(F.broadcast(known.select("t_id", "t_label", "t_text", "t_n")), "t_id")
         .withColumn("coverage", F.least(F.lit(1.0), F.col("votes") / (F.col("t_n") - (K - 1))))
         .filter(F.col("coverage") >= MIN_COVERAGE)
@@ -125,8 +128,8 @@ def license_spans(docs: DataFrame, templates=TEMPLATES) -> DataFrame:
         merged.withColumn("likeness", likeness)
         .filter(F.col("likeness") >= MIN_LIKENESS)
         .select(
-            *key, F.col("t_label").alias("label"), F.greatest(F.col("best.diagonal"), F.lit(0)).cast("long").alias("first_word"),
-            (F.col("best.diagonal") + F.col("t_n") - 1).cast("long").alias("last_word"), "likeness", "coverage",
+            *key, F.col("t_label").alias("label"), F.greatest(F.col("low"), F.lit(0)).cast("long").alias("first_word"),
+            (F.col("high") + F.col("t_n") - 1).cast("long").alias("last_word"), "likeness", "coverage",
         )
     )
 

@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-CORPUS = T.StructType.fromDDL(
+CORPUS = (
     "title string, summary string, url string, published string, author string, source_id string, track string, tier int, url_canonical string, first_observed_at string,"
     " is_new boolean, backfill boolean, author_kind string, entity_hits array<string>, entity_types array<string>, candidates array<string>"
 )
@@ -19,11 +18,10 @@ def read_corpus(spark: SparkSession, vault: str, strict: bool = False) -> DataFr
 
     A malformed line ends a strict read, else it is dropped; blank lines are skipped.
     """
-    options = {"mode": "FAILFAST"} if strict else {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}
-    schema = CORPUS if strict else T.StructType([*CORPUS.fields, T.StructField("_bad", T.StringType())])
-    rows = spark.read.schema(schema).options(**options).json(f"{vault}/_corpus/*/*.jsonl").withColumn("file", F.col("_metadata.file_path"))
-    if not strict:
-        rows = rows.filter(F.col("_bad").isNull()).drop("_bad")
+    lines = spark.read.text(f"{vault}/_corpus/*/*.jsonl").select("value", F.col("_metadata.file_path").alias("file")).filter(F.trim("value") != "")
+    mode = {"mode": "FAILFAST"} if strict else {"columnNameOfCorruptRecord": "_bad"}
+    parsed = lines.select("file", F.from_json("value", CORPUS if strict else f"{CORPUS}, _bad string", mode).alias("r")).select("r.*", "file")
+    rows = parsed if strict else parsed.filter("_bad is null").drop("_bad")
     day = F.try_to_timestamp(F.regexp_extract("file", _DAY, 1), F.lit("yyyy-MM-dd"))
     return rows.withColumn("day", F.to_date(day)).filter("day is not null")
 

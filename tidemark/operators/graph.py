@@ -16,6 +16,11 @@ def _cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def _mark(edges: DataFrame) -> tuple:
+    """Number of distinct edges and the sum of their hashes: whether a round has changed anything, without a shuffle of them."""
+    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+
+
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, root) for each node of edges (a, b): root is the smallest node that can be reached.
 
@@ -24,16 +29,18 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     loops are ignored: a node with loops alone isn't returned.
     """
     now = _cut(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("a is not null and b is not null and a <> b").distinct())
+    seen = _mark(now)
     for _ in range(max_rounds):
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u")
-        after = _cut(small.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v"))).distinct())
-        if now.count() == after.count() and now.exceptAll(after).isEmpty():
+        now = _cut(small.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v"))).distinct())
+        after = _mark(now)
+        if after == seen:
             break
-        now = after
+        seen = after
     else:
         raise RuntimeError("components didn't settle")
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())

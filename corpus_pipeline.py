@@ -20,25 +20,36 @@ from tidemark.llm.tables import table
 ORACLE_SQL = None
 
 
-def _rows_in(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    return docs.join(ids.select(F.col("doc_id").alias("wanted")).distinct(), F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi")
+#: Rejected identifiers up to so many are broadcast (8 bytes each), so that texts aren't shuffled; beyond it they are joined.
+BROADCAST_ROWS = 1_000_000
+
+
+def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
+    """docs without the rejected identifiers (doc_id); a null identifier is a value like any other."""
+    ids = stored(rejected.select(F.col("doc_id").alias("rejected_id")).distinct())
+    if ids.count() <= BROADCAST_ROWS:
+        ids = F.broadcast(ids)
+    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("rejected_id")), "left_anti")
 
 
 def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told: null texts and texts without a letter go."""
+    """Documents whose language can be told: null texts and texts without a letter go.
+
+    An identifier that repeats goes if its language can't be told in any of its rows.
+    """
     found = language.identify(docs)
-    return _rows_in(docs, found.filter(F.col("lang_pred") != language.UNKNOWN))
+    return _without(docs, found.groupBy("doc_id").agg(F.bool_or(F.col("lang_pred") != language.UNKNOWN).alias("known")).filter("not known"))
 
 
 def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: the one with the smallest identifier."""
-    return _rows_in(docs, stored(near_dups.near_duplicates(docs).filter("kept")))
+    found = near_dups.near_duplicates(docs)
+    return _without(docs, found.groupBy("doc_id").agg(F.bool_or("kept").alias("kept")).filter("not kept"))
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of a benchmark item."""
-    leaked = benchmark.leaks(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("leaked")).distinct()
-    return docs.join(leaked, F.col("doc_id").eqNullSafe(F.col("leaked")), "left_anti")
+    return _without(docs, benchmark.leaks(docs, table(spark, sf_dir, "benchmark")))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

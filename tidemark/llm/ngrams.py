@@ -23,10 +23,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import stored, tune
+from tidemark.llm.common import release, stored, tune
 
 #: Tokens from which a block is closed; one document of any length is in one block.
-BLOCK_TOKENS = 400_000
+BLOCK_TOKENS = 1_500_000
 #: Items that a bucket of hashes has at most, on average.
 BUCKET_ITEMS = 3_000_000
 #: Kinds of documents: counted at once, counted after the weights are learned on them, scored only.
@@ -137,9 +137,9 @@ REQUEST_SCHEMA = "bucket int, block long, kind int, words binary, word_counts bi
 REQUESTS = pa.schema(
     [("bucket", pa.int32()), ("block", pa.int64()), ("kind", pa.int32()), ("words", pa.binary()), ("word_counts", pa.binary()), ("pairs", pa.binary()), ("pair_counts", pa.binary())]
 )
-ANSWER_SCHEMA = "bucket int, block long, distinct long, words binary, held_words binary, pairs binary, held_pairs binary"
+ANSWER_SCHEMA = "bucket int, block long, kind int, distinct long, words binary, held_words binary, pairs binary, held_pairs binary"
 ANSWERS = pa.schema(
-    [("bucket", pa.int32()), ("block", pa.int64()), ("distinct", pa.int64()), ("words", pa.binary()), ("held_words", pa.binary()), ("pairs", pa.binary()), ("held_pairs", pa.binary())]
+    [("bucket", pa.int32()), ("block", pa.int64()), ("kind", pa.int32()), ("distinct", pa.int64()), ("words", pa.binary()), ("held_words", pa.binary()), ("pairs", pa.binary()), ("held_pairs", pa.binary())]
 )
 
 
@@ -196,7 +196,7 @@ def answers_of(requests: DataFrame) -> DataFrame:
         rows = []
         for n, block in enumerate(r["block"]):
             found = [_press(_look_up(k[0], k[s], k[3][n]).astype(np.uint64)) for k in (words, pairs) for s in (1, 2)]
-            rows.append((r["bucket"][n], block, len(words[0]) if n == 0 else 0, *found))
+            rows.append((r["bucket"][n], block, r["kind"][n], len(words[0]) if n == 0 else 0, *found))
         return pa.table([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), ANSWERS.types, strict=True)], schema=ANSWERS)
 
     return requests.groupBy("bucket").applyInArrow(run, ANSWER_SCHEMA)
@@ -272,6 +272,7 @@ def score(docs: DataFrame) -> DataFrame:
     counted, train = totals.get(COUNTED, 0), totals.get(COUNTED, 0) + totals.get(HELD_OUT, 0)
     n_buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(sum(totals.values()) / BUCKET_ITEMS))
     answers = stored(answers_of(requests_of(blocks, n_buckets)))
+    release(spark)
     distinct = answers.agg(F.sum("distinct")).first()[0] or 0
     uniform = 1 / (distinct + 1)
 
@@ -286,8 +287,7 @@ def score(docs: DataFrame) -> DataFrame:
         return pa.table([*(pa.array(cells[:, c]) for c in range(3)), pa.array(n)], schema=HISTOGRAM)
 
     held = blocks.filter(F.col("kind") == HELD_OUT)
-    asked = answers.join(held.select("block"), "block", "left_semi")
-    cells = held.groupBy("block").cogroup(asked.groupBy("block")).applyInArrow(histogram, "bucket long, p2 long, p1 long, n long")
+    cells = held.groupBy("block").cogroup(answers.filter(F.col("kind") == HELD_OUT).groupBy("block")).applyInArrow(histogram, "bucket long, p2 long, p1 long, n long")
     # at most CONTEXTS times the square of FINE * 64 rows
     weights = learn_weights([tuple(r) for r in cells.groupBy("bucket", "p2", "p1").agg(F.sum("n").alias("n")).orderBy("bucket", "p2", "p1").collect()], uniform)
 

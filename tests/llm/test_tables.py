@@ -134,7 +134,8 @@ def _check_packing(pieces, texts, limits=packing.LIMITS):
 
 
 def test_packing(spark, small):
-    _check_packing([r for r in packing.pack(documents(spark), TOKENIZER).collect() if r.doc_id not in (6, None)], {i: t for i, t, *_ in EDGES if i not in (6, None)})
+    rows = [(n, t, lang, s) for n, (_, t, lang, s) in enumerate(EDGES)]
+    _check_packing(packing.pack(documents(spark, rows), TOKENIZER).collect(), {i: t for i, t, *_ in rows})
     assert packing.pack(documents(spark), TOKENIZER).select("doc_id").distinct().count() == len({i for i, *_ in EDGES})
     texts = {r.doc_id: r.text for r in small.collect()}
     assert _check_packing(packing.pack(small.coalesce(1), TOKENIZER).collect(), texts) > 0.97
@@ -158,6 +159,10 @@ def test_ids_are_the_tokenizers(small):
     assert ids.by_word
     for _ in range(2):
         assert ids(texts) == [np.array(whole.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    long = " ".join(texts * 40)
+    packing.PART, part = 5_000, packing.PART
+    assert ids([long, "short"])[0] == np.array(whole.encode(long, add_special_tokens=False).ids, "<u4").tobytes()
+    packing.PART = part
     other = public_tokenizers.path("byte_bpe_50k.json")
     assert packing.Ids(other)(["plain text"]) == [np.array(Tokenizer.from_file(other).encode("plain text", add_special_tokens=False).ids, "<u4").tobytes()]
 

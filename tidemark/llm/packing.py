@@ -32,6 +32,8 @@ END_ID = 1
 POOL = 128
 #: Entries of a cache at most; a full one is emptied.
 CACHE = 600_000
+#: Characters of a text that are split into pieces at once; longer texts are taken in parts that end at a space.
+PART = 1 << 20
 
 
 def _byte_letters() -> dict[int, str]:
@@ -78,8 +80,13 @@ class Ids:
     def __call__(self, texts: list[str]) -> list[bytes]:
         if not self.by_word:
             return [np.asarray(x.ids, "<u4").tobytes() for x in self.whole.encode_batch_fast(texts, add_special_tokens=False)]
+        if any(len(t) > PART for t in texts):
+            return [b"".join(self.of_pieces([p])[0] for p in self.parts(t)) for t in texts]
+        return self.of_pieces(texts)
+
+    def of_pieces(self, texts: list[str]) -> list[bytes]:
         # str.split() also splits at U+001C-U+001F, which aren't white space to the tokenizer
-        cut = [t.split() if not any(c in t for c in "\x1c\x1d\x1e\x1f") else re.split(r"[ \n]+", t) for t in texts]
+        cut = [t.split() if not any(c in t for c in "\x1c\x1d\x1e\x1f") else re.findall(r"[^ \n]+", t) for t in texts]
         if len(self.pieces) > CACHE:
             self.pieces.clear()
         if len(self.known) > CACHE:
@@ -90,6 +97,18 @@ class Ids:
             here |= self.learn(new)
         return [b"".join(map(here.__getitem__, pieces)) for pieces in cut]
 
+    @staticmethod
+    def parts(text: str) -> Iterator[str]:
+        """Parts of at most PART characters that end at a space, or the whole rest if none is left to cut at."""
+        start = 0
+        while len(text) - start > PART:
+            end = text.rfind(" ", start, start + PART)
+            if end <= start:
+                break
+            yield text[start:end]
+            start = end
+        yield text[start:]
+
     def learn(self, pieces: list[str]) -> dict[str, bytes]:
         found: dict[str, bytes] = {}
         plain = []
@@ -99,7 +118,7 @@ class Ids:
             else:
                 found[p] = np.asarray(self.whole.encode(p, add_special_tokens=False).ids, "<u4").tobytes()
         lowered = unicodedata.normalize("NFC", "\n".join(plain)).lower().split("\n")
-        words = [(w,) if w.isalpha() else (w[:-1], w[-1]) if w[-1] in ".,;:!?" and w[:-1].isalpha() else self.pattern.findall(w) for w in lowered if w]
+        words = [(w,) if w.isalpha() else (w[:-1], w[-1]) if w[-1] in ".,;:!?" and w[:-1].isalpha() else self.pattern.findall(w) for w in lowered] if plain else []
         known = self.known
         if new := [w for w in set().union(*words) if w not in known]:
             joined = " ".join(new).encode().decode("latin-1").translate(self.letters)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import gc
 import os
 import tempfile
+import time
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -40,8 +41,11 @@ def stored(df: DataFrame) -> DataFrame:
 
 def release(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of frames that nothing refers to any more; call it after stored()."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    # the first round drops Python's hold on the JVM's objects, the second finds them free
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.3)
 
 
 def ascii_lower(text: Column) -> Column:

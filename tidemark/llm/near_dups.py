@@ -7,10 +7,12 @@ DEPTH values are a region, and the values after them order the region. Candidate
    the deeper the more crowded it is, so no order is sorted in one task;
 2. each node with the hub of its region, the node that shares most regions with others; this takes one pair a node where
    thousands of copies resemble one original;
-3. what is left: where after 1 and 2 a region still holds more than one component, all its pairs between components,
-   compared in tiles, so that no link of a region is lost however crowded it is.
+3. where a region still holds more than one component, each node with the likeliest node of another component;
+4. what is left: in regions that even then hold more than one component, each node of a smaller one against the whole of a
+   larger one, if the signatures of any pair agree enough. Components are dealt in tiles that hold their nodes' sets, and
+   a node gives one link a tile at most. So no link of a region is lost however crowded it is, and no pairs are written.
 
-A screen by signatures comes before the exact confirmation; it has four standard deviations of room.
+A screen by signatures comes before each exact confirmation; it has four standard deviations of room.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import stored, tune
+from tidemark.llm.common import release, stored, tune
 from tidemark.operators.graph import connected_components
 
 WORDS = 5
@@ -39,7 +41,9 @@ SCREEN = 0.75 - 4 * (0.75 * 0.25 / VALUES) ** 0.5
 #: Regions with more nodes than this are ordered by more values.
 CROWDED = 64
 NEIGHBOURS = 2
-TILE = 128
+TILE = 256
+#: Nodes that are held against a tile in one group.
+ASKING = 2048
 #: Nodes whose sets are needed are broadcast up to this many rows (16 bytes each); beyond it they are joined by a shuffle.
 BROADCAST_ROWS = 400_000
 
@@ -154,17 +158,16 @@ def screened(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return both.select("a", "b", "star", "s", "t").mapInArrow(run, "a long, b long, star boolean, likeness double")
 
 
-def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (a, b) that are links by their whole sets. Texts are read again, for the nodes in pairs only."""
-    needed = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    needed = stored(nodes.select("node", "doc_id", "text_hash").join(needed, "node", "left_semi"))
+def node_sets(members: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(node, shingles) of the nodes that share a region with another. Their texts are read again, no others' sets kept."""
+    needed = stored(nodes.select("node", "doc_id", "text_hash").join(members.select("node").distinct(), "node", "left_semi"))
     asked = needed.select("node", F.col("doc_id").alias("n_id"), F.col("text_hash").alias("n_hash"))
     if needed.count() <= BROADCAST_ROWS:
         asked = F.broadcast(asked)
     texts = _texts(docs)
     found = texts.join(asked, (texts.text_hash == asked.n_hash) & texts.doc_id.eqNullSafe(asked.n_id)).select("node", "text")
 
-    def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _Hashes()
         for batch in batches:
             sets = [shingles(t.as_buffer().to_pybytes(), hashes).tobytes() for t in batch.column(1)]
@@ -172,19 +175,27 @@ def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
             if len(hashes) > 500_000:
                 hashes.clear()
 
-    sets = stored(found.mapInArrow(sets_of, "node long, shingles binary"))
+    return stored(found.mapInArrow(run, "node long, shingles binary"))
+
+
+def _linked(s: np.ndarray, t: np.ndarray) -> bool:
+    common = len(np.intersect1d(s, t, assume_unique=True))
+    return 100 * common >= SIMILARITY * (len(s) + len(t) - common)
+
+
+LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) that are links by their whole sets."""
     both = pairs.select("a", "b").join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("s")), "a").join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("t")), "b")
-    out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            links = []
-            for s, t in zip(batch.column(2), batch.column(3), strict=True):
-                s, t = np.frombuffer(s.as_buffer(), np.uint64), np.frombuffer(t.as_buffer(), np.uint64)
-                common = len(np.intersect1d(s, t, assume_unique=True))
-                links.append(100 * common >= SIMILARITY * (len(s) + len(t) - common))
-            yield pa.record_batch([batch.column(0), batch.column(1)], schema=out).filter(pa.array(links, pa.bool_()))
+            links = [_linked(np.frombuffer(s.as_buffer(), np.uint64), np.frombuffer(t.as_buffer(), np.uint64)) for s, t in zip(batch.column(2), batch.column(3), strict=True)]
+            yield pa.record_batch([batch.column(0), batch.column(1)], schema=LINKS).filter(pa.array(links, pa.bool_()))
 
+    # a row that repeats has its set twice
     return stored(both.select("a", "b", "s", "t").mapInArrow(run, "a long, b long").distinct())
 
 
@@ -219,63 +230,119 @@ def best_of(pairs: DataFrame) -> DataFrame:
     return best.select("best.a", "best.b").distinct()
 
 
-def remaining_candidates(members: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFrame:
-    """Distinct screened pairs (a, b) of one region and different components."""
-    placed = members.join(roots.withColumnRenamed("root", "r"), "node", "left").withColumn("root", F.coalesce("r", "node"))
+def tiles_of(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """members of regions with more than one component, each in the tiles (i, j) of its region that it takes part in.
+
+    A region of up to TILE nodes is one tile; a larger one is dealt to tiles of about that size, and a group is two of
+    them at most.
+    """
+    sizes = roots.groupBy("root").agg(F.count("*").alias("size"))
+    known = roots.join(sizes, "root").withColumnRenamed("root", "r")
+    placed = members.join(known, "node", "left").withColumns({"root": F.coalesce("r", "node"), "size": F.coalesce("size", F.lit(1))}).drop("r")
     mixed = placed.groupBy("region").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("region")
-    tiles = F.ceil(F.col("n") / TILE)
-    rest = placed.join(mixed, "region").withColumn("tiles", tiles).withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("long"))
-    # each tile meets itself and every other tile once: a group is two tiles at most
-    rest = rest.select("region", "node", "root", "tile", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles").cast("long") - 1)).alias("other"))
-    rest = rest.select("region", "node", "root", "tile", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"))
-    rest = rest.join(nodes.select("node", "sketch"), "node").repartition("region", "i", "j").sortWithinPartitions("region", "i", "j")
-    out = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("likeness", pa.float64())])
-
-    def compare(group: list) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        node, root, tile, sketch = np.concatenate(group[0]), np.concatenate(group[1]), np.concatenate(group[2]), np.concatenate(group[3])
-        if (root == root[0]).all():
-            return
-        one_tile = (tile == tile[0]).all()
-        for k in range(len(node) - 1):
-            other = np.flatnonzero(root[k + 1 :] != root[k]) + k + 1
-            if not one_tile:
-                other = other[tile[other] != tile[k]]
+    tiles = F.ceil(F.col("n") / TILE).cast("long")
+    rest = placed.join(mixed, "region").withColumn("tile", F.pmod(F.xxhash64("node"), tiles)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), tiles - 1)))
+    return rest.select("region", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"), "node", "root", "size")
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows of equal first three columns, which stand next to each other."""
+    now, held = None, []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = np.stack([batch.column(k).to_numpy() for k in range(3)], 1)
+        cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1).tolist(), len(keys)]
+        for i, j in zip(cuts, cuts[1:], strict=False):
+            key = tuple(keys[i].tolist())
+            if key != now and held:
+                yield pa.Table.from_batches(held)
+                held = []
+            now = key
+            held.append(batch.slice(i, j - i))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _by_group(rows: DataFrame) -> DataFrame:
+    return rows.repartition("region", "i", "j").sortWithinPartitions("region", "i", "j")
+
+
+def candidates_elsewhere(rest: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Distinct screened pairs (a, b): each node with the likeliest node of its region in another component."""
+
+    def compare(t: pa.Table) -> Iterator[tuple]:
+        node, root, sketch = t["node"].to_numpy(), t["root"].to_numpy(), _matrix(t["sketch"])
+        for k in range(len(node)):
+            other = np.flatnonzero(root != root[k])
             if len(other):
                 like = agreement(sketch[other], sketch[k : k + 1])
-                good = like >= SCREEN
-                if good.any():
-                    b = node[other[good]]
-                    yield np.minimum(b, node[k]), np.maximum(b, node[k]), like[good]
+                best = int(like.argmax())
+                if like[best] >= SCREEN:
+                    b = int(node[other[best]])
+                    yield min(b, int(node[k])), max(b, int(node[k]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, group, found = None, ([], [], [], []), []
+        for t in _groups(batches):
+            if found := list(compare(t)):
+                yield pa.record_batch([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], schema=LINKS)
 
-        def flush() -> Iterator[pa.RecordBatch]:
-            if found:
-                yield pa.record_batch([pa.array(np.concatenate(c)) for c in zip(*found, strict=True)], schema=out)
-                found.clear()
+    with_sketch = rest.select("region", "i", "j", "node", "root").join(nodes.select("node", "sketch"), "node")
+    return _by_group(with_sketch).select("region", "i", "j", "node", "root", "sketch").mapInArrow(run, "a long, b long").distinct()
 
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            keys = np.stack([batch.column(k).to_numpy() for k in range(3)], 1)
-            cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1).tolist(), len(keys)]
-            columns = [batch.column(k).to_numpy() for k in (3, 4, 5)] + [_matrix(batch.column(6))]
-            for i, j in zip(cuts, cuts[1:], strict=False):
-                key = tuple(keys[i])
-                if key != now:
-                    if now is not None:
-                        found.extend(compare(group))
-                    now, group = key, ([], [], [], [])
-                for held, c in zip(group, columns, strict=True):
-                    held.append(c[i:j])
-            yield from flush()
-        if now is not None:
-            found.extend(compare(group))
-        yield from flush()
-
-    pairs = rest.select("region", "i", "j", "node", "root", "tile", "sketch").mapInArrow(run, "a long, b long, likeness double")
-    return pairs.groupBy("a", "b").agg(F.max("likeness").alias("likeness"))
+
+ASKS = pa.schema([("node", pa.int64()), ("root", pa.int64())])
+
+
+def asks_of(rest: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Distinct (node, root): nodes of a smaller component and a larger one that they may link with."""
+
+    def compare(t: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        node, root, size, sketch = t["node"].to_numpy(), t["root"].to_numpy(), t["size"].to_numpy(), _matrix(t["sketch"])
+        for k in range(len(node)):
+            other = np.flatnonzero((size > size[k]) | ((size == size[k]) & (root < root[k])))
+            if len(other):
+                found = np.unique(root[other[agreement(sketch[other], sketch[k : k + 1]) >= SCREEN]])
+                if len(found):
+                    yield np.full(len(found), node[k]), found
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in _groups(batches):
+            if found := list(compare(t)):
+                yield pa.record_batch([pa.array(np.concatenate(c)) for c in zip(*found, strict=True)], schema=ASKS)
+
+    with_sketch = rest.select("region", "i", "j", "node", "root", "size").join(nodes.select("node", "sketch"), "node")
+    return _by_group(with_sketch).select("region", "i", "j", "node", "root", "size", "sketch").mapInArrow(run, "node long, root long").distinct()
+
+
+def links_between(asks: DataFrame, members: DataFrame, roots: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) of each asking node with the component it asks, one a tile of the component at most."""
+    wanted = asks.groupBy("root").agg(F.ceil(F.count("*") / ASKING).cast("long").alias("rounds"))
+    placed = members.select("node").distinct().join(roots.withColumnRenamed("root", "r"), "node", "left").select("node", F.coalesce("r", "node").alias("root")).join(wanted, "root")
+    tiles = placed.groupBy("root").agg(F.ceil(F.count("*") / TILE).cast("long").alias("tiles"))
+    zero = F.lit(0).cast("long")
+    held = placed.join(tiles, "root").select("root", F.pmod(F.xxhash64("node"), "tiles").alias("i"), F.explode(F.sequence(zero, F.col("rounds") - 1)).alias("j"), F.lit(0).alias("asks"), "node")
+    asking = asks.join(wanted, "root").join(tiles, "root").select("root", F.explode(F.sequence(zero, F.col("tiles") - 1)).alias("i"), F.pmod(F.xxhash64("node"), "rounds").alias("j"), F.lit(1).alias("asks"), "node")
+    whole = nodes.select("node", "sketch").join(sets.dropDuplicates(["node"]), "node")
+    rows = held.unionByName(asking).join(whole, "node").repartition("root", "i", "j").sortWithinPartitions("root", "i", "j", "asks")
+
+    def compare(t: pa.Table) -> Iterator[tuple[int, int]]:
+        node, first = t["node"].to_numpy(), int((t["asks"].to_numpy() == 0).sum())
+        sketch = _matrix(t["sketch"])
+        own = [np.frombuffer(x.as_buffer(), np.uint64) for x in t["shingles"].combine_chunks()]
+        for k in range(first, len(node)):
+            like = agreement(sketch[:first], sketch[k : k + 1])
+            order = np.argsort(-like, kind="stable")
+            hit = next((m for m in order[like[order] >= SCREEN].tolist() if _linked(own[k], own[m])), None)
+            if hit is not None:
+                yield min(int(node[k]), int(node[hit])), max(int(node[k]), int(node[hit]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in _groups(batches):
+            if found := list(compare(t)):
+                yield pa.record_batch([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], schema=LINKS)
+
+    return rows.select("root", "i", "j", "asks", "node", "sketch", "shingles").mapInArrow(run, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -294,13 +361,25 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     nodes = stored(sets.join(classes.select("node"), sets.row == F.col("node"), "left_semi").select(F.col("row").alias("node"), "doc_id", "text_hash", "set_key", "sketch", "regions", "labels"))
     keys = nodes.select("node", F.inline(F.arrays_zip("regions", "labels"))).select("node", F.col("regions").alias("region"), F.col("labels").alias("label"))
     crowds = keys.groupBy("region").agg(F.count("*").alias("n")).filter("n > 1")
-    members = stored(keys.join(crowds, "region"))
-    first = stored(screened(first_candidates(members), nodes))
-    links = confirmed(best_of(first).unionByName(best_of(first.filter("star"))).distinct(), nodes, docs)
-    roots = stored(connected_components(links))
-    rest = stored(remaining_candidates(members, nodes, roots))
-    more = confirmed(rest, nodes, docs)
-    roots = connected_components(links.unionByName(more))
+    # each step's shuffle files go once its result is stored
+    def kept(df: DataFrame) -> DataFrame:
+        out = stored(df)
+        del df
+        release(docs.sparkSession)
+        return out
+
+    def ties(roots: DataFrame) -> DataFrame:
+        return roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+
+    members = kept(keys.join(crowds, "region"))
+    own_sets = node_sets(members, nodes, docs)
+    first = kept(screened(first_candidates(members), nodes))
+    roots = kept(connected_components(confirmed(best_of(first).unionByName(best_of(first.filter("star"))).distinct(), own_sets)))
+    more = confirmed(candidates_elsewhere(tiles_of(members, roots), nodes), own_sets)
+    roots = kept(connected_components(ties(roots).unionByName(more)))
+    asks = kept(asks_of(tiles_of(members, roots), nodes))
+    last = kept(links_between(asks, members, roots, nodes, own_sets))
+    roots = kept(connected_components(ties(roots).unionByName(last)))
     named = classes.join(roots, "node", "left").select("set_key", "least_id", F.coalesce("root", "node").alias("root"))
     least = named.groupBy("root").agg(F.min("least_id").alias("component"))
     named = named.join(least, "root").select("set_key", "component")

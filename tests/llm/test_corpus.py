@@ -127,6 +127,21 @@ def test_leaks_are_found_up_to_the_allowed_edits(spark, small):
     assert found >= 0.97 * tries
 
 
+@pytest.mark.parametrize("kind", ["delete", "insert", "substitute"])
+@pytest.mark.parametrize("size", [1, 4, 8, 12, 16, 24, 40, 59, 120, 240])
+def test_every_leak_at_the_allowed_edits_is_found(size, kind):
+    rng = random.Random(size)
+    items = [[f"w{n}x{rng.randrange(5000)}" for _ in range(size)] for n in range(30)]
+    ready = benchmark.prepare([(n, " ".join(w).encode()) for n, w in enumerate(items)])
+    around = [f"h{n}" for n in range(50)]
+    for n, words in enumerate(items):
+        passage = list(words)
+        for at in sorted(rng.sample(range(size), size // 4), reverse=True):
+            passage[at : at + (kind != "insert")] = [] if kind == "delete" else [f"new{at}"]
+        found = {i: d for _, i, _, _, d, _ in benchmark.leaks_of(ready, [b"", " ".join(around + passage + around).encode()])}
+        assert n in found and found[n] <= size // 4
+
+
 def test_leaks_on_whole_tables(spark, small):
     items = spark.read.parquet(f"{SMALL}/benchmark.parquet")
     rows = benchmark.leaks(small, items).collect()

@@ -1,19 +1,13 @@
-"""Benchmark decontamination: random-walk embedding, bit-sampling LSH, exact edit distance.
+"""Benchmark decontamination: q-gram test by diagonals, exact edit distance.
 
-A window and an item are sequences of words. The CGK embedding walks through a sequence: at each step it writes the word
-under the pointer, and a random function of step and word says whether the pointer moves on. Sequences at a small edit
-distance fall into step again soon, so their walks differ in few places (Hamming distance). Locality-sensitive hashing
-samples places of the walk; repeated walks reach the wished recall. Windows that share a sample with an item of their
-size are candidates, and the exact edit distance decides.
-
-Windows aren't taken blindly: within k edits of an item of n words, a passage has at least n + 1 - q * (k + 1) of the
-item's word q-grams (the q-gram lemma), near the diagonal where it lies. Only windows there are embedded; no window that
-could pass is left out by this test.
+A text and an item are sequences of words. Within k edits of an item of n words, a passage has at least
+n + 1 - q * (k + 1) of the item's word q-grams (the q-gram lemma), on diagonals that differ by at most k. The exact edit
+distance is computed wherever a text has so many, so that no passage is left out, however long the item is and of
+whatever kind its edits are.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,45 +20,11 @@ from tidemark.llm.common import tune
 
 #: A passage is a leak if 1 - edit distance / item's words is at least this.
 SIMILARITY = 0.75
-#: Places of a walk in one sample.
-SAMPLED = 3
-#: Recall that repeated walks reach for windows of which this part of the walk differs.
-RECALL, DIFFERING = 0.995, 0.45
 #: Benchmark items are broadcast in blocks of at most so many bytes; each block is held against all documents.
 BLOCK_BYTES = 16 << 20
 Q = 3
-#: Windows that are embedded at once.
-WINDOWS = 1 << 14
-
-
-def repeats() -> int:
-    return math.ceil(math.log(1 - RECALL) / math.log(1 - (1 - DIFFERING) ** SAMPLED))
-
-
-def mix(a: np.ndarray, salt: int) -> np.ndarray:
-    """A 64-bit hash of unsigned numbers."""
-    h = (a.astype(np.uint64) + np.uint64(salt * 0x9E3779B97F4A7C15 & (1 << 64) - 1)) * np.uint64(0xBF58476D1CE4E5B9)
-    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(31))
-
-
-def walk_samples(windows: np.ndarray, sizes: np.ndarray, repeat: int) -> np.ndarray:
-    """One hash a window: its size, and the words at the sampled places of walk number repeat.
-
-    windows: a row each, of sizes words, then zeros; at least one zero.
-    """
-    rows = len(windows)
-    sizes_u = sizes.astype(np.uint64)
-    places = np.stack([mix(sizes_u, 100 + repeat * SAMPLED + k) % (2 * sizes_u) for k in range(SAMPLED)]).astype(np.int64)
-    at, every = np.zeros(rows, np.int64), np.arange(rows)
-    out = sizes_u * np.uint64(1000) + np.uint64(repeat)
-    for step in range(int(places.max(initial=-1)) + 1):
-        word = windows[every, at]
-        sampled = np.flatnonzero((places == step).any(0))
-        if len(sampled):
-            out[sampled] = mix(out[sampled] ^ mix(word[sampled], step + 1), 3)
-        at = np.minimum(at + (mix(word, (repeat << 16) + step + 11) & np.uint64(1)).astype(np.int64), sizes)
-    return out
+#: Cells of one row of the edit-distance tables that are filled at once.
+CELLS = 1 << 18
 
 
 def _last_row(item: np.ndarray, text: np.ndarray, row: np.ndarray) -> np.ndarray:
@@ -95,8 +55,6 @@ class Items:
     sizes: np.ndarray
     edits: np.ndarray
     need: np.ndarray
-    keys: np.ndarray
-    key_items: np.ndarray
 
 
 def _codes(words: np.ndarray, q: int, base: int) -> np.ndarray:
@@ -135,13 +93,7 @@ def prepare(rows: list[tuple[int | None, bytes]]) -> Items:
         c = np.concatenate(codes)
         order = np.argsort(c, kind="stable")
         grams[q] = c[order], np.concatenate(items)[order], np.concatenate(places)[order]
-    table = np.zeros((len(words), int(sizes.max(initial=0)) + 1), np.uint64)
-    for n, w in enumerate(words):
-        table[n, : len(w)] = w
-    keys = np.concatenate([walk_samples(table, sizes, r) for r in range(repeats())])
-    key_items = np.tile(np.arange(len(words)), repeats())
-    order = np.argsort(keys, kind="stable")
-    return Items(ids, words, vocabulary, grams, sizes, edits, np.maximum(1, sizes + 1 - q_of * (edits + 1)), keys[order], key_items[order])
+    return Items(ids, words, vocabulary, grams, sizes, edits, np.maximum(1, sizes + 1 - q_of * (edits + 1)))
 
 
 def _matches(table: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -152,12 +104,13 @@ def _matches(table: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return where, np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)
 
 
-def windows_of(items: Items, words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and sizes of the windows that pass the q-gram test, in texts that follow each other with a 0 between.
+def places_of(items: Items, words: np.ndarray, first: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(item, low, high) of all places that pass the q-gram test, in texts that follow each other with a 0 between.
 
-    first: for each place in words, where its text begins.
+    first, ends: for each place in words, where its text begins and ends. A place holds every passage within the item's
+    edits that has a q-gram on its diagonals; places of an item that overlap are one.
     """
-    starts, sizes = [], []
+    out = []
     base = len(items.vocabulary) + 1
     for q, (codes, owner, place) in items.grams.items():
         found = _codes(words, q, base)
@@ -167,23 +120,55 @@ def windows_of(items: Items, words: np.ndarray, first: np.ndarray) -> tuple[np.n
         if not len(at):
             continue
         hit, row = _matches(codes, found[at])
-        item, diagonal, begin = owner[row], at[hit] - place[row], first[at[hit]]
+        item, diagonal, begin, end = owner[row], at[hit] - place[row], first[at[hit]], ends[at[hit]]
         order = np.lexsort((diagonal, item))
-        item, diagonal, begin = item[order], diagonal[order], begin[order]
+        item, diagonal, begin, end = item[order], diagonal[order], begin[order], end[order]
         # votes for the same item within its edits on either side of a diagonal
         span = len(words) + 4 * int(items.sizes.max())
         line = item * (2 * span) + diagonal + span // 2
         k = items.edits[item]
         votes = np.searchsorted(line, line + k, "right") - np.searchsorted(line, line - k)
         good = votes >= items.need[item]
-        for shift in (-1, 0, 1):
-            starts.append(np.maximum(diagonal[good] + shift, begin[good]))
-            sizes.append(items.sizes[item[good]])
-    if not starts:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    both = np.unique(np.stack([np.concatenate(starts), np.concatenate(sizes)], 1), axis=0)
-    both = both[both[:, 0] < len(words)]
-    return both[:, 0], both[:, 1]
+        item, diagonal, begin, end, k = item[good], diagonal[good], begin[good], end[good], k[good]
+        order = np.lexsort((diagonal, begin, item))
+        item, diagonal, begin, end, k = item[order], diagonal[order], begin[order], end[order], k[order]
+        low, high = np.maximum(diagonal - k, begin), np.minimum(diagonal + items.sizes[item] + k, end)
+        new = np.ones(len(item), bool)
+        new[1:] = (item[1:] != item[:-1]) | (begin[1:] != begin[:-1]) | (low[1:] > high[:-1])
+        heads = np.flatnonzero(new)
+        out.append((item[heads], low[heads], high[np.append(heads[1:], len(item))[: len(heads)] - 1]))
+    if not out:
+        none = np.zeros(0, np.int64)
+        return none, none, none
+    item, low, high = (np.concatenate(x) for x in zip(*out, strict=True))
+    return item, low, high
+
+
+def close_enough(items: Items, words: np.ndarray, item: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Which places (by index) hold a passage within the edits of their item."""
+    out = []
+    sizes, lengths = items.sizes[item], high - low
+    order = np.lexsort((lengths, sizes))
+    at = 0
+    while at < len(order):
+        size = sizes[order[at]]
+        same = int(np.searchsorted(sizes[order], size, "right"))
+        # so many places of this size that the longest, times their number, stays in the bound
+        widths = (lengths[order[at:same]] + 1) * np.arange(1, same - at + 1)
+        some = order[at : at + max(1, int(np.searchsorted(widths, CELLS, "right")))]
+        at += len(some)
+        width = int(lengths[some].max())
+        place = low[some][:, None] + np.arange(width)
+        text = np.where(place < high[some][:, None], words[np.minimum(place, len(words) - 1)], np.uint64(0)).astype(np.int32)
+        asked = np.stack([items.words[n] for n in item[some].tolist()]).astype(np.int32)
+        steps = np.arange(width + 1, dtype=np.int32)
+        row = np.zeros((len(some), width + 1), np.int32)
+        for n in range(int(size)):
+            now = row + 1
+            np.minimum(now[:, 1:], row[:, :-1] + (text != asked[:, n : n + 1]), out=now[:, 1:])
+            row = np.minimum.accumulate(now - steps, axis=1) + steps
+        out.append(some[row.min(axis=1) <= items.edits[item[some]]])
+    return np.sort(np.concatenate(out)) if out else np.zeros(0, np.int64)
 
 
 def leaks_of(items: Items, texts: list[bytes]) -> list[tuple[int, int | None, int, int, int, float]]:
@@ -195,28 +180,15 @@ def leaks_of(items: Items, texts: list[bytes]) -> list[tuple[int, int | None, in
     get = items.vocabulary.get
     for f, at in zip(found, begins.tolist(), strict=True):
         words[at : at + len(f)] = [get(w, 0) for w in f]
-    first = np.repeat(begins, lengths + 1)
-    starts, sizes = windows_of(items, words, first)
-    if not len(starts):
-        return []
-    ends = (begins + lengths)[np.searchsorted(begins, starts, "right") - 1]
-    pairs = set()
-    for at in range(0, len(starts), WINDOWS):
-        own, n, end = starts[at : at + WINDOWS], sizes[at : at + WINDOWS], ends[at : at + WINDOWS]
-        place = own[:, None] + np.arange(int(n.max()) + 1)
-        inside = (place < end[:, None]) & (place < (own + n)[:, None])
-        windows = np.where(inside, words[np.minimum(place, len(words) - 1)], np.uint64(0))
-        for r in range(repeats()):
-            where, row = _matches(items.keys, walk_samples(windows, n, r))
-            pairs.update(zip(own[where].tolist(), end[where].tolist(), items.key_items[row].tolist(), strict=True))
+    first, ends = np.repeat(begins, lengths + 1), np.repeat(begins + lengths, lengths + 1)
+    item_of, lows, highs = places_of(items, words, first, ends)
     best: dict[tuple[int, int], tuple[int, int, int]] = {}
-    for start, end, item in sorted(pairs):
-        w, k = items.words[item], int(items.edits[item])
-        text = int(np.searchsorted(begins, start, "right")) - 1
-        begin = int(begins[text])
-        low = max(begin, start - k)
-        distance, low_word, high_word = edit_distance(w, words[low : min(end, start + len(w) + k)])
-        if distance <= k and ((text, item) not in best or distance < best[text, item][0]):
+    for n in close_enough(items, words, item_of, lows, highs).tolist():
+        item, low, high = int(item_of[n]), int(lows[n]), int(highs[n])
+        begin = int(first[low])
+        text = int(np.searchsorted(begins, low, "right")) - 1
+        distance, low_word, high_word = edit_distance(items.words[item], words[low:high])
+        if (text, item) not in best or distance < best[text, item][0]:
             best[text, item] = distance, low + low_word - begin, low + high_word - begin - 1
     return [(t, items.ids[i], s, e, d, 1 - d / len(items.words[i])) for (t, i), (d, s, e) in sorted(best.items())]
 

@@ -36,6 +36,16 @@ def test_pages_without_an_article():
     assert html_text.content_blocks("") == [] and html_text.content_blocks("<p></p><script>x") == []
 
 
+@pytest.mark.parametrize("box", ["div", "section", "article", "td"])
+@pytest.mark.parametrize("size", [3, 40, 4000])
+def test_short_blocks_beside_a_long_one_are_kept(box, size):
+    blocks = ["A first paragraph that isn't long.", "words " * size + "end", "A second paragraph that isn't long.", "Short.", "A third one, after the short line."]
+    inner = "".join(f"<{box}><p>{b}</p></{box}>" for b in blocks)
+    menu = "".join(f"<a href=/{n}>l{n}</a> " for n in range(9))
+    page = f"<body><nav>menu</nav><div>{menu}</div><div>{'<table><tr>' + inner + '</table>' if box == 'td' else inner}</div><footer>f</footer>"
+    assert html_text.content_blocks(page) == blocks
+
+
 @pytest.mark.parametrize("html", ["<p>a &am", "<p>unclosed <b>bold", "</div></p>x", "<div <p>odd", "<!-- open", "<p>\x00퟿</p>", "&#0;&#xD800;&bogus;"])
 def test_broken_markup_doesnt_crash(html):
     html_text.content_blocks(html)

@@ -2,8 +2,8 @@
 
 The standard library's streaming parser turns a page into lines (one a block). Containers that are by name or role no
 article (menus, forms, scripts, adverts, comments of readers) give no lines. For the others the ratio of text to tags is
-smoothed along the page and clustered by a threshold; each sectioning container is then kept or dropped as a whole by
-the text that its lines in the upper cluster hold, so that a short paragraph inside an article isn't lost.
+smoothed along the page and clustered by a threshold. All lines of the smallest container that holds the upper cluster
+are kept, or all articles if they hold most of it, so that a short paragraph isn't lost, however long its neighbours are.
 """
 
 from __future__ import annotations
@@ -39,6 +39,8 @@ SIGMA = 1.0
 RADIUS = 3
 #: Of the smoothed ratios' standard deviation, the part that a line of content needs at least.
 THRESHOLD = 1.0
+#: Characters to a tag at which a line counts as dense whatever the other lines have; links in a list have less.
+DENSE = 8
 
 
 class _Lines(HTMLParser):
@@ -163,21 +165,24 @@ def content_blocks(html: str) -> list[str]:
     lines = parser.lines
     if not lines:
         return []
-    ratios = smoothed([len(text) / max(1, tags) for _, text, tags in lines])
+    # in logarithms, so that one long block doesn't raise the threshold above all others
+    own = [math.log1p(len(text) / max(1, tags)) for _, text, tags in lines]
+    ratios = smoothed(own)
     mean = sum(ratios) / len(ratios)
     spread = math.sqrt(sum((r - mean) ** 2 for r in ratios) / len(ratios))
+    least = min(THRESHOLD * spread, mean)
+    # a line is not dense by its neighbours alone
+    alone = min(sum(own) / len(own) / 2, math.log1p(DENSE))
+    dense = [(region, len(text)) for (region, text, _), r, o in zip(lines, ratios, own, strict=True) if r >= least and o >= alone] or [(region, len(text)) for region, text, _ in lines]
+    around = {region: parser.ancestry(region) for region, _, _ in lines}
     articles = {r for r, kind in parser.kinds.items() if kind in ("article", "main")}
-    dense: dict[int, int] = {}
-    for (region, text, _), ratio in zip(lines, ratios, strict=True):
-        if ratio >= min(THRESHOLD * spread, mean):
-            # inside an article the whole article counts as one container
-            top = next((r for r in parser.ancestry(region) if r in articles), region)
-            dense[top] = dense.get(top, 0) + len(text)
-    if articles & dense.keys():
-        dense = {r: n for r, n in dense.items() if r in articles}
-    most = max(dense.values())
-    keep = {r for r, n in dense.items() if n * 10 >= most}
-    return [text for region, text, _ in lines if keep.intersection(parser.ancestry(region) if articles & keep else (region,))]
+    inside = sum(n for region, n in dense if articles.intersection(around[region]))
+    if 2 * inside >= sum(n for _, n in dense):
+        return [text for region, text, _ in lines if articles.intersection(around[region])]
+    common = around[dense[0][0]]
+    for region, _ in dense:
+        common = [r for r, other in zip(common, around[region], strict=False) if r == other]
+    return [text for region, text, _ in lines if common[-1] in around[region]]
 
 
 SCHEMA = "page_id long, url string, text string, n_chars long, n_blocks long"

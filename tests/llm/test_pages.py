@@ -46,6 +46,26 @@ def test_short_blocks_beside_a_long_one_are_kept(box, size):
     assert html_text.content_blocks(page) == blocks
 
 
+@pytest.mark.parametrize("body", ["<body><p>text", "<p>text", "text", "<div>text</div>", "<body>text</body>"])
+def test_a_head_without_its_end_tag_hides_no_text(body):
+    for head in ("<head><title>x</title>", "<head>", "<head><meta charset=utf-8><script>var a</script><link rel=x>\n"):
+        assert html_text.content_blocks(f"<html>{head}{body}") == ["text"]
+    assert html_text.content_blocks("<head><noscript><img src=x></noscript><style>p{}</style></head><p>text") == ["text"]
+
+
+@pytest.mark.parametrize("name", ["with-sidebar", "content has-sidebar", "post-content no-comments", "sidebar", "header", "content sidebar-right"])
+def test_wrappers_that_hold_the_text_are_kept(name):
+    text = "words that go on for quite a while, as text does " * 4 + "end"
+    for inner in (f"<article><p>{text}</p></article>", f"<p>{text}</p>"):
+        assert html_text.content_blocks(f"<body><div class='{name}'>{inner}</div><div class=nav>menu</div></body>") == [text]
+
+
+@pytest.mark.parametrize("name", ["entry-header", "page-header", "post-header"])
+def test_titles_in_a_named_header_are_kept(name):
+    page = f"<body><div class=site-header>site</div><article><div class='{name}'><h1>The title</h1></div><p>Text of it.</p><div id=comments-list>no</div></article></body>"
+    assert html_text.content_blocks(page) == ["The title", "Text of it."]
+
+
 @pytest.mark.parametrize("html", ["<p>a &am", "<p>unclosed <b>bold", "</div></p>x", "<div <p>odd", "<!-- open", "<p>\x00퟿</p>", "&#0;&#xD800;&bogus;"])
 def test_broken_markup_doesnt_crash(html):
     html_text.content_blocks(html)

@@ -28,10 +28,14 @@ BLOCKS = frozenset(
 VOID = frozenset(("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"))
 REGIONS = frozenset(("article", "main", "section", "div", "body", "td"))
 CHROME_ROLES = frozenset(("navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "form", "menu", "menubar"))
+HEAD = frozenset(("title", "style", "script", "noscript", "template", "meta", "link", "base", "basefont", "bgsound", "noframes"))
+CHROME_NAME = (
+    r"(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|nav\w*|menu\w*|breadcrumbs?|sidebar\w*|footer|header|masthead|cookies?|consent|notice|popup|modal"
+    r"|newsletter|subscribe|signup|login|share|social|related|recommend\w*|comments?|disqus|replies|widget|toolbar|pagination|pager|skip)"
+)
+#: A class or id that is made of such names, but for words that say where or how a part of the page's frame is laid out.
 CHROME_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|nav\w*|menu\w*|breadcrumbs?|sidebar\w*|footer|header|masthead|cookies?|consent|notice|popup|modal"
-    r"|newsletter|subscribe|signup|login|share|social|related|recommend\w*|comments?|disqus|replies|widget|toolbar|pagination|pager|skip)(?:$|[\s_-])",
-    re.I,
+    rf"(?:(?:site|global|top|bottom|left|right|main(?=[_-]+nav)|primary(?=[_-]+nav))[_-]+)*{CHROME_NAME}(?:[_-]+(?:{CHROME_NAME}|left|right|top|bottom|list|links|items?|bar|box|posts|form|\d+))*", re.I
 )
 SPACE = re.compile(r"\s+")
 
@@ -44,12 +48,16 @@ DENSE = 8
 
 
 class _Lines(HTMLParser):
-    """Collects (region, text, tags) for each block outside of chrome."""
+    """Collects (region, text, tags) for each block outside of chrome, and for each the containers that are chrome by name.
+
+    Those are known only at the end, as the one that holds the page's text is none whatever its name.
+    """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.lines: list[tuple[int, str, int]] = []
         self.stack: list[tuple[str, bool, int]] = []
+        self.named: set[int] = set()
         self.hidden = 0
         self.region = 0
         self.kinds = {0: ""}
@@ -73,17 +81,19 @@ class _Lines(HTMLParser):
             elif tag == "br" and not self.hidden:
                 self.parts.append(" ")
             return
+        if tag not in HEAD and tag != "head":
+            self.end_head(tag == "body")
         given = dict(attrs)
-        names = f"{given.get('class') or ''} {given.get('id') or ''}"
+        names = f"{given.get('class') or ''} {given.get('id') or ''}".split()
         hides = (
             tag in RAW
             or (tag in CHROME and not (tag == "header" and self.inside("article")))
             or (given.get("role") or "").lower() in CHROME_ROLES
             or "hidden" in given
             or (given.get("aria-hidden") or "").lower() == "true"
-            or (tag not in ("html", "body", "article", "main") and names != " " and CHROME_NAMES.search(names) is not None)
         )
-        if tag in BLOCKS or hides:
+        named = not hides and not self.hidden and tag not in ("html", "body", "article", "main") and any(map(CHROME_NAMES.fullmatch, names))
+        if tag in BLOCKS or hides or named:
             self.flush()
         if tag in ("p", "li", "dt", "dd", "tr", "td", "th", "option"):
             self.imply(tag)
@@ -91,10 +101,12 @@ class _Lines(HTMLParser):
         self.stack.append((tag, hides, self.region))
         if hides:
             self.hidden += 1
-        elif tag in REGIONS and not self.hidden:
+        elif named or (tag in REGIONS and not self.hidden):
             self.parents[len(self.kinds)] = self.region
             self.region = len(self.kinds)
             self.kinds[self.region] = tag
+            if named:
+                self.named.add(self.region)
 
     def ancestry(self, region: int) -> list[int]:
         """The region and those around it, outermost first."""
@@ -104,6 +116,12 @@ class _Lines(HTMLParser):
             region = self.parents[region]
         return out[::-1]
 
+    def end_head(self, always: bool) -> None:
+        """The end of an open head, whose end tag may be left out; always: even if a part of the head is still open."""
+        n = next((n for n, x in enumerate(self.stack) if x[0] == "head"), None)
+        if n is not None and (always or n == len(self.stack) - 1):
+            self.cut(n)
+
     def inside(self, tag: str) -> bool:
         return any(x[0] == tag for x in self.stack)
 
@@ -128,7 +146,7 @@ class _Lines(HTMLParser):
             return
         for n in range(len(self.stack) - 1, -1, -1):
             if self.stack[n][0] == tag:
-                if tag in BLOCKS or tag in REGIONS or any(x[1] or x[0] in BLOCKS for x in self.stack[n:]):
+                if tag in BLOCKS or tag in REGIONS or self.region != self.stack[n][2] or any(x[1] or x[0] in BLOCKS for x in self.stack[n:]):
                     self.flush()
                 self.cut(n)
                 return
@@ -139,10 +157,35 @@ class _Lines(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_data(self, data: str) -> None:
+        if self.hidden and self.stack[-1][0] == "head" and data.strip():
+            self.end_head(True)
         if not self.hidden:
             self.parts.append(data)
 
 
+def unhidden(parser: _Lines) -> list[tuple[int, str, int]]:
+    """The lines without those of containers that are chrome by name.
+
+    If no article outside of them has text, those that hold an article with text are none; if there is no such article
+    either, those that hold most of the page's text.
+    """
+    around = {region: parser.ancestry(region) for region, _, _ in parser.lines}
+    of_article = {region: any(parser.kinds[r] in ("article", "main") for r in around[region]) for region in around}
+    chrome = {region: parser.named.intersection(around[region]) for region in around}
+    shown = set()
+    if not any(of_article[r] and not chrome[r] for r in around):
+        size, articles = dict.fromkeys(parser.named, 0), set()
+        for region, text, _ in parser.lines:
+            for at in chrome[region]:
+                size[at] += len(text)
+            if of_article[region]:
+                top = next(n for n, r in enumerate(around[region]) if parser.kinds[r] in ("article", "main"))
+                articles |= parser.named.intersection(around[region][:top])
+        total = sum(len(text) for _, text, _ in parser.lines)
+        shown = articles or {at for at, n in size.items() if 2 * n > total}
+    return [x for x in parser.lines if chrome[x[0]] <= shown]
+
+
 def smoothed(values: list[float]) -> list[float]:
     """Gaussian smoothing; at the ends the kernel is cut and scaled."""
     kernel = [math.exp(-(d * d) / (2 * SIGMA * SIGMA)) for d in range(-RADIUS, RADIUS + 1)]
@@ -162,7 +205,7 @@ def content_blocks(html: str) -> list[str]:
     parser.feed(html)
     parser.close()
     parser.flush()
-    lines = parser.lines
+    lines = unhidden(parser)
     if not lines:
         return []
     # in logarithms, so that one long block doesn't raise the threshold above all others

@@ -33,11 +33,11 @@ def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
 
 
 def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told: null texts and texts without a letter go.
+    """Documents whose language can be told: null texts and texts without a letter go, and only they, labels or none.
 
     An identifier that repeats goes if its language can't be told in any of its rows.
     """
-    found = language.identify(docs)
+    found = language.identify(docs, language.fit(language.training_rows(docs)) or language.any_language())
     return _without(docs, found.groupBy("doc_id").agg(F.bool_or(F.col("lang_pred") != language.UNKNOWN).alias("known")).filter("not known"))
 
 

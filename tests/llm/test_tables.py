@@ -12,6 +12,7 @@ from tests.conftest import SMALL
 from tests.llm.helpers import EDGES, crc, documents
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from tidemark.llm import language, licenses, packing, sharding, transport
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -111,6 +112,24 @@ def test_language_of_three_families_and_one_language():
     assert language.fit([]) is None
 
 
+def test_every_language_is_learned_whatever_its_number_and_the_size_of_its_texts(spark):
+    ids = [i for i in range(2000) if crc(i) % 4 != 2]
+    many = [(ids[n], f"text of language {n}", f"x{n:03}", "s") for n in range(130)] + [(ids[130 + n], f"text of language {n}", f"x{n:03}", "s") for n in range(105)]
+    same = [(ids[300], "the same identifier", "x999", "s")] * 500
+    long = [(ids[400 + n], "wort und der die das " * 2000, "de", "s") for n in range(3)]
+    rows = language.training_rows(documents(spark, many + same + long))
+    assert {lang for _, lang in rows} == {r[2] for r in many + same + long}
+    assert max(len(t) for t, _ in rows) == language.ROW_BYTES and len(rows) <= language.SAMPLE_ROWS
+    few = [(ids[500 + n], t, lang, "s") for n in range(5) for lang, t in (("en", "the and of to in that"), ("fr", "le et la des dans que"))]
+    found = language.identify(documents(spark, few + long)).collect()
+    assert {r.doc_id for r in found if r.lang_pred == "de"} == {r[0] for r in long}
+
+
+def test_the_pipeline_keeps_texts_with_letters_without_labels(spark):
+    rows = [(1, "text", None, "s"), (2, None, None, "s"), (3, "12 !", None, "s"), (4, "日本", None, "s"), (5, "also text", "und", "s")]
+    assert {r.doc_id for r in corpus_pipeline.keep_known_language(spark, documents(spark, rows), SMALL).collect()} == {1, 4, 5}
+
+
 def _check_packing(pieces, texts, limits=packing.LIMITS):
     whole = Tokenizer.from_file(TOKENIZER)
     docs, sequences = defaultdict(list), defaultdict(list)

@@ -19,11 +19,11 @@ from tidemark.llm.common import tune
 
 UNKNOWN = "und"
 BITS = 14
-#: Bound of the sample that the machines are fitted on: rows of a language, and bytes of such a row.
+#: Bound of the sample that the machines are fitted on: rows of a language, and bytes of such a row that are read.
 ROWS_PER_LANGUAGE = 400
 ROW_BYTES = 20_000
-#: Languages at most that are learned: the most frequent ones.
-LANGUAGES = 100
+#: Rows of all languages; many languages share them evenly, each has one at least.
+SAMPLE_ROWS = 4000
 ROUNDS = 30
 COST = 10.0
 SCALE = 50.0
@@ -49,9 +49,10 @@ def trigrams(text: bytes) -> np.ndarray:
     return (h * np.uint32(2654435761)) >> np.uint32(32 - BITS)
 
 
-def fit_machine(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
+def fit_machine(x: np.ndarray, y: np.ndarray, gram: np.ndarray | None = None) -> tuple[np.ndarray, float]:
     """Weights and bias of a linear support vector machine (hinge loss), by dual coordinate descent; y is -1 or 1."""
-    gram = x @ x.T + 1.0  # the bias is a constant feature
+    if gram is None:
+        gram = x @ x.T + 1.0  # the bias is a constant feature
     alpha, f = np.zeros(len(y)), np.zeros(len(y))
     cost = COST * np.where(y > 0, len(y) / max(1, 2 * (y > 0).sum()), len(y) / max(1, 2 * (y < 0).sum()))
     for _ in range(ROUNDS):
@@ -90,7 +91,8 @@ def fit(rows: list[tuple[bytes, str]]) -> Model | None:
     lang = np.array([r[1] for r in rows])
     family = np.array([FAMILY_OF.get(r[1], r[1]) for r in rows])
     names = [f for f, _ in families]
-    heads = [fit_machine(x, np.where(family == f, 1.0, -1.0)) for f in (names[:1] if len(names) == 2 else names if len(names) > 2 else [])]
+    gram = x @ x.T + 1.0 if len(names) > 1 else None
+    heads = [fit_machine(x, np.where(family == f, 1.0, -1.0), gram) for f in (names[:1] if len(names) == 2 else names if len(names) > 2 else [])]
     pairs = []
     for _, members in families:
         at = [(a, b) for a in range(len(members)) for b in range(a + 1, len(members))]
@@ -142,28 +144,37 @@ def predict(model: Model | None, text: bytes) -> tuple[str, float]:
 
 
 def training_rows(docs: DataFrame) -> list[tuple[bytes, str]]:
-    """The bounded sample: of each language, the rows with the smallest hashes."""
-    known = docs.filter(F.col("text").isNotNull() & F.col("lang").isNotNull()).select(
-        F.col("text").cast("binary").alias("text"), F.col("lang").cast("string").alias("lang"), F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")).alias("crc")
+    """The bounded sample: of each language, the rows with the smallest hashes, of long texts the beginning."""
+    known = docs.filter(F.col("text").isNotNull() & F.col("lang").isNotNull() & (F.col("lang") != UNKNOWN)).select(
+        F.substring(F.col("text").cast("binary"), 1, ROW_BYTES).alias("text"), F.col("lang").cast("string").alias("lang"), F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")).alias("crc")
     )
-    known = known.filter((F.pmod("crc", F.lit(4)) != 2) & (F.octet_length("text") <= ROW_BYTES))
-    counts = {r.lang: r["count"] for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()}
+    known = known.filter(F.pmod("crc", F.lit(4)) != 2)
+    counts = {r.lang: r["count"] for r in known.groupBy("lang").count().orderBy("lang").collect()}
     if not counts:
         return []
-    # a hash below this has about twice the rows that are needed, so that a language never has too few
-    limit = F.lit(0)
-    for lang, n in counts.items():
-        limit = F.when(F.col("lang") == lang, F.lit(min(1 << 31, int((1 << 31) * 2.0 * ROWS_PER_LANGUAGE / n)))).otherwise(limit)
+    rows = max(1, min(ROWS_PER_LANGUAGE, SAMPLE_ROWS // len(counts)))
+    # a hash below this has about twice the rows that are needed, and some more where few are needed
+    limits = [(lang, min(1 << 31, int((1 << 31) * (2.0 * rows + 20) / n))) for lang, n in counts.items()]
+    limits = docs.sparkSession.createDataFrame(limits, "lang string, limit long")
     hashed = known.withColumn("at", F.pmod(F.xxhash64("crc"), F.lit(1 << 31)))
-    drawn = hashed.filter(F.col("at") < limit).select("text", "lang", "at").collect()
+    drawn = hashed.join(F.broadcast(limits), "lang").filter(F.col("at") < F.col("limit")).select("text", "lang", "at").collect()
+    missing = sorted(counts.keys() - {r.lang for r in drawn})
+    if missing:
+        # where identifiers repeat, rows share a hash, and all of a language's rows may lie above the limit
+        drawn += hashed.filter(F.col("lang").isin(missing)).groupBy("lang").agg(F.min(F.struct("at", "text")).alias("least")).select("least.text", "lang", "least.at").collect()
     out, taken = [], dict.fromkeys(counts, 0)
     for r in sorted(drawn, key=lambda r: (r.lang, r["at"], bytes(r.text))):
-        if taken[r.lang] < ROWS_PER_LANGUAGE:
+        if taken[r.lang] < rows:
             taken[r.lang] += 1
             out.append((bytes(r.text), r.lang))
     return out
 
 
+def any_language() -> Model:
+    """A model of one unnamed language: every text with a letter is in it."""
+    return fit([(b"", "mis")])
+
+
 SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double"
 ARROW = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()), ("score", pa.float64())])
 
@@ -171,7 +182,7 @@ ARROW = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_pred
 def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """The predicted language of each row of docs (doc_id, text, and lang to learn from, unless a model is given).
 
-    Rows learned from have text and lang, and a CRC-32 of doc_id with a remainder by 4 other than 2. Null text, and text
+    Rows learned from have text and a lang other than und, and a CRC-32 of doc_id with a remainder by 4 other than 2. Null text, and text
     without a letter: und, score 0; so are all rows if there is nothing to learn from. A null doc_id counts as an empty
     one. Rows that repeat give rows that repeat; other columns are ignored.
     """

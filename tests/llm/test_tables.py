@@ -10,6 +10,7 @@ import public_tokenizers
 import pytest
 from tests.conftest import SMALL
 from tests.llm.helpers import EDGES, crc, documents
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -166,6 +167,35 @@ def test_packing_keeps_all_limits(small):
     _check_packing(packing.pack(small.coalesce(1), TOKENIZER, limits).collect(), texts, limits)
 
 
+def test_titles_bear_no_loss_and_the_third_limit_binds(spark):
+    rows = [(n, f"title of {n} words here\n" + "body word " * (30 * (n % 7) + 1), "en", "s") for n in range(200)]
+    found = packing.pack(documents(spark, rows).coalesce(1), TOKENIZER, (256, 16, 240)).collect()
+    _check_packing(found, {i: t for i, t, *_ in rows}, (256, 16, 240))
+    loss = Counter()
+    for r in found:
+        loss[r.sequence_id] += r.n_loss
+    # no packing has fewer sequences than the loss-bearing tokens need
+    assert max(loss.values()) == 240 and len(loss) <= sum(loss.values()) / 240 + 2
+    whole = Tokenizer.from_file(TOKENIZER)
+    assert sum(loss.values()) == sum(len(whole.encode(t.split("\n")[1], add_special_tokens=False).ids) + 1 for _, t, *_ in rows)
+
+
+def test_instruction_packing_of_conversations(spark):
+    turns = spark.read.parquet(f"{SMALL}/conversations.parquet")
+    found = packing.pack_conversations(turns, TOKENIZER).collect()
+    by = defaultdict(list)
+    for r in turns.collect():
+        by[r.conv_id].append(r)
+    texts = {i: "\n".join(r.text or "" for r in sorted(own, key=lambda r: r.turn)) for i, own in by.items()}
+    _check_packing(found, texts, packing.INSTRUCTION_LIMITS)
+    assert all(r.n_loss <= r.length for r in found) and 0 < sum(r.n_loss for r in found) < sum(r.length for r in found)
+    edges = [(1, 0, "user", None), (1, 1, "assistant", "fine answer"), (None, 0, "user", "q"), (2, 0, "assistant", "a"), (2, 0, "assistant", "a"), (3, None, None, None)]
+    clash = spark.createDataFrame(edges, "conv_id long, turn long, role string, text string").withColumn("prompt", F.lit("clash")).withColumn("last", F.lit(1))
+    got = {r.doc_id: r for r in packing.pack_conversations(clash, TOKENIZER).collect()}
+    assert set(got) == {1, None, 2, 3} and got[1].n_loss == 3 and got[None].n_loss == 1 and got[2].doc_tokens == 3
+    assert packing.pack_conversations(clash.limit(0), TOKENIZER).count() == 0
+
+
 def test_prompts_bear_no_loss(spark):
     df = documents(spark, [(i, "answer words here", "en", "s") for i in range(20)]).selectExpr("*", "'a long question that bears none' as prompt")
     rows = packing.pack(df, TOKENIZER, (64, 8, 20), prompt="prompt").collect()

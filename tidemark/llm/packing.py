@@ -2,8 +2,9 @@
 
 An example needs tokens, one segment, and loss-bearing tokens; a sequence has a limit for each. The dot-product
 heuristic fills one sequence after the other: of the waiting examples that fit, the next is the one whose needs (as
-shares of the limits) have the largest dot product with what is left. When none fits, an example is cut to fill what is
-left. Waiting examples are held in a pool of bounded size; each task packs its own rows, so nothing is shuffled, and
+shares of the limits) have the largest dot product with what is left. When none fits, the example that can fill most of
+what is left is cut. The limit on loss-bearing tokens is a little under that on tokens: a sequence is full when tokens
+without loss (titles, prompts) take the rest, and else it has that little padding at most. Waiting examples are held in a pool of bounded size; each task packs its own rows, so nothing is shuffled, and
 only a task's last sequences can have much padding.
 """
 
@@ -14,19 +15,22 @@ import re
 import unicodedata
 import zlib
 from collections.abc import Iterable, Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
 from tidemark.llm.common import tune
 
 #: Tokens, segments and loss-bearing tokens of a sequence at most.
-LIMITS = (2048, 512, 2048)
+LIMITS = (2048, 512, 2032)
+#: The same for conversations, of which only the last answer bears loss.
+INSTRUCTION_LIMITS = (2048, 64, 1536)
 END_ID = 1
 #: Waiting tokens from which sequences are filled, in sequences.
 POOL = 128
@@ -133,6 +137,12 @@ class Ids:
         return found
 
 
+@cache
+def ids_of(path: str) -> Ids:
+    """One for each tokenizer file and worker process, whose tasks share the remembered words."""
+    return Ids(path)
+
+
 class Packer:
     """Fills sequences from examples (key, tokens, loss-bearing tokens); an example bears its loss at its end.
 
@@ -147,17 +157,15 @@ class Packer:
         self.n = self.held = self.sequence = 0
 
     def add(self, key: object, tokens: int, loss: int) -> Iterator[tuple]:
-        start = 0
+        start, quiet = 0, tokens - loss
         most = min(self.limits[0], self.limits[2])
-        while tokens - start >= most and loss >= most:
-            quiet = tokens - start - loss
-            length = min(self.limits[0], quiet + self.limits[2]) if quiet else most
-            yield key, start, length, self.sequence, 0
-            self.sequence += 1
-            loss -= max(0, length - quiet)
-            start += length
+        while tokens - start > most:
+            self._put(key, start, most, max(0, start + most - max(quiet, start)))
+            start += most
+            if self.held >= self.high:
+                yield from self._fill(self.low)
         if tokens > start:
-            self._put(key, start, tokens - start, loss)
+            self._put(key, start, tokens - start, tokens - max(quiet, start))
         if self.held >= self.high:
             yield from self._fill(self.low)
 
@@ -194,16 +202,16 @@ class Packer:
                 yield key, start, length, self.sequence, offset
                 tokens, segments, loss, offset = tokens - length, segments - 1, loss - bore, offset + length
             if self.n and tokens and segments:
-                # none fits: cut the front of the largest
-                k = int(self.size[: self.n].argmax())
-                key, start, length, bore = self._take(k)
-                quiet = length - bore
-                part = min(tokens, quiet + loss, length)
-                if part:
+                # none fits: cut the front of one that can fill most, and of those the one with the fewest quiet tokens
+                size, quiet = self.size[: self.n], self.size[: self.n] - self.loss[: self.n]
+                use = np.minimum(tokens, np.minimum(size, quiet + loss))
+                k = int((use * (a + 1) - np.minimum(quiet, a)).argmax())
+                if part := int(use[k]):
+                    key, start, length, bore = self._take(k)
                     yield key, start, part, self.sequence, offset
-                if length > part:
-                    self._put(key, start + part, length - part, bore - max(0, part - quiet))
-                offset += part
+                    if length > part:
+                        self._put(key, start + part, length - part, bore - max(0, part - (length - bore)))
+                    offset += part
             self.sequence += offset > 0
 
     def finish(self) -> Iterator[tuple]:
@@ -217,16 +225,18 @@ ARROW = pa.schema([(x.split()[0], pa.int64()) for x in SCHEMA.split(", ")])
 def pack(docs: DataFrame, tokenizer: str, limits: tuple[int, int, int] = LIMITS, prompt: str | None = None) -> DataFrame:
     """Pieces of sequences for each row of docs (doc_id, text): one row a piece.
 
-    tokenizer: path of a tokenizer file, there on every machine. prompt: a column whose tokens come before the text's
-    and bear no loss (instruction data). Each example ends with END_ID, which bears loss. Null texts and prompts count
-    as empty, so a row gives at least one piece. Rows that repeat are packed each; other columns are ignored.
-    sequence_id is unique over all tasks; a retried task gives the same pieces, as its rows come in the same order.
+    tokenizer: path of a tokenizer file, there on every machine. limits: tokens, segments and loss-bearing tokens of a
+    sequence. The first line of a text of more lines is its title and bears no loss. prompt: a column whose tokens come
+    before the text's and bear none either; then the whole text bears loss (instruction data). Each example ends with
+    END_ID, which bears loss. Null texts and prompts count as empty, so a row gives at least one piece. Rows that repeat
+    are packed each; other columns are ignored. An empty table gives no rows. sequence_id is unique over all tasks; a
+    retried task gives the same pieces, as its rows come in the same order.
     """
     tune(docs.sparkSession)
     before = F.coalesce(F.col(prompt).cast("string"), F.lit("")) if prompt else F.lit("")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, packer = Ids(tokenizer), Packer(limits)
+        ids, packer = ids_of(tokenizer), Packer(limits)
         first = TaskContext.get().partitionId() << 34
         waiting: dict[int, list] = {}
         end = END_ID.to_bytes(4, "little")
@@ -243,13 +253,15 @@ def pack(docs: DataFrame, tokenizer: str, limits: tuple[int, int, int] = LIMITS,
                     del waiting[key]
 
         number = 0
-        for batch in batches:
-            texts = ids([x or "" for x in batch.column(1).to_pylist()])
-            prompts = ids(batch.column(2).to_pylist()) if prompt else [b""] * len(texts)
-            for doc_id, before_ids, text_ids in zip(batch.column(0).to_pylist(), prompts, texts, strict=True):
-                data, bore = memoryview(before_ids + text_ids + end), len(text_ids) // 4 + 1
-                waiting[number] = [doc_id, data, len(data) // 4, bore]
-                placed(packer.add(number, len(data) // 4, bore))
+        for doc_ids, texts, prompts in _gathered(batches):
+            # a title is tokenised once more to know how many tokens it has
+            quiet = prompts if prompt else [t[: t.find("\n")] if "\n" in t else "" for t in texts]
+            found = ids(texts + quiet)
+            for doc_id, data, quiet_ids in zip(doc_ids, found, found[len(texts) :], strict=False):
+                whole = (quiet_ids if prompt else b"") + data + end
+                bore = (len(whole) - len(quiet_ids)) // 4
+                waiting[number] = [doc_id, memoryview(whole), len(whole) // 4, bore]
+                placed(packer.add(number, len(whole) // 4, bore))
                 number += 1
             if rows:
                 yield pa.record_batch([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], schema=ARROW)
@@ -259,3 +271,37 @@ def pack(docs: DataFrame, tokenizer: str, limits: tuple[int, int, int] = LIMITS,
             yield pa.record_batch([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], schema=ARROW)
 
     return docs.select(docs.doc_id.cast("long").alias("doc_id"), docs.text.cast("string").alias("text"), before.alias("before")).mapInArrow(run, SCHEMA)
+
+
+def pack_conversations(turns: DataFrame, tokenizer: str, limits: tuple[int, int, int] = INSTRUCTION_LIMITS) -> DataFrame:
+    """Pieces of sequences for each conversation of turns (conv_id, turn, role, text); doc_id is the conversation's.
+
+    The last answer (role assistant) bears loss, what comes before it doesn't; what comes after it is left to it. A
+    conversation without an answer bears loss at its end alone. Turns go by turn, then by role and text; null ones come
+    first. Null texts count as empty, null conv_id is one conversation; other columns are ignored. An empty table gives no rows.
+    """
+    turn = F.struct(F.col("turn").cast("long").alias("turn"), F.col("role").alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    said = turns.groupBy(F.col("conv_id").alias("doc_id")).agg(F.array_sort(F.collect_list(turn)).alias("said"))
+    answers = F.transform("said", lambda x, n: F.when(x["role"] == "assistant", n + 1))
+    said = said.withColumn("first", F.coalesce(F.array_max(answers), F.size("said") + 1))
+
+    def words(start: Column, size: Column) -> Column:
+        return F.array_join(F.transform(F.slice("said", start, size), lambda x: x["text"]), "\n")
+
+    rows = said.select("doc_id", words(F.lit(1), F.col("first") - 1).alias("prompt"), words(F.col("first"), F.size("said")).alias("text"))
+    return pack(rows, tokenizer, limits, prompt="prompt")
+
+
+def _gathered(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[list, list[str], list[str]]]:
+    """Rows of several batches together, until they have PART characters."""
+    held, size = ([], [], []), 0
+    for batch in batches:
+        texts, before = [x or "" for x in batch.column(1).to_pylist()], batch.column(2).to_pylist()
+        for column, more in zip(held, (batch.column(0).to_pylist(), texts, before), strict=True):
+            column.extend(more)
+        size += sum(map(len, texts)) + sum(map(len, before))
+        if size >= PART:
+            yield held
+            held, size = ([], [], []), 0
+    if held[0]:
+        yield held

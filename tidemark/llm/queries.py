@@ -49,6 +49,11 @@ def op9_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def instruction_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op9's operator on instruction data."""
+    return packing.pack_conversations(table(spark, sf_dir, "conversations"), TOKENIZER)
+
+
 def op10_chunked_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_and_read(table(spark, sf_dir, "pages")).drop("stored_bytes", "n_chunks")
 
@@ -56,7 +61,7 @@ def op10_chunked_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (
         op1_sampled_splitters, op2_diagonal_licenses, op3_deleted_interpolation, op4_benchmark_leaks, op5_transport_streams, op6_main_text,
-        op7_lsh_forest, op8_language, op9_vector_packing, op10_chunked_warc,
+        op7_lsh_forest, op8_language, op9_vector_packing, op10_chunked_warc, instruction_packing,
     )
     return {f.__name__: f for f in own}
 

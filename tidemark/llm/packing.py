@@ -19,6 +19,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
@@ -34,10 +35,10 @@ INSTRUCTION_LIMITS = (2048, 64, 1536)
 END_ID = 1
 #: Waiting tokens from which sequences are filled, in sequences.
 POOL = 128
-#: Entries of a cache at most; a full one is emptied.
-CACHE = 600_000
-#: Characters of a text that are split into pieces at once; longer texts are taken in parts that end at a space.
-PART = 1 << 20
+#: Words remembered at most, about; of a full half, the older half goes.
+CACHE = 800_000
+#: Characters that are split into pieces at once; longer texts are taken in parts that end at a space.
+PART = 8 << 20
 
 
 def _byte_letters() -> dict[int, str]:
@@ -50,13 +51,14 @@ def _byte_letters() -> dict[int, str]:
 class Ids:
     """Token ids of texts as little-endian unsigned 32-bit bytes, just as the tokenizer file's own pipeline gives them.
 
-    Where the file drops white space, lower-cases and splits into words, texts are cut at white space and each piece is
-    encoded once and remembered; words that are new go through the file's merges together. Pieces with characters beyond
-    Latin letters go through the whole pipeline, as do all texts of other tokenizer files.
+    Where the file drops white space, lower-cases and splits into words, texts are cut at white space, and the different
+    pieces of many texts are told apart by Arrow, so that each is looked at once however often it stands there. Words are
+    remembered; those that are new go through the file's merges together. Pieces with characters beyond Latin letters go
+    through the whole pipeline, as do all texts of other tokenizer files.
     """
 
     WORD = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-    PLAIN = re.compile("[\x21-ɏ]+")
+    PLAIN = re.compile("[\x21-\u024f]+")
 
     def __init__(self, path: str) -> None:
         self.whole = Tokenizer.from_file(path)
@@ -78,28 +80,52 @@ class Ids:
             self.ends[n] = token.endswith("</w>")
         self.letters = _byte_letters() | {32: " "}
         self.pattern = regex.compile(self.WORD)
-        self.pieces: dict[str, bytes] = {}
-        self.known: dict[str, bytes] = {}
+        # words by age: the younger half, and those that were young before it
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         if not self.by_word:
             return [np.asarray(x.ids, "<u4").tobytes() for x in self.whole.encode_batch_fast(texts, add_special_tokens=False)]
-        if any(len(t) > PART for t in texts):
-            return [b"".join(self.of_pieces([p])[0] for p in self.parts(t)) for t in texts]
-        return self.of_pieces(texts)
-
-    def of_pieces(self, texts: list[str]) -> list[bytes]:
-        # str.split() also splits at U+001C-U+001F, which aren't white space to the tokenizer
-        cut = [t.split() if not any(c in t for c in "\x1c\x1d\x1e\x1f") else re.findall(r"[^ \n]+", t) for t in texts]
-        if len(self.pieces) > CACHE:
-            self.pieces.clear()
-        if len(self.known) > CACHE:
-            self.known.clear()
-        # few of a batch's pieces differ: the large cache is asked once for each of them
-        here = {p: self.pieces.get(p) for p in set().union(*cut)}
-        if new := [p for p, ids in here.items() if ids is None]:
-            here |= self.learn(new)
-        return [b"".join(map(here.__getitem__, pieces)) for pieces in cut]
+        out: list[list[bytes]] = [[] for _ in texts]
+        some: list[tuple[int, str]] = []
+        size = 0
+        for n, text in enumerate(texts):
+            for part in self.parts(text):
+                some.append((n, part))
+                size += len(part)
+                if size >= PART:
+                    self._into(out, some)
+                    some, size = [], 0
+        self._into(out, some)
+        return [x[0] if len(x) == 1 else b"".join(x) for x in out]
+
+    def _into(self, out: list[list[bytes]], some: list[tuple[int, str]]) -> None:
+        for (n, _), ids in zip(some, self.of_parts([t for _, t in some]), strict=True):
+            out[n].append(ids)
+
+    def of_parts(self, texts: list[str]) -> list[bytes]:
+        # the strings of special tokens count as they are written, so a text with one goes through the whole pipeline
+        special = {n: self.of_whole(t) for n, t in enumerate(texts) if "<|" in t}
+        lowered = pc.ascii_lower(pa.array([t if n not in special else "" for n, t in enumerate(texts)] if special else texts, pa.string()))
+        # a mark after a letter and before white space is a word of its own
+        apart = pc.replace_substring_regex(lowered, r"(\pL)([.,;:!?])([ \n]|$)", r"\1 \2\3")
+        # only ASCII white space cuts; what else the tokenizer takes for white space stays in a piece that isn't plain
+        cut = pc.ascii_split_whitespace(apart)
+        del lowered, apart
+        coded = cut.flatten().dictionary_encode()
+        found = self.of_pieces(coded.dictionary.to_pylist())
+        sizes = np.fromiter(map(len, found), np.int32, len(found)) // 4
+        ids, starts = np.frombuffer(b"".join(found), "<u4"), np.cumsum(sizes, dtype=np.int32) - sizes
+        which = coded.indices.to_numpy()
+        each = sizes[which]
+        ends = np.cumsum(each, dtype=np.int32)
+        flat = ids[np.repeat(starts[which] - (ends - each), each) + np.arange(ends[-1] if len(ends) else 0, dtype=np.int32)]
+        cuts = np.concatenate([[0], ends])[cut.offsets.to_numpy()].tolist()
+        return [special[n] if n in special else flat[i:j].tobytes() for n, (i, j) in enumerate(zip(cuts, cuts[1:], strict=False))]
+
+    def of_whole(self, text: str) -> bytes:
+        return np.asarray(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     @staticmethod
     def parts(text: str) -> Iterator[str]:
@@ -113,28 +139,43 @@ class Ids:
             start = end
         yield text[start:]
 
-    def learn(self, pieces: list[str]) -> dict[str, bytes]:
-        found: dict[str, bytes] = {}
-        plain = []
-        for p in pieces:
-            if p.isascii() and "<|" not in p or self.PLAIN.fullmatch(p) and "<|" not in p:
-                plain.append(p)
-            else:
-                found[p] = np.asarray(self.whole.encode(p, add_special_tokens=False).ids, "<u4").tobytes()
-        lowered = unicodedata.normalize("NFC", "\n".join(plain)).lower().split("\n")
-        words = [(w,) if w.isalpha() else (w[:-1], w[-1]) if w[-1] in ".,;:!?" and w[:-1].isalpha() else self.pattern.findall(w) for w in lowered] if plain else []
-        known = self.known
-        if new := [w for w in set().union(*words) if w not in known]:
-            joined = " ".join(new).encode().decode("latin-1").translate(self.letters)
+    def of_pieces(self, pieces: list[str]) -> list[bytes]:
+        """The ids of each of some different A-Z-lowered pieces without ASCII white space."""
+        if len(self.young) > CACHE // 2:
+            self.old, self.young = self.young, {}
+        young, old = self.young, self.old
+        if late := [p for p in pieces if p not in young]:
+            if again := [p for p in late if p in old]:
+                young.update({p: old[p] for p in again})
+                late = [p for p in late if p not in old]
+            self.remember(late)
+        return list(map(young.__getitem__, pieces))
+
+    def remember(self, late: list[str]) -> None:
+        young = self.young
+        words, rest = [], []
+        for p in late:
+            (words if p.isascii() and p.isalpha() else rest).append(p)
+        plain = [p for p in rest if p.isprintable() and (p.isascii() or self.PLAIN.fullmatch(p))]
+        split = [(x,) if x.isalpha() else self.pattern.findall(x) for x in unicodedata.normalize("NFC", " ".join(plain)).lower().split(" ")] if plain else []
+        asked = set().union(*split)
+        asked.update(words)
+        young.update(self.learn([w for w in asked if w not in young]))
+        young.update(zip(plain, [young[x[0]] if len(x) == 1 else b"".join([young[w] for w in x]) for x in split], strict=True))
+        for p in rest:
+            if p not in young:
+                young[p] = self.of_whole(p)
+
+    def learn(self, new: list[str]) -> Iterator[tuple[str, bytes]]:
+        for at in range(0, len(new), 4096):
+            some = new[at : at + 4096]
+            joined = " ".join(some).encode().decode("latin-1").translate(self.letters)
             ids = np.asarray(self.words.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
             cuts = ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
-            if len(cuts) != len(new):
+            if len(cuts) != len(some):
                 raise ValueError("the tokenizer didn't give each word an end")
             whole = ids.tobytes()
-            known.update(zip(new, [whole[i:j] for i, j in zip([0, *cuts[:-1]], cuts, strict=True)], strict=True))
-        found.update(zip(plain, [known[w[0]] if len(w) == 1 else b"".join([known[x] for x in w]) for w in words], strict=True))
-        self.pieces.update(found)
-        return found
+            yield from zip(some, [whole[i:j] for i, j in zip([0, *cuts[:-1]], cuts, strict=True)], strict=True)
 
 
 @cache

@@ -6,8 +6,10 @@ import gc
 import os
 import tempfile
 import time
+from collections.abc import Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,6 +50,19 @@ def release(spark: SparkSession) -> None:
         time.sleep(0.3)
 
 
+def gathered(batches: Iterator[pa.RecordBatch], at: int, size: int) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about so many bytes in column at: small for Arrow's transfer, large for array code."""
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += batch.column(at).get_total_buffer_size()
+        if n >= size:
+            yield pa.concat_batches(held)
+            held, n = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z to a-z and nothing else; null becomes empty. The quick way serves texts that are all ASCII."""
     t = F.coalesce(text.cast("string"), F.lit(""))

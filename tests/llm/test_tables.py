@@ -126,6 +126,38 @@ def test_every_language_is_learned_whatever_its_number_and_the_size_of_its_texts
     assert {r.doc_id for r in found if r.lang_pred == "de"} == {r[0] for r in long}
 
 
+def test_many_languages_are_fitted_in_bounded_memory():
+    import resource
+    import time
+
+    rng = np.random.default_rng(5)
+    letters = [bytes(rng.choice(range(97, 123), 6).tolist()) for _ in range(300)]
+    # 300 languages of three syllables each, some of one family
+    rows = [(b" ".join(letters[(n + k) % 300] + letters[(n * 7 + k) % 300][:3] for k in range(3)) * 5, f"x{n:03}" if n > 20 else sorted(language.FAMILY_OF)[n]) for n in range(300) for _ in range(13)]
+    before, started = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss, time.perf_counter()
+    model = language.fit(rows)
+    assert time.perf_counter() - started < 120 and resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 600_000
+    assert sum(language.predict(model, t)[0] == lang for t, lang in rows[::13]) >= 290
+
+
+def test_machines_reach_the_optimum_of_the_hinge_loss():
+    """Weights by dual coordinate descent against plain subgradient descent on the same loss."""
+    texts = [b"the and of to in " * k for k in (1, 2, 3)] + [b"der und die das ist " * k for k in (1, 2, 3)]
+    y = np.array([1.0, 1, 1, -1, -1, -1])
+    rows = language.Rows.of(texts)
+    w, bias = language.fit_machine(rows, np.arange(6), y)
+    x = np.concatenate([rows.dense(0), np.ones((6, 1))], 1)
+
+    def loss(v):
+        return 0.5 * v @ v + language.COST * np.maximum(0, 1 - y * (x @ v)).sum()
+
+    v = np.zeros(x.shape[1])
+    for n in range(1, 4000):
+        v -= (v - language.COST * (y * (y * (x @ v) < 1)) @ x) / (n + 50)
+    # each row may miss its condition by TOLERANCE
+    assert loss(np.append(w, bias)) <= loss(v) * 1.01 + language.COST * language.TOLERANCE * len(y)
+
+
 def test_the_pipeline_keeps_texts_with_letters_without_labels(spark):
     rows = [(1, "text", None, "s"), (2, None, None, "s"), (3, "12 !", None, "s"), (4, "日本", None, "s"), (5, "also text", "und", "s")]
     assert {r.doc_id for r in corpus_pipeline.keep_known_language(spark, documents(spark, rows), SMALL).collect()} == {1, 4, 5}

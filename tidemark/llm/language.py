@@ -25,7 +25,10 @@ ROW_BYTES = 20_000
 #: Rows of all languages; many languages share them evenly, each has one at least.
 SAMPLE_ROWS = 4000
 ROUNDS = 30
+TOLERANCE = 1e-3
 COST = 10.0
+#: Rows that are dense at a time while products of rows are taken.
+BLOCK = 512
 SCALE = 50.0
 
 # Families of languages by ISO 639-1 code.
@@ -49,20 +52,71 @@ def trigrams(text: bytes) -> np.ndarray:
     return (h * np.uint32(2654435761)) >> np.uint32(32 - BITS)
 
 
-def fit_machine(x: np.ndarray, y: np.ndarray, gram: np.ndarray | None = None) -> tuple[np.ndarray, float]:
-    """Weights and bias of a linear support vector machine (hinge loss), by dual coordinate descent; y is -1 or 1."""
-    if gram is None:
-        gram = x @ x.T + 1.0  # the bias is a constant feature
+@dataclass
+class Rows:
+    """Sparse feature rows: row n has values[starts[n] : starts[n + 1]] at columns[...]; gram: their products, and 1."""
+
+    starts: np.ndarray
+    columns: np.ndarray
+    values: np.ndarray
+    gram: np.ndarray
+
+    @classmethod
+    def of(cls, texts: list[bytes]) -> Rows:
+        columns, values = [], []
+        for text in texts:
+            g = trigrams(text)
+            found, n = np.unique(g, return_counts=True)
+            columns.append(found)
+            values.append((n * (SCALE / max(1, len(g)))).astype(np.float32))
+        starts = np.concatenate([[0], np.cumsum([len(c) for c in columns])]).astype(np.int64)
+        rows = cls(starts, np.concatenate(columns), np.concatenate(values), np.ones((len(texts), len(texts)), np.float32))
+        # only BLOCK rows at a time are dense
+        for i in range(0, len(texts), BLOCK):
+            left = rows.dense(i)
+            for j in range(0, i + 1, BLOCK):
+                product = left @ (left if i == j else rows.dense(j)).T
+                rows.gram[i : i + BLOCK, j : j + BLOCK] += product
+                if i != j:
+                    rows.gram[j : j + BLOCK, i : i + BLOCK] += product.T
+        return rows
+
+    def dense(self, at: int) -> np.ndarray:
+        ends = self.starts[at : at + BLOCK + 1]
+        out = np.zeros((len(ends) - 1, 1 << BITS), np.float32)
+        low, high = ends[0], ends[-1]
+        out[np.repeat(np.arange(len(out)), np.diff(ends)), self.columns[low:high]] = self.values[low:high]
+        return out
+
+    def sum_of(self, which: np.ndarray, factors: np.ndarray) -> np.ndarray:
+        out = np.zeros(1 << BITS)
+        for n, a in zip(which.tolist(), factors.tolist(), strict=True):
+            if a:
+                own = slice(self.starts[n], self.starts[n + 1])
+                out[self.columns[own]] += a * self.values[own]
+        return out.astype(np.float32)
+
+
+def fit_machine(rows: Rows, which: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
+    """Weights and bias of a linear support vector machine (hinge loss) on some rows, by dual coordinate descent; y is -1 or 1.
+
+    A round looks only at the rows that still break the conditions of the optimum by more than TOLERANCE.
+    """
+    gram = rows.gram if len(which) == len(rows.gram) else rows.gram[np.ix_(which, which)]
     alpha, f = np.zeros(len(y)), np.zeros(len(y))
     cost = COST * np.where(y > 0, len(y) / max(1, 2 * (y > 0).sum()), len(y) / max(1, 2 * (y < 0).sum()))
     for _ in range(ROUNDS):
-        for i in range(len(y)):
-            step = np.clip(alpha[i] + (1 - y[i] * f[i]) / gram[i, i], 0, cost[i]) - alpha[i]
+        slack = 1 - y * f
+        late = np.flatnonzero(((slack > TOLERANCE) & (alpha < cost)) | ((slack < -TOLERANCE) & (alpha > 0)))
+        if not len(late):
+            break
+        for i in late.tolist():
+            step = min(max(alpha[i] + (1 - y[i] * f[i]) / gram[i, i], 0.0), cost[i]) - alpha[i]
             if step:
                 alpha[i] += step
                 f += step * y[i] * gram[i]
     a = alpha * y
-    return (a @ x).astype(np.float32), float(a.sum())
+    return rows.sum_of(which, a), float(a.sum())
 
 
 @dataclass
@@ -84,22 +138,19 @@ def fit(rows: list[tuple[bytes, str]]) -> Model | None:
     for lang in langs:
         groups.setdefault(FAMILY_OF.get(lang, lang), []).append(lang)
     families = sorted(groups.items())
-    x = np.zeros((len(rows), 1 << BITS), np.float32)
-    for n, (text, _) in enumerate(rows):
-        g = trigrams(text)
-        x[n] = np.bincount(g, minlength=1 << BITS) * (SCALE / max(1, len(g)))
+    x = Rows.of([text for text, _ in rows])
     lang = np.array([r[1] for r in rows])
     family = np.array([FAMILY_OF.get(r[1], r[1]) for r in rows])
     names = [f for f, _ in families]
-    gram = x @ x.T + 1.0 if len(names) > 1 else None
-    heads = [fit_machine(x, np.where(family == f, 1.0, -1.0), gram) for f in (names[:1] if len(names) == 2 else names if len(names) > 2 else [])]
+    every = np.arange(len(rows))
+    heads = [fit_machine(x, every, np.where(family == f, 1.0, -1.0)) for f in (names[:1] if len(names) == 2 else names if len(names) > 2 else [])]
     pairs = []
     for _, members in families:
         at = [(a, b) for a in range(len(members)) for b in range(a + 1, len(members))]
         fitted = []
         for a, b in at:
             rows_of = np.flatnonzero((lang == members[a]) | (lang == members[b]))
-            fitted.append(fit_machine(x[rows_of], np.where(lang[rows_of] == members[a], 1.0, -1.0)))
+            fitted.append(fit_machine(x, rows_of, np.where(lang[rows_of] == members[a], 1.0, -1.0)))
         pairs.append((at, *_stack(fitted)))
     return Model(families, _stack(heads), pairs)
 
@@ -123,7 +174,11 @@ def predict(model: Model | None, text: bytes) -> tuple[str, float]:
     def margins(weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
         if not len(bias):
             return np.zeros(0)
-        return np.array([weights[:, k].take(g).sum(dtype=np.float64) for k in range(len(bias))]) * (SCALE / len(g)) + bias
+        if len(bias) <= 4:
+            return np.array([weights[:, k].take(g).sum(dtype=np.float64) for k in range(len(bias))]) * (SCALE / len(g)) + bias
+        n = np.bincount(g, minlength=1 << BITS)
+        there = np.flatnonzero(n)
+        return (n[there] * (SCALE / len(g))) @ weights[there] + bias
 
     m = margins(*model.one_vs_rest)
     if len(model.families) == 2:
@@ -175,6 +230,22 @@ def any_language() -> Model:
     return fit([(b"", "mis")])
 
 
+def known_only(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of docs (text, and any other columns) whose language can be told: a text with a letter, by the model.
+
+    Each row is judged by its own text, so identifiers may be null or repeat. Null and empty texts go. An empty table
+    gives no rows.
+    """
+    tune(docs.sparkSession)
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array([t.is_valid and predict(model, t.as_buffer().to_pybytes())[0] != UNKNOWN for t in batch.column(at)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double"
 ARROW = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()), ("score", pa.float64())])
 

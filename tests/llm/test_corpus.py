@@ -280,6 +280,49 @@ def test_near_duplicate_edges(spark):
     assert near_dups.near_duplicates(documents(spark, [])).count() == 0
 
 
+TEXT = "one two three four five six seven eight nine ten"
+
+
+def _stage(spark, number, rows):
+    docs = documents(spark, rows)
+    out = corpus_pipeline.STAGES[number][1](spark, docs, SMALL)
+    if number < 3:
+        assert out.columns == docs.columns
+    return [r.doc_id for r in out.collect()]
+
+
+@pytest.mark.parametrize("number", range(4))
+def test_stages_take_empty_tables_and_edge_rows(spark, number):
+    assert _stage(spark, number, []) == []
+    want = {0: [1, 6, 6, 7, 8, None], 1: [1, 2, 3, 4, 5, 6, 7, 8, None], 2: [i for i, *_ in EDGES], 3: None}[number]
+    found = _stage(spark, number, EDGES)
+    assert want is None or Counter(found) == Counter(want)
+    assert want is not None or set(found) == {i for i, *_ in EDGES}
+
+
+def test_stages_judge_rows_not_identifiers(spark):
+    item = spark.read.parquet(f"{SMALL}/benchmark.parquet").first().text
+    rows = [(None, f"{TEXT} {item}", "en", "s"), (None, TEXT, "en", "s"), (7, f"other words {item}", "en", "s"), (7, "a clean text of its own", "en", "s")]
+    assert _stage(spark, 2, rows) == [None, 7]
+    rows = [(None, None, "en", "s"), (None, TEXT, "en", "s"), (7, "12 !", "en", "s"), (7, "letters", "en", "s")]
+    assert _stage(spark, 0, rows) == [None, 7]
+
+
+def test_one_row_of_each_group_stays_whatever_its_identifier(spark):
+    near = TEXT + " eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty"
+    rows = [(9, TEXT, "en", "s"), (9, TEXT, "fr", "t"), (9, "quite another text stands here", "en", "s"), (None, TEXT, "en", "s"), (None, near, "en", "s"), (None, near + " more", "en", "s"),
+            (3, near + " more yet", "de", "u"), (4, None, None, None), (4, None, None, None), (5, "", "en", "s"), (5, "", "en", "s")]
+    docs = documents(spark, rows)
+    out = corpus_pipeline.keep_one_of_near_duplicates(spark, docs, SMALL).collect()
+    assert Counter((r.doc_id, r.text) for r in out) == Counter([(9, TEXT), (9, "quite another text stands here"), (3, near + " more yet"), (4, None), (4, None), (5, ""), (5, "")])
+    assert all(r.size == "clash" for r in out)
+    small, near_dups.BROADCAST_ROWS = near_dups.BROADCAST_ROWS, 0
+    try:
+        assert Counter(r.doc_id for r in near_dups.one_of_each(docs).collect()) == Counter(r.doc_id for r in out)
+    finally:
+        near_dups.BROADCAST_ROWS = small
+
+
 def test_pipeline(spark, small):
     docs, before = small, {r.doc_id: r.text for r in small.collect()}
     for name, stage in corpus_pipeline.STAGES[:-1]:

@@ -345,19 +345,18 @@ def links_between(asks: DataFrame, members: DataFrame, roots: DataFrame, nodes:
     return rows.select("root", "i", "j", "asks", "node", "sketch", "shingles").mapInArrow(run, "a long, b long").distinct()
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """For each row of docs (doc_id, text): n_shingles, component_id (smallest identifier that links reach), kept.
+def _labelled(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Stored rows (row, doc_id, text_hash, n_shingles, set_key), and for each set_key its root and the least of its rows.
 
-    Words are runs of anything but white space in the A-Z-lowered text. Null texts and texts without words have no
-    shingles and are linked with nothing. Each row is linked by its own text, also if its doc_id repeats; a null doc_id is
-    never a component's name, unless all its rows have none (then they are kept). Other columns are ignored. No links,
-    components or sets are brought to the driver.
+    first is struct(no_id, doc_id, row) of the smallest identifier, nulls last. No links, components or sets are brought
+    to the driver.
     """
     tune(docs.sparkSession)
     rows = stored(sketches(docs))
     sets = rows.filter("n_shingles > 0")
     # texts with equal sets: their smallest row stands for them
-    classes = sets.groupBy("set_key").agg(F.min("row").alias("node"), F.min("doc_id").alias("least_id"))
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")).alias("first")
+    classes = sets.groupBy("set_key").agg(F.min("row").alias("node"), least)
     nodes = stored(sets.join(classes.select("node"), sets.row == F.col("node"), "left_semi").select(F.col("row").alias("node"), "doc_id", "text_hash", "set_key", "sketch", "regions", "labels"))
     keys = nodes.select("node", F.inline(F.arrays_zip("regions", "labels"))).select("node", F.col("regions").alias("region"), F.col("labels").alias("label"))
     crowds = keys.groupBy("region").agg(F.count("*").alias("n")).filter("n > 1")
@@ -380,9 +379,48 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     asks = kept(asks_of(tiles_of(members, roots), nodes))
     last = kept(links_between(asks, members, roots, nodes, own_sets))
     roots = kept(connected_components(ties(roots).unionByName(last)))
-    named = classes.join(roots, "node", "left").select("set_key", "least_id", F.coalesce("root", "node").alias("root"))
-    least = named.groupBy("root").agg(F.min("least_id").alias("component"))
-    named = named.join(least, "root").select("set_key", "component")
+    named = classes.join(roots, "node", "left").select("set_key", "first", F.coalesce("root", "node").alias("root"))
+    return rows.select("row", "doc_id", "text_hash", "n_shingles", "set_key"), named
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """For each row of docs (doc_id, text): n_shingles, component_id (smallest identifier that links reach), kept.
+
+    Words are runs of anything but white space in the A-Z-lowered text. Null texts and texts without words have no
+    shingles and are linked with nothing. Each row is linked by its own text, also if its doc_id repeats; a null doc_id is
+    never a component's name, unless all its rows have none (then they are kept). Other columns are ignored.
+    """
+    rows, named = _labelled(docs)
+    least = named.groupBy("root").agg(F.min("first").alias("first"))
+    named = named.select("set_key", "root").join(least, "root").select("set_key", F.col("first.doc_id").alias("component"))
     out = rows.select("doc_id", "n_shingles", "set_key").join(named, "set_key", "left")
     component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"))
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of docs (doc_id, text, and any other columns), one of each group of near-duplicates, and all without words.
+
+    The row with the smallest doc_id stays, nulls last; of several with that doc_id one, so exact copies that share an
+    identifier are a group like others. An empty table gives no rows. Rejected rows are told by doc_id and a hash of the
+    text; texts are shuffled only if there are more than BROADCAST_ROWS of those.
+    """
+    rows, named = _labelled(docs)
+    stays = named.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias("row"), F.lit(True).alias("stays"))
+    texts = rows.filter("n_shingles > 0").select("row", "doc_id", "text_hash").join(stays, "row", "left")
+    judged = texts.groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).agg(F.coalesce(F.bool_or("stays"), F.lit(False)).alias("_stays"), F.count("*").alias("_n"))
+    judged = stored(judged.filter("not _stays or _n > 1"))
+    repeats = judged.filter("_stays")
+    counted = judged.agg(F.count("*"), F.count_if("_stays")).first()
+
+    def small(df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if counted[0] <= BROADCAST_ROWS else df
+
+    same = docs["doc_id"].cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(docs["text"].cast("string")) == F.col("_hash")) & docs["text"].isNotNull()
+    out = docs.join(small(judged), same, "left_anti")
+    if counted[1]:
+        # of rows with the same identifier and text, one
+        again = docs.join(small(repeats), same, "left_semi")
+        held = again.groupBy(again["doc_id"].alias("_id"), F.xxhash64(again["text"].cast("string")).alias("_hash")).agg(F.first(F.struct(*[again[c] for c in docs.columns])).alias("_row"))
+        out = out.unionByName(held.select("_row.*"))
+    return out

@@ -9,7 +9,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidemark.llm import benchmark, language, near_dups, packing
 from tidemark.llm.common import stored
@@ -20,40 +19,35 @@ from tidemark.llm.tables import table
 ORACLE_SQL = None
 
 
-#: Rejected identifiers up to so many are broadcast (8 bytes each), so that texts aren't shuffled; beyond it they are joined.
-BROADCAST_ROWS = 1_000_000
-
-
-def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """docs without the rejected identifiers (doc_id); a null identifier is a value like any other."""
-    ids = stored(rejected.select(F.col("doc_id").alias("rejected_id")).distinct())
-    if ids.count() <= BROADCAST_ROWS:
-        ids = F.broadcast(ids)
-    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("rejected_id")), "left_anti")
-
-
 def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told: null texts and texts without a letter go, and only they, labels or none.
+    """Rows whose language can be told: null texts and texts without a letter go, and only they, labels or none.
 
-    An identifier that repeats goes if its language can't be told in any of its rows.
+    Each row is judged by its own text: a null or repeated doc_id, and other columns, change nothing. An empty table
+    gives no rows.
     """
-    found = language.identify(docs, language.fit(language.training_rows(docs)) or language.any_language())
-    return _without(docs, found.groupBy("doc_id").agg(F.bool_or(F.col("lang_pred") != language.UNKNOWN).alias("known")).filter("not known"))
+    return language.known_only(docs, language.fit(language.training_rows(docs)) or language.any_language())
 
 
 def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: the one with the smallest identifier."""
-    found = near_dups.near_duplicates(docs)
-    return _without(docs, found.groupBy("doc_id").agg(F.bool_or("kept").alias("kept")).filter("not kept"))
+    """One row of each group of near-duplicates: the one with the smallest identifier, nulls last.
+
+    Exact copies that share an identifier are a group like others; rows without words all stay. Other columns change
+    nothing. An empty table gives no rows.
+    """
+    return near_dups.one_of_each(docs)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of a benchmark item."""
-    return _without(docs, benchmark.leaks(docs, table(spark, sf_dir, "benchmark")))
+    """Rows without a passage of a benchmark item.
+
+    Each row is judged by its own text: a null or repeated doc_id, and other columns, change nothing. Null and empty
+    texts stay. An empty table on either side drops nothing.
+    """
+    return benchmark.without_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of at most 2048 tokens."""
+    """Pieces of sequences of at most 2048 tokens; a null text is an empty one, rows that repeat are packed each."""
     return packing.pack(docs, TOKENIZER)
 
 

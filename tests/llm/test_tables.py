@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -91,6 +92,68 @@ def test_license_spans_survive_edits_and_are_placed(spark):
     assert [(r.doc_id, r.label) for r in spans] == [(1, "bsd")] and spans[0].first_word == 3 and 0.75 <= spans[0].likeness < 1
 
 
+def _plain_spans(text):
+    """Spans by plain loops over dictionaries and lists."""
+    words = WORDS.findall((text or "").encode().lower().decode())
+    out = Counter()
+    for label, template in licenses.TEMPLATES:
+        t = template.split(" ")
+        places = defaultdict(list)
+        for k in range(len(t) - 3):
+            places[tuple(t[k : k + 4])].append(k)
+        votes = defaultdict(set)
+        for i in range(len(words) - 3):
+            for k in places.get(tuple(words[i : i + 4]), ()):
+                votes[i - k].add(k)
+        diagonals = sorted(votes)
+        groups = []
+        for d in diagonals:
+            if groups and d - groups[-1][-1] <= licenses.DIAGONAL_GAP:
+                groups[-1].append(d)
+            else:
+                groups.append([d])
+        for g in groups:
+            best = max(g, key=lambda d: (len(votes[d]), -d))
+            coverage = min(1.0, sum(len(votes[d]) for d in g) / (len(t) - 3))
+            span, row = " ".join(words[max(best, 0) : max(best, 0) + len(t)]), list(range(len(template) + 1))
+            if coverage < licenses.MIN_COVERAGE:
+                continue
+            for n, a in enumerate(span, 1):
+                now = [n]
+                for k, b in enumerate(template, 1):
+                    now.append(min(row[k - 1] + (a != b), row[k] + 1, now[-1] + 1))
+                row = now
+            likeness = 1 - row[-1] / max(len(span), len(template))
+            if likeness >= licenses.MIN_LIKENESS:
+                out[label, max(g[0], 0), g[-1] + len(t) - 1, round(likeness, 9), round(coverage, 9)] += 1
+    return out
+
+
+def test_license_spans_against_plain_loops(spark):
+    rng, rows = np.random.default_rng(3), []
+    for n in range(60):
+        words = [f"w{k}" for k in rng.integers(0, 50, 30).tolist()]
+        for _ in range(n % 4):
+            own = licenses.TEMPLATES[rng.integers(len(licenses.TEMPLATES))][1].split(" ")
+            for at in sorted(rng.integers(0, len(own), rng.integers(0, 1 + len(own) // 8)).tolist(), reverse=True):
+                own[at : at + 1] = [[], ["changed"], [own[at], "inserted"]][rng.integers(3)]
+            at = int(rng.integers(len(words) + 1))
+            words[at:at] = own
+        rows.append((n, " ".join(words), "en", "s"))
+    got = Counter((r.doc_id, r.label, r.first_word, r.last_word, round(r.likeness, 9), round(r.coverage, 9)) for r in licenses.license_spans(documents(spark, rows)).collect())
+    want = Counter({(i, *k): n for i, t, *_ in rows for k, n in _plain_spans(t).items()})
+    assert got == want and len(want) > 40
+
+
+def test_long_texts_take_time_in_proportion(spark):
+    notice = " ".join(t for _, t in licenses.TEMPLATES)
+    rows = [(1, "word other thing more " * 250_000, "en", "s"), (2, f"{notice} " * 1000, "en", "s")]
+    started = time.perf_counter()
+    found = {r.doc_id: r for r in licenses.scan(documents(spark, rows)).collect()}
+    assert time.perf_counter() - started < 120
+    assert found[1].n_words == 1_000_000 and found[1].labels == "" and found[2].score == 1.0 and "mpl-2.0" in found[2].labels
+
+
 def test_language(spark, small):
     found = {r.doc_id: r for r in language.identify(small).collect()}
     lang = {r.doc_id: r.lang for r in small.collect()}

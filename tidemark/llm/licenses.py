@@ -1,7 +1,7 @@
 """License scan by diagonal voting, on DataFrame functions only.
 
-Every rolling k-gram of words is hashed and joined to the positions where license templates have the same k-gram.
-A hit votes for the diagonal (document position - template position); neighbouring diagonals are merged, so that a few
+Every rolling k-gram of words is hashed and joined to the positions where license templates have the same k-gram; the
+templates' grams are few, so this join is a look-up within the row, and only hits become rows. A hit votes for the diagonal (document position - template position); neighbouring diagonals are merged, so that a few
 inserted or missing words don't split a span, and each merged span is verified by edit distance against its template.
 """
 
@@ -72,9 +72,44 @@ def _places(plain: Column, words: Column, phrase: str) -> Column:
     return F.when(plain.contains(f" {phrase} "), F.filter(at, here)).otherwise(F.array().cast("array<int>"))
 
 
-def _grams(words: Column) -> Column:
+def _gram(words: Column, i: Column) -> Column:
+    return F.xxhash64(*[F.get(words, i + n) for n in range(K)])
+
+
+def _positions(known: DataFrame) -> dict[int, list[tuple]]:
+    """For each gram of the templates its places: (template, position, the word before it, the template's words).
+
+    Their number depends on the templates alone.
+    """
+    at = F.sequence(F.lit(0), F.size("t_words") - K)
+    rows = known.select("t_id", "t_n", "t_words", F.transform(at, lambda i: _gram(F.col("t_words"), i)).alias("grams")).orderBy("t_id").collect()
+    out: dict[int, list[tuple]] = {}
+    for r in rows:
+        for pos, gram in enumerate(r.grams):
+            out.setdefault(gram, []).append((r.t_id, pos, r.t_words[pos - 1] if pos else None, r.t_n))
+    return out
+
+
+def _hits(words: Column, positions: dict[int, list[tuple]]) -> Column:
+    """Array of (t_id, t_pos, diagonal, span_text) for each place where a template has the same gram.
+
+    span_text is told at the first hit of a run on a diagonal only, so that its size is in proportion to the text.
+    """
+
+    def place(t_id: int, pos: int, before: str | None, n: int) -> Column:
+        return F.struct(F.lit(t_id).alias("t_id"), F.lit(pos).alias("t_pos"), F.lit(before).cast("string").alias("before"), F.lit(n).alias("n"))
+
+    grams = sorted(positions)
+    table = F.map_from_arrays(F.array(*map(F.lit, grams)), F.array(*[F.array(*[place(*p) for p in positions[g]]) for g in grams]))
+
+    def hit(i: Column, p: Column) -> Column:
+        first = (i == 0) | p["before"].isNull() | (F.get(words, i - 1) != p["before"])
+        span = F.array_join(F.slice(words, F.greatest(i - p["t_pos"], F.lit(0)) + 1, p["n"]), " ")
+        return F.struct(p["t_id"].alias("t_id"), p["t_pos"].alias("t_pos"), (i - p["t_pos"]).alias("diagonal"), F.when(first, span).alias("span_text"))
+
     at = F.sequence(F.lit(0), F.size(words) - K)
-    return F.when(F.size(words) >= K, F.transform(at, lambda i: F.xxhash64(*[F.get(words, i + n) for n in range(K)])))
+    there = F.filter(at, lambda i: _gram(words, i).isin(*grams))
+    return F.when(F.size(words) >= K, F.flatten(F.transform(there, lambda i: F.transform(F.element_at(table, _gram(words, i)), lambda p: hit(i, p)))))
 
 
 def _templates(spark, templates) -> DataFrame:
@@ -89,25 +124,20 @@ def license_spans(docs: DataFrame, templates=TEMPLATES) -> DataFrame:
     """Verified spans: doc_id, id_hash, text_hash, label, first_word, last_word, likeness, coverage.
 
     docs has doc_id and text; other columns are ignored. Rows with the same id and text give the same spans once.
-    Null or empty texts have none. Nothing but hits is shuffled, once, by document.
+    Null or empty texts have none; a text that fits several templates has a span of each. Nothing but hits is shuffled,
+    once, by document.
     """
     key = ["doc_id", "id_hash", "text_hash"]
     known = _templates(docs.sparkSession, templates)
-    grams = docs.select("doc_id", F.xxhash64("doc_id").alias("id_hash"), F.xxhash64("text").alias("text_hash"), words_of(F.col("text")).alias("words")).select(
-        *key, "words", F.posexplode(_grams(F.col("words"))).alias("pos", "gram")
-    )
-    positions = known.select("t_id", "t_n", F.posexplode(_grams(F.col("t_words"))).alias("t_pos", "gram"))
-    start = F.greatest(F.col("pos") - F.col("t_pos"), F.lit(0))
+    texts = docs.select("doc_id", F.xxhash64("doc_id").alias("id_hash"), F.xxhash64("text").alias("text_hash"), words_of(F.col("text")).alias("words"))
+    hits = texts.select(*key, F.explode(_hits(F.col("words"), _positions(known))).alias("hit")).select(*key, "hit.*")
     # on a diagonal each position of the template is one bit
-    bits = [F.when(F.floor(F.col("t_pos") / 64) == n, F.call_function("shiftleft", F.lit(1).cast("long"), F.col("t_pos") % 64)).otherwise(F.lit(0).cast("long")).alias(f"bits{n}") for n in range(2)]
-    hits = grams.join(F.broadcast(positions), "gram").select(
-        *key, "t_id", (F.col("pos") - F.col("t_pos")).alias("diagonal"), *bits, F.array_join(F.slice("words", start + 1, F.col("t_n")), " ").alias("span_text")
-    )
+    bits = [F.bit_or(F.when(F.floor(F.col("t_pos") / 64) == n, F.call_function("shiftleft", F.lit(1).cast("long"), F.col("t_pos") % 64)).otherwise(F.lit(0).cast("long"))).alias(f"bits{n}") for n in range(2)]
     votes = (
         hits.repartition("id_hash", "text_hash")
         .groupBy(*key, "t_id", "diagonal")
         # span_text follows from the diagonal, so max() only picks the common value
-        .agg(F.bit_or("bits0").alias("bits0"), F.bit_or("bits1").alias("bits1"), F.max("span_text").alias("span_text"))
+        .agg(*bits, F.max("span_text").alias("span_text"))
         .withColumn("votes", F.bit_count("bits0") + F.bit_count("bits1"))
     )
     near = W.partitionBy(*key, "t_id").orderBy("diagonal")

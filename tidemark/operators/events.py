@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import dates, text
 from tidemark.functions.numbers import clamp, jaccard
 from tidemark.operators.graph import connected_components
+from tidemark.shared import stored
 
 #: Titles alike at least this much may be of one event; the stricter value serves where no setting can be read.
 SIMILAR, SIMILAR_FALLBACK = 0.30, 0.46
@@ -83,7 +84,7 @@ def lead_events(signals: DataFrame, similar: float = SIMILAR, opens: int = 70) -
         return pd.DataFrame(out, columns=["signal", "event", "state"])
 
     first = placed.join(edges, "signal", "left").groupBy("block").applyInPandas(run, "signal long, event long, state string")
-    first = first.checkpoint() if signals.sparkSession.sparkContext.getCheckpointDir() else first
+    first = stored(first)
     leaders = every.join(first.filter("state = 'opened'").select("signal"), "signal", "left_semi").withColumnRenamed("signal", "event")
     late = every.filter(F.col("eventability") < opens)
     found = attach(match(late, leaders, similar))

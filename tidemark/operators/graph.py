@@ -2,18 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-def _cut(df: DataFrame) -> DataFrame:
-    """df written to the shared checkpoint folder, lineage cut; a folder of its own only where none is named (tests)."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tidemark-"))
-    return df.checkpoint(eager=True)
+from tidemark.shared import stored
 
 
 def _mark(edges: DataFrame) -> tuple:
@@ -28,7 +20,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     neighbours to it, until nothing changes. A node with many edges is pre-aggregated before each shuffle. Null ends and
     loops are ignored: a node with loops alone isn't returned.
     """
-    now = _cut(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("a is not null and b is not null and a <> b").distinct())
+    now = stored(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("a is not null and b is not null and a <> b").distinct())
     seen = _mark(now)
     for _ in range(max_rounds):
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -36,7 +28,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u")
-        now = _cut(small.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v"))).distinct())
+        now = stored(small.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v"))).distinct())
         after = _mark(now)
         if after == seen:
             break

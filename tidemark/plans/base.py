@@ -44,7 +44,7 @@ def signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = docs.withColumns({"n": number, "title": F.split_part("text", F.lit("\n"), F.lit(1))})
     docs = docs.withColumns(
         {
-            "summary": F.substring("text", F.length("title") + 2, F.lit(300)),
+            "summary": F.substring("text", F.length("title") + 2, F.length("text")),
             "tier": F.when(F.col("n") % 4 > 0, F.col("n") % 4),
             "track": F.expr("element_at(array('official', 'official', 'media', 'kol', 'aggregator'), n % 5 + 1)"),
             "category": F.expr("element_at(array('vendor', 'research', 'industry'), n % 3 + 1)"),
@@ -63,7 +63,7 @@ SIGNALS = """
 s0 AS (
   SELECT doc_id, text, lang, source, CAST(regexp_extract(source, '(\\d+)$', 1) AS INT) AS n, split_part(text, chr(10), 1) AS title FROM documents
 ), signals AS (
-  SELECT *, substr(text, length(title) + 2, 300) AS summary, CASE WHEN n % 4 > 0 THEN n % 4 END AS tier,
+  SELECT *, substr(text, length(title) + 2) AS summary, CASE WHEN n % 4 > 0 THEN n % 4 END AS tier,
     ['official', 'official', 'media', 'kol', 'aggregator'][n % 5 + 1] AS track, ['vendor', 'research', 'industry'][n % 3 + 1] AS category,
     CASE WHEN n % 2 = 0 THEN 'social' ELSE 'expert' END AS voice, 'https://example.org/d/' || doc_id AS url,
     CASE WHEN doc_id % 3 > 0 THEN 'Author ' || (doc_id % 50) END AS author,

@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.plans import scoring, streams, watching
+from tidemark.plans import reporting, scoring, streams, watching
 from tidemark.plans.base import ORACLES, QUERIES
 
-__all__ = ["queries", "oracle_sql", "scoring", "streams", "watching"]
+__all__ = ["queries", "oracle_sql", "reporting", "scoring", "streams", "watching"]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -139,7 +139,7 @@ _MATCH_SQL = f"""{TITLED}, k AS (
   SELECT p_partkey, seen, {sql_fingerprint('title')} AS fp, {sql_facet('title')} AS facet, {sql_tokens('title')} AS tk FROM titled
 ), kb AS (SELECT *, CASE facet WHEN 'update' THEN 'release' WHEN 'benchmark' THEN 'capability' ELSE facet END AS bucket FROM k), m AS (
   SELECT s.p_partkey AS signal, e.p_partkey AS event, coalesce(s.fp = e.fp, false) AS same_fp, s.bucket = e.bucket AS same_bucket, round({sql_jaccard('s.tk', 'e.tk')}, 6) AS similarity
-  FROM kb s JOIN kb e ON s.p_partkey > 60 AND e.p_partkey <= 60 AND abs(epoch_us(s.seen) - epoch_us(e.seen)) <= 504 * 3600000000
+  FROM kb s JOIN kb e ON s.seen >= TIMESTAMP '2024-01-01 09:00:00' AND e.seen < TIMESTAMP '2024-01-01 09:00:00' AND abs(epoch_us(s.seen) - epoch_us(e.seen)) <= 504 * 3600000000
   WHERE CASE WHEN s.fp <> e.fp THEN false
     WHEN s.fp = e.fp THEN s.bucket = e.bucket AND abs(epoch_us(s.seen) - epoch_us(e.seen)) <= (CASE s.bucket WHEN 'incident' THEN 168 ELSE 504 END) * 3600000000
     ELSE abs(epoch_us(s.seen) - epoch_us(e.seen)) <= 96 * 3600000000 AND {sql_jaccard('s.tk', 'e.tk')} >= 0.30 END
@@ -150,7 +150,8 @@ _MATCH_SQL = f"""{TITLED}, k AS (
 SELECT signal, any_value(event) AS event, CAST(round_even(100 * any_value(similarity), 0) AS INT) AS relevance FROM p WHERE place = 1 GROUP BY signal HAVING count(*) = 1""")
 def q14_attach_best(spark: SparkSession, sf_dir: str) -> DataFrame:
     keyed = events.keyed(titles(spark, sf_dir), True)
-    late, known = keyed.filter("p_partkey > 60").withColumnRenamed("p_partkey", "signal"), keyed.filter("p_partkey <= 60").withColumnRenamed("p_partkey", "event")
+    # what was there in the first hours are the known events: a fixed share of all rows
+    late, known = keyed.filter("at >= '2024-01-01 09:00:00'").withColumnRenamed("p_partkey", "signal"), keyed.filter("at < '2024-01-01 09:00:00'").withColumnRenamed("p_partkey", "event")
     return events.attach(events.match(late, known)).select("signal", "event", F.bround(100 * F.col("similarity")).cast("int").alias("relevance"))
 
 
@@ -238,11 +239,11 @@ def q20_status_transition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("next_status", events.next_status(F.col("status"), F.col("codes"), F.col("lead_days"))).groupBy("status", "next_status").agg(F.count("*").alias("n"))
 
 
-@query(f"""WITH {SIGNALS}, a AS (SELECT source, CASE WHEN trim(CASE WHEN doc_id % 4 = 0 THEN summary ELSE '' END) <> '' THEN 'has_text' WHEN n = 7 THEN 'unfetched' WHEN n % 4 = 1 THEN 'withheld' WHEN n % 4 = 2 THEN 'unfetched' ELSE 'withheld' END AS state FROM signals WHERE doc_id % 5 = 1 OR n % 2 = 0)
+@query(f"""WITH {SIGNALS}, a AS (SELECT source, CASE WHEN trim(CASE WHEN doc_id % 4 = 0 THEN summary ELSE '' END) <> '' THEN 'has_text' WHEN n = 7 THEN 'unfetched' WHEN n % 4 = 1 THEN 'withheld' WHEN n % 4 = 2 THEN 'unfetched' ELSE 'withheld' END AS state FROM signals)
 SELECT source, count(*) FILTER (state = 'has_text') AS has_text, count(*) FILTER (state = 'unfetched') AS unfetched, count(*) FILTER (state = 'withheld') AS withheld,
   count(*) FILTER (state = 'withheld') > 0 AS needs_source_link, CASE WHEN bool_or(state = 'has_text') THEN 'has_text' WHEN bool_or(state = 'unfetched') THEN 'unfetched' ELSE 'withheld' END AS thin_reason FROM a GROUP BY source""")
 def q21_thin_reason(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = signals(spark, sf_dir).filter("doc_id % 5 = 1 or n % 2 = 0")
+    s = signals(spark, sf_dir)
     note = F.when(F.col("n") % 4 == 1, "ai-input=no").when(F.col("n") % 4 == 2, "excerpt").otherwise("title and link")
     state = events.availability(F.col("n") != 7, F.when(F.col("doc_id") % 4 == 0, F.col("summary")), note, F.lit(False))
     counts = [F.count_if(F.col("state") == x).alias(x) for x in ("has_text", "unfetched", "withheld")]

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import ledgers
 from tidemark.plans.base import query
 from tidemark.plans.watching import _RUNS_SQL, STATUS
+from tidemark.shared import shared_dir
 from tidemark.streaming import state
 
 
@@ -21,11 +21,20 @@ def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _finish(spark: SparkSession, stream: DataFrame, mode: str) -> DataFrame:
-    name = "s" + uuid.uuid4().hex
-    kept = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tidemark-")
-    run = stream.writeStream.outputMode(mode).format("memory").queryName(name).option("checkpointLocation", f"{kept}/{name}").trigger(availableNow=True).start()
+    """What the stream has written when it has read all there is, in files of the shared folder.
+
+    A batch that is repeated replaces its own files; in complete mode each batch replaces all that came before.
+    """
+    at = f"{shared_dir(spark)}/{uuid.uuid4().hex}"
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{at}/out" if mode == "complete" else f"{at}/out/batch={number}")
+
+    # a stream without rows has no batch
+    spark.createDataFrame([], stream.schema).write.parquet(f"{at}/out/batch=-1")
+    run = stream.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", f"{at}/log").trigger(availableNow=True).start()
     run.awaitTermination()
-    return spark.table(name)
+    return spark.read.parquet(f"{at}/out").select(*stream.columns)
 
 
 @query("SELECT user_id, event_type, min(ts) AS first_observed_at, count(*) AS observations FROM events GROUP BY user_id, event_type")

@@ -187,16 +187,16 @@ def q38_coverage_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("capability", "demand", "independent", ledgers.gap_light(F.col("demand"), F.col("independent"), F.col("ok")).alias("light"))
 
 
-_DAY_SQL = """e AS (SELECT p_partkey AS id, p_size AS day, CASE WHEN p_partkey % 9 = 0 THEN 'fp' || (p_partkey % 4) END AS fp, CASE WHEN p_brand <> 'Brand#11' THEN p_brand ELSE 'industry' END AS company, CASE WHEN p_partkey % 5 > 0 THEN p_partkey % 5 END AS track,
-  string_split(p_type, ' ')[1] AS category FROM part WHERE p_partkey % 4 = 0)"""
+_DAY_SQL = """e AS (SELECT p_partkey AS id, p_size * 100000 + p_partkey // 2000 AS day, CASE WHEN p_partkey % 9 = 0 THEN 'fp' || (p_partkey % 4) END AS fp, CASE WHEN p_brand <> 'Brand#11' THEN p_brand ELSE 'industry' END AS company, CASE WHEN p_partkey % 5 > 0 THEN p_partkey % 5 END AS track,
+  string_split(p_type, ' ')[1] AS category FROM part)"""
 
 
 @query(f"""WITH {_DAY_SQL} SELECT a.id AS a, b.id AS b, CASE WHEN a.fp = b.fp THEN 1 WHEN (a.company = b.company AND a.company <> 'industry') OR a.track = b.track OR a.category = b.category THEN 2 ELSE 4 END AS distance,
   CASE WHEN a.fp = b.fp THEN 'fingerprint' ELSE concat_ws(',', CASE WHEN a.company = b.company AND a.company <> 'industry' THEN 'company' END, CASE WHEN a.track = b.track THEN 'track' END, CASE WHEN a.category = b.category THEN 'category' END) END AS shared
 FROM e a JOIN e b ON a.day = b.day AND a.id < b.id""")
 def q39_pair_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "part").filter("p_partkey % 4 = 0").select(
-        F.col("p_partkey").alias("id"), F.col("p_size").alias("day"), F.when(F.col("p_partkey") % 9 == 0, F.concat(F.lit("fp"), F.col("p_partkey") % 4)).alias("fp"),
+    e = table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("id"), (F.col("p_size") * 100000 + F.floor(F.col("p_partkey") / 2000)).alias("day"), F.when(F.col("p_partkey") % 9 == 0, F.concat(F.lit("fp"), F.col("p_partkey") % 4)).alias("fp"),
         F.when(F.col("p_brand") == "Brand#11", "industry").otherwise(F.col("p_brand")).alias("company"), F.when(F.col("p_partkey") % 5 > 0, F.col("p_partkey") % 5).cast("string").alias("track"),
         F.split_part("p_type", F.lit(" "), F.lit(1)).alias("category"),
     )
@@ -243,7 +243,9 @@ def q44_canonical_url(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", text.canonical_url(F.col("url")).alias("url_canonical"))
 
 
-_VISIBLE_SQL = r"trim(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->', ' ', 'g'), '<[^>]*>', ' ', 'g'), '\s+', ' ', 'g'))"
+# the references that the table has; an ampersand goes last
+_DECODED_SQL = r"replace(replace(replace(replace(regexp_replace(regexp_replace(html, '(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->', ' ', 'g'), '<[^>]+>', ' ', 'g'), '&copy;', '©'), '&middot;', '·'), '&quot;', chr(34)), '&amp;', '&')"
+_VISIBLE_SQL = rf"trim(regexp_replace({_DECODED_SQL}, '\s+', ' ', 'g'))"
 
 
 @query(f"SELECT page_id, md5({_VISIBLE_SQL}) AS digest, length({_VISIBLE_SQL}) AS n_chars FROM pages")
@@ -364,18 +366,21 @@ def q58_terminal_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codes.select("event", F.size("codes").cast("long").alias("blockers"), terminal.alias("terminal"))
 
 
-_AUTHORS = ("", "Ada Lovelace", "By Grace Hopper, Ph.D.", "newsbot", "octo-user", "NVIDIA", "Alan Turing and Kurt Goedel", "Research Team", "ada lovelace", "(hidden)")
+_AUTHORS = ("", "Ada Lovelace", "By Grace Hopper, Ph.D.", "newsbot", "octo-user", "NVIDIA", "Alan Turing and Kurt Goedel", "Research Team", "ada lovelace", "(hidden)",
+            "Press Smith", "Jane Labs Doe", "NVIDIA Community", "Steering Committee", "dependabot", "github-actions[bot]", "Son Ho, Cedric Fournet", "Jo March, MSc, Jr.", "karpathy (hidden)", "press office.")
 
 
-@query("WITH a AS (SELECT c_custkey, ['none', 'person', 'person', 'handle', 'handle', 'org', 'multi_person', 'org', 'unknown', 'none'][c_custkey % 10 + 1] AS author_kind FROM customer) SELECT author_kind, count(*) AS n, min(c_custkey) AS first_sample FROM a GROUP BY 1")
+@query("WITH a AS (SELECT c_custkey, ['none', 'person', 'person', 'handle', 'handle', 'org', 'multi_person', 'org', 'unknown', 'none', 'person', 'person', 'org', 'org', 'machine', 'machine', 'multi_person', 'person', 'handle', 'org'][c_custkey % 20 + 1] AS author_kind FROM customer) SELECT author_kind, count(*) AS n, min(c_custkey) AS first_sample FROM a GROUP BY 1")
 def q59_author_kind(spark: SparkSession, sf_dir: str) -> DataFrame:
     author = F.element_at(F.array(*[F.lit(a) for a in _AUTHORS]), (F.col("c_custkey") % len(_AUTHORS) + 1).cast("int"))
     return table(spark, sf_dir, "customer").groupBy(text.author_kind(author).alias("author_kind")).agg(F.count("*").alias("n"), F.min("c_custkey").alias("first_sample"))
 
 
-@query()
+@query(f"""WITH {SIGNALS}, t AS (SELECT doc_id, lower(title) AS t FROM signals), w AS (SELECT unnest(['the', 'and', 'that', 'in']) AS word),
+p AS (SELECT doc_id, word, strpos(t, word) AS at, t FROM t, w WHERE strpos(t, word) > 0),
+h AS (SELECT doc_id, word, at FROM p WHERE NOT regexp_matches(CASE WHEN at > 1 THEN substr(t, at - 1, 1) ELSE ' ' END || substr(t, at + length(word), 1), '[\\p{{L}}\\p{{N}}]'))
+SELECT t.doc_id, coalesce(string_agg('nation:' || upper(word), ',' ORDER BY at), '') AS entity_hits FROM t LEFT JOIN h ON t.doc_id = h.doc_id GROUP BY t.doc_id""")
 def q60_entity_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Held against a plain loop in the tests."""
     from tidemark.operators.entities import match_entities
 
     names = [("nation:" + n, n.lower(), "company") for n in ("THE", "AND", "THAT", "IN")]

@@ -5,6 +5,7 @@ from __future__ import annotations
 import html as _html
 import json
 import re
+from urllib.parse import urlsplit
 import xml.etree.ElementTree as ET
 from collections.abc import Callable
 
@@ -82,15 +83,17 @@ def read_feed(body: str | None, quota: int) -> list[dict]:
 
 
 def slug_title(url: str) -> str:
-    """A title from an address: words of the last path part, with numbers that make a version joined by a point."""
-    words = [w for w in re.split(r"[-_]+", url.rstrip("/").rpartition("/")[2].partition("?")[0].removesuffix(".html")) if w]
-    out: list[str] = []
-    for w in words:
-        if w.isdigit() and len(w) <= 2 and out and re.fullmatch(r"\d+(\.\d+)?", out[-1]) and len(out[-1]) <= 4:
-            out[-1] += f".{w}"
-        else:
-            out.append(w)
-    return " ".join(w if w[:1].isdigit() else w[:1].upper() + w[1:] for w in out)
+    """A title from the last part of an address: two short numbers after a word with a letter are a version."""
+    last = re.sub(r"\.(?:html?|php|aspx?)$", "", urlsplit(url).path.rstrip("/").rpartition("/")[2])
+    words = [w for w in re.split("[-_]+", last) if w]
+    # a version is marked first, so that its two numbers are one word in what follows
+    version = [re.fullmatch(r"\d{1,2}", w) is not None for w in words]
+    title, n = [], 0
+    while n < len(words):
+        pair = n + 1 < len(words) and version[n] and version[n + 1] and bool(title) and re.search(r"[^\W\d_]", title[-1]) is not None
+        title.append(f"{words[n]}.{words[n + 1]}" if pair else words[n])
+        n += 2 if pair else 1
+    return " ".join(w if w.isupper() or re.search(r"\d", w) else w.capitalize() for w in title)
 
 
 def read_sitemap(body: str | None, quota: int, prefix: str = "", hints: tuple[str, ...] = ()) -> list[dict]:
@@ -163,7 +166,7 @@ def release_notes(pages: DataFrame) -> DataFrame:
     chunk = cut.select("page_id", "part", (F.col("part") == F.col("n") - 1).alias("tail"), F.split_part("chunk", F.lit("\u0002"), F.lit(1)).alias("anchor"), F.regexp_replace(F.split_part("chunk", F.lit("\u0002"), F.lit(2)), r"^[^>]*>", "").alias("body"))
     items = F.regexp_extract_all("body", F.lit(r"(?is)<li[^>]*>(.*?)</li>"), 1)
     rest = F.regexp_replace("body", r"(?is)<li[^>]*>.*?</li>", " ")
-    rows = F.concat(F.transform(items, text.strip_tags), F.filter(F.array(text.strip_tags(rest)), lambda t: F.length(t) >= 40))
+    rows = F.concat(text.strip_all(items), F.filter(F.array(text.strip_tags(rest)), lambda t: F.length(t) >= 40))
     flat = chunk.select("page_id", "part", "tail", "anchor", F.posexplode(rows).alias("pos", "text"))
     date = dates.entry_date(F.replace("anchor", F.lit("-"), F.lit(" ")))
     return flat.select("page_id", "part", "pos", "tail", "anchor", "text", date["iso"].alias("date"), text.lifecycle(F.col("text")).alias("lifecycle"), text.model_ids(F.col("text")).alias("model_ids"))

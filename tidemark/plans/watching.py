@@ -377,9 +377,9 @@ def q59_author_kind(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""WITH {SIGNALS}, t AS (SELECT doc_id, lower(title) AS t FROM signals), w AS (SELECT unnest(['the', 'and', 'that', 'in']) AS word),
-p AS (SELECT doc_id, word, strpos(t, word) AS at, t FROM t, w WHERE strpos(t, word) > 0),
-h AS (SELECT doc_id, word, at FROM p WHERE NOT regexp_matches(CASE WHEN at > 1 THEN substr(t, at - 1, 1) ELSE ' ' END || substr(t, at + length(word), 1), '[\\p{{L}}\\p{{N}}]'))
-SELECT t.doc_id, coalesce(string_agg('nation:' || upper(word), ',' ORDER BY at), '') AS entity_hits FROM t LEFT JOIN h ON t.doc_id = h.doc_id GROUP BY t.doc_id""")
+p AS (SELECT doc_id, word, strpos(t, word) AS place, t FROM t, w WHERE strpos(t, word) > 0),
+h AS (SELECT doc_id, word, place FROM p WHERE NOT regexp_matches(CASE WHEN place > 1 THEN substr(t, place - 1, 1) ELSE ' ' END || substr(t, place + length(word), 1), '[\\p{{L}}\\p{{N}}]'))
+SELECT t.doc_id, coalesce(string_agg('nation:' || upper(word), ',' ORDER BY place), '') AS entity_hits FROM t LEFT JOIN h ON t.doc_id = h.doc_id GROUP BY t.doc_id""")
 def q60_entity_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.operators.entities import match_entities
 

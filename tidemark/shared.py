@@ -14,7 +14,7 @@ def shared_dir(spark: SparkSession) -> str:
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
-    if not named and not context.getCheckpointDir() and not context.master.startswith("local["):
+    if not named and not context.getCheckpointDir() and context.master.split("[")[0] != "local":
         raise ValueError("spark.checkpoint.dir isn't set: name a folder that all machines share")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="tidemark-"))

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import gc
 import os
-import tempfile
 import time
 from collections.abc import Iterator
 from pathlib import Path
@@ -13,6 +12,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.shared import stored
+
+__all__ = ["ascii_lower", "crc32_of", "gathered", "release", "stored", "tune"]
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -25,22 +28,6 @@ def tune(spark: SparkSession, rows: int = 256) -> None:
         env["PYTHONPATH"] = os.pathsep.join(filter(None, [root, env.get("PYTHONPATH", "")]))
 
 
-def ensure_shared_dir(spark: SparkSession) -> None:
-    """Use the folder of spark.checkpoint.dir; only where none is set (local tests), make one."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(named)
-    elif spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))
-
-
-def stored(df: DataFrame) -> DataFrame:
-    """df, computed once and written to the shared checkpoint folder, with its lineage cut."""
-    ensure_shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def release(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of frames that nothing refers to any more; call it after stored()."""
     # the first round drops Python's hold on the JVM's objects, the second finds them free

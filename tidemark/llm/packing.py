@@ -10,6 +10,7 @@ only a task's last sequences can have much padding.
 
 from __future__ import annotations
 
+import gc
 import json
 import re
 import unicodedata
@@ -24,7 +25,7 @@ import regex
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer, normalizers, pre_tokenizers
+from tokenizers import Tokenizer, pre_tokenizers
 
 from tidemark.llm.common import tune
 
@@ -36,9 +37,9 @@ END_ID = 1
 #: Waiting tokens from which sequences are filled, in sequences.
 POOL = 128
 #: Words remembered at most, about; of a full half, the older half goes.
-CACHE = 800_000
+CACHE = 600_000
 #: Characters that are split into pieces at once; longer texts are taken in parts that end at a space.
-PART = 8 << 20
+PART = 6 << 20
 
 
 def _byte_letters() -> dict[int, str]:
@@ -62,7 +63,8 @@ class Ids:
 
     def __init__(self, path: str) -> None:
         self.whole = Tokenizer.from_file(path)
-        told = json.loads(self.whole.to_str())
+        with open(path, encoding="utf-8") as file:
+            told = json.load(file)
         norm, split = told["normalizer"] or {}, told["pre_tokenizer"] or {}
         kinds = [x["type"] for x in norm.get("normalizers", [])], [x["type"] for x in split.get("pretokenizers", [])]
         self.by_word = (
@@ -73,8 +75,9 @@ class Ids:
         )
         if not self.by_word:
             return
-        self.words = Tokenizer.from_file(path)
-        self.words.normalizer, self.words.pre_tokenizer = normalizers.Sequence([]), pre_tokenizers.WhitespaceSplit()
+        # the same model, for words that are already cut and lower-cased
+        self.words = Tokenizer(self.whole.model)
+        self.words.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         self.ends = np.zeros(self.whole.get_vocab_size(), bool)
         for token, n in self.whole.get_vocab().items():
             self.ends[n] = token.endswith("</w>")
@@ -84,6 +87,13 @@ class Ids:
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
+    def forget(self) -> None:
+        """Give the memory of a task's words back: a worker process lives on and serves other operators."""
+        if self.by_word:
+            self.young, self.old = {}, {}
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+
     def __call__(self, texts: list[str]) -> list[bytes]:
         if not self.by_word:
             return [np.asarray(x.ids, "<u4").tobytes() for x in self.whole.encode_batch_fast(texts, add_special_tokens=False)]
@@ -180,7 +190,7 @@ class Ids:
 
 @cache
 def ids_of(path: str) -> Ids:
-    """One for each tokenizer file and worker process, whose tasks share the remembered words."""
+    """One for each tokenizer file and worker process, as reading the file takes seconds."""
     return Ids(path)
 
 
@@ -307,6 +317,7 @@ def pack(docs: DataFrame, tokenizer: str, limits: tuple[int, int, int] = LIMITS,
             if rows:
                 yield pa.record_batch([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], schema=ARROW)
                 rows.clear()
+        ids.forget()
         placed(packer.finish())
         if rows:
             yield pa.record_batch([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], schema=ARROW)

@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import time
 from collections import Counter
 
 import pytest
@@ -71,6 +72,15 @@ def test_broken_markup_doesnt_crash(html):
     html_text.content_blocks(html)
 
 
+@pytest.mark.parametrize("kind", ["div", "p><div", "section class=x", "header", "span"])
+def test_deep_nesting_takes_time_in_proportion(kind):
+    tag = kind.split(">")[-1].strip("<").split()[0]
+    page = "<body>" + "".join(f"<{kind}>text number {n} of it all " for n in range(20_000)) + f"</{tag}>" * 20_000
+    started = time.perf_counter()
+    found = html_text.content_blocks(page)
+    assert time.perf_counter() - started < 20 and (tag == "header") == (not found)
+
+
 def test_smoothing_keeps_a_constant():
     assert html_text.smoothed([3.0] * 5) == pytest.approx([3.0] * 5)
 

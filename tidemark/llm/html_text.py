@@ -59,6 +59,9 @@ class _Lines(HTMLParser):
         self.stack: list[tuple[str, bool, int]] = []
         self.named: set[int] = set()
         self.hidden = 0
+        # what stands open: the outermost head's place, and the number of articles
+        self.head: int | None = None
+        self.articles = 0
         self.region = 0
         self.kinds = {0: ""}
         self.parents = {0: -1}
@@ -87,7 +90,7 @@ class _Lines(HTMLParser):
         names = f"{given.get('class') or ''} {given.get('id') or ''}".split()
         hides = (
             tag in RAW
-            or (tag in CHROME and not (tag == "header" and self.inside("article")))
+            or (tag in CHROME and not (tag == "header" and self.articles))
             or (given.get("role") or "").lower() in CHROME_ROLES
             or "hidden" in given
             or (given.get("aria-hidden") or "").lower() == "true"
@@ -98,6 +101,10 @@ class _Lines(HTMLParser):
         if tag in ("p", "li", "dt", "dd", "tr", "td", "th", "option"):
             self.imply(tag)
         self.tags += 1
+        if tag == "head" and self.head is None:
+            self.head = len(self.stack)
+        if tag == "article":
+            self.articles += 1
         self.stack.append((tag, hides, self.region))
         if hides:
             self.hidden += 1
@@ -108,23 +115,12 @@ class _Lines(HTMLParser):
             if named:
                 self.named.add(self.region)
 
-    def ancestry(self, region: int) -> list[int]:
-        """The region and those around it, outermost first."""
-        out = []
-        while region >= 0:
-            out.append(region)
-            region = self.parents[region]
-        return out[::-1]
-
     def end_head(self, always: bool) -> None:
         """The end of an open head, whose end tag may be left out; always: even if a part of the head is still open."""
-        n = next((n for n, x in enumerate(self.stack) if x[0] == "head"), None)
+        n = self.head
         if n is not None and (always or n == len(self.stack) - 1):
             self.cut(n)
 
-    def inside(self, tag: str) -> bool:
-        return any(x[0] == tag for x in self.stack)
-
     def imply(self, tag: str) -> None:
         """A new paragraph, item or cell ends the one that is open in the same container."""
         for n in range(len(self.stack) - 1, -1, -1):
@@ -138,6 +134,9 @@ class _Lines(HTMLParser):
     def cut(self, n: int) -> None:
         self.region = self.stack[n][2]
         self.hidden -= sum(x[1] for x in self.stack[n:])
+        self.articles -= sum(x[0] == "article" for x in self.stack[n:])
+        if self.head is not None and self.head >= n:
+            self.head = None
         del self.stack[n:]
 
     def handle_endtag(self, tag: str) -> None:
@@ -169,18 +168,21 @@ def unhidden(parser: _Lines) -> list[tuple[int, str, int]]:
     If no article outside of them has text, those that hold an article with text are none; if there is no such article
     either, those that hold most of the page's text.
     """
-    around = {region: parser.ancestry(region) for region, _, _ in parser.lines}
-    of_article = {region: any(parser.kinds[r] in ("article", "main") for r in around[region]) for region in around}
-    chrome = {region: parser.named.intersection(around[region]) for region in around}
+    # regions are numbered from outside to inside, so each takes from its parent: the named ones around it (itself
+    # included), and the named ones around the outermost article it is in
+    chrome: dict[int, frozenset[int]] = {-1: frozenset()}
+    of_article: dict[int, frozenset[int] | None] = {-1: None}
+    for region, kind in parser.kinds.items():
+        up = parser.parents[region]
+        of_article[region] = chrome[up] if of_article[up] is None and kind in ("article", "main") else of_article[up]
+        chrome[region] = chrome[up] | {region} if region in parser.named else chrome[up]
     shown = set()
-    if not any(of_article[r] and not chrome[r] for r in around):
+    if not any(of_article[r] is not None and not chrome[r] for r, _, _ in parser.lines):
         size, articles = dict.fromkeys(parser.named, 0), set()
         for region, text, _ in parser.lines:
             for at in chrome[region]:
                 size[at] += len(text)
-            if of_article[region]:
-                top = next(n for n, r in enumerate(around[region]) if parser.kinds[r] in ("article", "main"))
-                articles |= parser.named.intersection(around[region][:top])
+            articles |= of_article[region] or frozenset()
         total = sum(len(text) for _, text, _ in parser.lines)
         shown = articles or {at for at, n in size.items() if 2 * n > total}
     return [x for x in parser.lines if chrome[x[0]] <= shown]
@@ -217,15 +219,20 @@ def content_blocks(html: str) -> list[str]:
     # a line is not dense by its neighbours alone
     alone = min(sum(own) / len(own) / 2, math.log1p(DENSE))
     dense = [(region, len(text)) for (region, text, _), r, o in zip(lines, ratios, own, strict=True) if r >= least and o >= alone] or [(region, len(text)) for region, text, _ in lines]
-    around = {region: parser.ancestry(region) for region, _, _ in lines}
-    articles = {r for r, kind in parser.kinds.items() if kind in ("article", "main")}
-    inside = sum(n for region, n in dense if articles.intersection(around[region]))
+    in_article, last = {-1: False}, list(range(len(parser.kinds)))
+    for region, kind in parser.kinds.items():
+        in_article[region] = in_article[parser.parents[region]] or kind in ("article", "main")
+    inside = sum(n for region, n in dense if in_article[region])
     if 2 * inside >= sum(n for _, n in dense):
-        return [text for region, text, _ in lines if articles.intersection(around[region])]
-    common = around[dense[0][0]]
-    for region, _ in dense:
-        common = [r for r, other in zip(common, around[region], strict=False) if r == other]
-    return [text for region, text, _ in lines if common[-1] in around[region]]
+        return [text for region, text, _ in lines if in_article[region]]
+    # regions are numbered as they open, so all that a region holds lies between it and the last one in it
+    for region in range(len(last) - 1, 0, -1):
+        up = parser.parents[region]
+        last[up] = max(last[up], last[region])
+    common, furthest = min(region for region, _ in dense), max(region for region, _ in dense)
+    while last[common] < furthest:
+        common = parser.parents[common]
+    return [text for region, text, _ in lines if common <= region <= last[common]]
 
 
 SCHEMA = "page_id long, url string, text string, n_chars long, n_blocks long"

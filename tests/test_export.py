@@ -22,3 +22,16 @@ def test_patch_and_watch(spark):
     assert [tuple(r) for r in got] == [("a", "old", 1), ("b", None, 2)]
     rows = spark.createDataFrame([("Acme ships",), ("acmes",), ("某公司發布",), (None,)], "t string")
     assert [r.watch_hits for r in export.watch_hits(rows, "t", [("acme", ["Acme"]), ("mou", ["某公司"])]).collect()] == [["acme"], [], ["mou"], []]
+
+
+def test_only_changed_pages_are_written(spark, tmp_path):
+    def pages(*rows):
+        return spark.createDataFrame(list(rows), "name string, text string")
+
+    path = str(tmp_path / "store")
+    first = pages(("a", "x"), ("b", None), ("c", ""), ("a", "x"))
+    assert export.write_changed(first, path) == 3 and export.write_changed(first, path) == 0
+    assert export.write_changed(pages(("a", "y"), ("b", ""), ("c", ""), (None, "n")), path) == 3
+    assert export.write_changed(pages(("a", "x"), (None, "n")), path) == 1
+    assert {r.name: r.text for r in export.latest_pages(spark.read.parquet(path)).collect()} == {"a": "x", "b": "", "c": "", None: "n"}
+    assert export.write_changed(pages(), path) == 0 and export.write_changed(pages(), str(tmp_path / "none")) == 0

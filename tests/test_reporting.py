@@ -136,3 +136,14 @@ def test_a_snapshot_is_taken_anew_only_when_it_is_old(spark):
         assert sorted((r.key, r.value) for r in rollups.advanced(state, now, F.lit(at), 12).collect()) == want
     none = spark.createDataFrame([], "key string, value double, ts timestamp")
     assert rollups.advanced(none, now, F.lit(at), 12).count() == 2
+
+
+def test_what_fields_feeds_have(spark):
+    rss = '<rss xmlns:dc="http://purl.org/dc/elements/1.1/"><channel><title>t</title><item><title>a</title><guid>g</guid><dc:creator>w</dc:creator></item><item><title> </title><link>u</link><guid>h</guid></item></channel></rss>'
+    atom = '<feed xmlns="http://www.w3.org/2005/Atom"><entry><title>a</title><link href="u"/><id>g</id><updated>d</updated><author><name>w</name></author></entry></feed>'
+    rows = [("r", rss), ("a", atom), ("none", "<feed/>"), ("x", "<html/>"), ("bad", "<rss>"), ("null", None)]
+    got = {r.source_id: (r.dialect, r.error, r["items"], r.title, r.link, r.date, r.guid, r.author, r.link_fallback_needed) for r in pages.inspect_feeds(spark.createDataFrame(rows, "source_id string, body string")).collect()}
+    assert got == {
+        "r": ("rss", None, 2, 1, 1, 0, 2, 1, True), "a": ("atom", None, 1, 1, 0, 1, 1, 1, True), "none": ("atom", None, 0, 0, 0, 0, 0, 0, False),
+        "x": (None, "root html", None, None, None, None, None, None, None), "bad": (None, "unreadable", None, None, None, None, None, None, None), "null": (None, "unreadable", None, None, None, None, None, None, None),
+    }

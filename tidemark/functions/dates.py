@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -55,6 +57,11 @@ def _date_words(text: Column) -> Column:
     return F.array_remove(F.split(F.regexp_replace(joined, r"[^a-z0-9\s]+", f" {_BARRIER} "), r"\s+"), "")
 
 
+def _bound(value: Column, make: Callable[[Column], Column]) -> Column:
+    """make(value) with value computed once: what a lambda takes from outside is computed again for each element."""
+    return F.get(F.transform(F.array(value), make), 0)
+
+
 def _month(word: Column) -> Column:
     names = {name: n for n, full in enumerate(MONTHS, 1) for name in (full, full[:3])} | {"sept": 9}
     return F.try_element_at(F.create_map(*[F.lit(x) for pair in names.items() for x in pair]), word)
@@ -91,8 +98,11 @@ def entry_date(text: Column, year_hint: Column | None = None) -> Column:
     A month, day and year; else a month and year; else a month and day, which takes its year from the hint alone. A day
     that doesn't exist gives none.
     """
-    words = _date_words(text)
     hint = year_hint.cast("int") if year_hint is not None else F.lit(None).cast("int")
+    return _bound(_date_words(text), lambda words: _dated(words, hint))
+
+
+def _dated(words: Column, hint: Column) -> Column:
     whole, monthly, bare = _first(words, _month, _day, _year), _first(words, _month, _year), _first(words, _month, _day)
 
     def word(at: Column, n: int) -> Column:
@@ -110,7 +120,10 @@ def entry_date(text: Column, year_hint: Column | None = None) -> Column:
 
 def is_date_only(text: Column) -> Column:
     """Whether a text is nothing but a date, as entries of an index are."""
-    words = F.filter(_date_words(F.concat_ws(" ", text, F.lit(""))), lambda w: w != "")
+    return _bound(F.filter(_date_words(F.concat_ws(" ", text, F.lit(""))), lambda w: w != ""), _only_date)
+
+
+def _only_date(words: Column) -> Column:
     n = F.size(words)
     month, second, third = _month(F.get(words, 0)), F.get(words, 1), F.get(words, 2)
     return F.coalesce(month.isNotNull() & (((n == 3) & _day(second).isNotNull() & _year(third).isNotNull()) | ((n == 2) & (_day(second).isNotNull() | _year(second).isNotNull()))), F.lit(False))
@@ -121,12 +134,19 @@ def anchor_gap(anchors: Column, shown: Column) -> Column:
 
     anchors: the page's anchor names; shown: its visible text.
     """
-    marks = F.filter(F.transform(anchors, lambda a: entry_date(F.replace(a, F.lit("-"), F.lit(" ")))["iso"]), lambda d: d.isNotNull())
-    words = _date_words(shown)
-    at = F.when(F.size(words) > 2, F.sequence(F.lit(0), F.size(words) - 3))
-    days = F.transform(
-        F.filter(at, lambda i: _month(F.get(words, i)).isNotNull() & _day(F.get(words, i + 1)).isNotNull() & _year(F.get(words, i + 2)).isNotNull()),
-        lambda i: _day_of(_year(F.get(words, i + 2)), _month(F.get(words, i)), _day(F.get(words, i + 1))),
-    )
-    marks, days = F.array_distinct(marks), F.array_distinct(F.filter(F.coalesce(days, F.array().cast("array<string>")), lambda d: d.isNotNull()))
-    return F.struct(F.size(marks).alias("anchor_dates"), F.size(days).alias("text_dates"), F.size(F.array_except(days, marks)).alias("orphan_dates"))
+    marks = F.array_distinct(F.filter(F.transform(anchors, lambda a: entry_date(F.replace(a, F.lit("-"), F.lit(" ")))["iso"]), lambda d: d.isNotNull()))
+    days = _bound(_date_words(shown), _days)
+
+    def sizes(x: Column) -> Column:
+        orphans = F.array_except(x["days"], x["marks"])
+        return F.struct(F.size(x["marks"]).alias("anchor_dates"), F.size(x["days"]).alias("text_dates"), F.size(orphans).alias("orphan_dates"))
+
+    return _bound(F.struct(marks.alias("marks"), days.alias("days")), sizes)
+
+
+def _days(words: Column) -> Column:
+    """The different days that words name in full."""
+    at = F.when(F.size(words) > 2, F.sequence(F.lit(0), F.size(words) - 3)).otherwise(F.array().cast("array<int>"))
+    whole = F.filter(at, lambda i: _month(F.get(words, i)).isNotNull() & _day(F.get(words, i + 1)).isNotNull() & _year(F.get(words, i + 2)).isNotNull())
+    days = F.transform(whole, lambda i: _day_of(_year(F.get(words, i + 2)), _month(F.get(words, i)), _day(F.get(words, i + 1))))
+    return F.array_distinct(F.filter(days, lambda d: d.isNotNull()))

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions import text
+from tidemark.functions import dates, text
 from tidemark.operators import events, registries, rollups
 from tidemark.plans.base import SIGNALS, query, signals, table
 from tidemark.plans.scoring import _GATE_SQL, _ROLLED_SQL, _gate_rows, _rolled
+from tidemark.sources import export, pages
 
 
 def _registry(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -277,3 +278,58 @@ def q90_lanes(spark: SparkSession, sf_dir: str) -> DataFrame:
     lanes = table(spark, sf_dir, "customer").groupBy(F.col("c_nationkey").alias("lane")).agg(F.count("*").alias("n"), F.count_distinct("c_mktsegment").alias("tracks"))
     named = lanes.join(F.broadcast(table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("lane"), "n_name")), "lane")
     return named.select("lane", "n", "tracks", F.row_number().over(W.orderBy(F.desc("n"), "n_name")).alias("place"))
+
+
+_DATED = ("July 24, 2026", "July 2026", "Sept 3", " jul. 4th 2026 ", "July 30, 2026: retired", "from July 30, 2026", "2026-07-24", "", "May", "24 July 2026")
+
+
+@query(f"WITH t AS (SELECT c_custkey % {len(_DATED) + 1} AS k FROM customer) SELECT k < 4 AS only_date, count(*) AS n FROM t GROUP BY 1")
+def q91_date_only(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts that are a date as a whole; the last of them is null."""
+    t = F.element_at(F.array(*map(F.lit, _DATED), F.lit(None).cast("string")), (F.col("c_custkey") % (len(_DATED) + 1) + 1).cast("int"))
+    return table(spark, sf_dir, "customer").groupBy(dates.is_date_only(t).alias("only_date")).agg(F.count("*").alias("n"))
+
+
+@query("""WITH d AS (SELECT o_custkey AS page, CAST(o_orderdate AS DATE) + INTERVAL 3653 DAY AS day, o_orderkey % 3 > 0 AS marked FROM orders)
+SELECT page, count(DISTINCT day) FILTER (marked)::INT AS anchor_dates, count(DISTINCT day)::INT AS text_dates, (count(DISTINCT day) - count(DISTINCT day) FILTER (marked))::INT AS orphan_dates FROM d GROUP BY page""")
+def q92_anchor_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages of dated entries, two thirds of which have an anchor; days stand ten years later, as only years from 2000 count."""
+    day = F.date_add(F.col("o_orderdate").cast("date"), 3653)
+    rows = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("page"), F.date_format(day, "MMMM d, yyyy").alias("shown"), F.when(F.col("o_orderkey") % 3 > 0, F.date_format(day, "MMMM-d-yyyy")).alias("anchor"))
+    told = rows.groupBy("page").agg(F.collect_set("anchor").alias("anchors"), F.array_join(F.collect_list(F.concat("shown", F.lit(": an entry. "))), "").alias("shown"))
+    return told.withColumn("g", dates.anchor_gap(F.col("anchors"), F.col("shown"))).select("page", "g.*")
+
+
+@query("""SELECT s_nationkey AS source_id, CASE WHEN s_nationkey % 2 = 0 THEN 'rss' ELSE 'atom' END AS dialect, count(*)::INT AS items, count(*)::INT AS title, (count(*) FILTER (s_suppkey % 3 > 0))::INT AS link,
+  (count(*) FILTER (s_suppkey % 5 > 0))::INT AS date, (count(*) FILTER (s_suppkey % 4 > 0))::INT AS guid, (count(*) FILTER (s_suppkey % 7 > 0))::INT AS author,
+  count(*) FILTER (s_suppkey % 3 > 0) < count(*) AND count(*) FILTER (s_suppkey % 4 > 0) > count(*) FILTER (s_suppkey % 3 > 0) AS link_fallback_needed FROM supplier GROUP BY s_nationkey""")
+def q93_feed_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feeds in two dialects with fields that are missing or blank."""
+    k, atom = F.col("s_suppkey"), F.col("s_nationkey") % 2 == 1
+
+    def field(rss: str, own: str, value: F.Column, has: F.Column, inner: str = "") -> F.Column:
+        open_, close = (f"<{inner}>", f"</{inner}>") if inner else ("", "")
+        text_ = F.when(has, value).when(k % 2 == 0, "  ")
+        named = F.when(atom, F.concat(F.lit(f"<{own}>{open_}"), text_, F.lit(f"{close}</{own}>"))).otherwise(F.concat(F.lit(f"<{rss}>"), text_, F.lit(f"</{rss}>")))
+        return F.coalesce(named, F.lit(""))
+
+    key = k.cast("string")
+    item = F.concat(
+        F.concat(F.lit("<title>"), "s_name", F.lit("</title>")), field("link", "link", F.concat(F.lit("https://e.org/"), key), k % 3 > 0), field("pubDate", "updated", F.lit("2026-07-24"), k % 5 > 0), field("guid", "id", key, k % 4 > 0),
+        field("dc:creator", "author", F.lit("A. Writer"), k % 7 > 0, "name"),
+    )
+    items = F.array_join(F.collect_list(F.when(atom, F.concat(F.lit("<entry>"), item, F.lit("</entry>"))).otherwise(F.concat(F.lit("<item>"), item, F.lit("</item>")))), "")
+    feeds = table(spark, sf_dir, "supplier").groupBy("s_nationkey").agg(items.alias("items"))
+    body = F.when(F.col("s_nationkey") % 2 == 1, F.concat(F.lit('<feed xmlns="http://www.w3.org/2005/Atom">'), "items", F.lit("</feed>"))).otherwise(
+        F.concat(F.lit('<rss xmlns:dc="http://purl.org/dc/elements/1.1/"><channel>'), "items", F.lit("</channel></rss>"))
+    )
+    return pages.inspect_feeds(feeds.select(F.col("s_nationkey").alias("source_id"), body.alias("body"))).drop("error")
+
+
+@query("""SELECT 'p' || p_partkey AS name, CASE WHEN p_partkey % 11 > 0 THEN p_name END AS text FROM part WHERE p_partkey % 4 = 1 OR (p_partkey % 4 = 2 AND p_partkey % 11 > 0)""")
+def q94_changed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A store that lacks a quarter of the pages and has other words in a quarter of them."""
+    p, k = table(spark, sf_dir, "part"), F.col("p_partkey")
+    now = p.select(F.concat(F.lit("p"), k).alias("name"), F.when(k % 11 > 0, F.col("p_name")).alias("text"))
+    before = p.filter(k % 4 != 1).select(F.concat(F.lit("p"), k).alias("name"), F.when(k % 11 > 0, F.concat("p_name", F.when(k % 4 == 2, "!").otherwise(""))).alias("text"))
+    return export.changed_pages(now, before)

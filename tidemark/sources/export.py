@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,3 +52,38 @@ def watch_hits(rows: DataFrame, column: str, watched: list[tuple[str, list[str]]
 
     found = [F.when(F.coalesce(column, F.lit("")).rlike(pattern(s)), i) for i, s in watched if s]
     return rows.withColumn("watch_hits", F.array_compact(F.array(*found)) if found else F.array().cast("array<string>"))
+
+
+def latest_pages(store: DataFrame) -> DataFrame:
+    """The newest text of each name in a store (name, text, version)."""
+    return store.groupBy("name").agg(F.max_by("text", "version").alias("text"))
+
+
+def changed_pages(now: DataFrame, before: DataFrame) -> DataFrame:
+    """Rows of now (name, text) whose text before (name, text; one row a name) lacks or has otherwise.
+
+    A null text differs from an empty one and equals a null one. Names are compared as they are; a null name is a name.
+    """
+    b = before.select(F.col("name").alias("_name"), F.col("text").alias("_text"), F.lit(True).alias("_known"))
+    joined = now.select("name", "text").join(b, F.col("name").eqNullSafe(F.col("_name")), "left")
+    return joined.filter(F.col("_known").isNull() | ~F.col("text").eqNullSafe(F.col("_text"))).select("name", "text")
+
+
+def write_changed(now: DataFrame, path: str) -> int:
+    """Append those pages of now (name, text) that changed to the store at path, as its next version; how many there are.
+
+    Nothing is written if none changed, so a repeated write leaves the store alone. Rows that repeat a page count once.
+    """
+    spark, now = now.sparkSession, now.select("name", "text").distinct()
+    try:
+        store = spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        store = spark.createDataFrame([], "name string, text string, version long")
+    version = store.agg(F.coalesce(F.max("version"), F.lit(0))).first()[0] + 1
+    changed = changed_pages(now, latest_pages(store)).withColumn("version", F.lit(version).cast("long"))
+    n = changed.count()
+    if n:
+        changed.write.mode("append").parquet(path)
+    return n

@@ -7,7 +7,7 @@ import json
 import re
 from urllib.parse import urlsplit
 import xml.etree.ElementTree as ET
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -187,3 +187,44 @@ def zero_yield(diag: Column) -> Column:
         .when(diag["parts_failed"] > 0, "sub_sitemap_unreachable").when((diag["seen"] > 0) & (diag["after_prefix"] == 0), "prefix_filtered_all").when(diag["seen"] == 0, "source_empty").otherwise("unknown")
     )
 
+
+
+COVERAGE = "array<struct<dialect:string,error:string,items:int,title:int,link:int,date:int,guid:int,author:int>>"
+# Names of a feed's fields in either dialect.
+_FIELDS = {"rss": {"title": ("title",), "link": ("link",), "date": ("pubDate",), "guid": ("guid",)}, "atom": {"title": ("title",), "link": ("link",), "date": ("updated",), "guid": ("id",)}}
+
+
+def feed_coverage(body: str | None) -> dict:
+    """How many items of a feed have each field, as text of its own; error: unreadable, or another root than a feed has."""
+    try:
+        root = ET.fromstring(body or "")
+    except ET.ParseError:
+        return {"error": "unreadable"}
+    dialect = {"rss": "rss", "feed": "atom"}.get(_local(root))
+    if dialect is None:
+        return {"error": f"root {_local(root)}"}
+    holders = _children(root).get("channel", [])[:1] if dialect == "rss" else [root]
+    told = [_children(e) for holder in holders for e in _children(holder).get("item" if dialect == "rss" else "entry", [])]
+
+    def filled(elements: Iterable[ET.Element]) -> bool:
+        return any(x.text and x.text.strip() for x in elements)
+
+    def author(c: dict) -> list[ET.Element]:
+        return [*c.get("author", []), *c.get("creator", [])] if dialect == "rss" else [y for x in c.get("author", []) for y in x if _local(y) == "name"]
+
+    counts = {key: sum(filled(x for n in names for x in c.get(n, [])[:1]) for c in told) for key, names in _FIELDS[dialect].items()}
+    return {"dialect": dialect, "items": len(told), "author": sum(filled(author(c)) for c in told)} | counts
+
+
+def inspect_feeds(bodies: DataFrame) -> DataFrame:
+    """bodies (source_id, body, …) with feed_coverage() of each, and whether links must fall back to identifiers.
+
+    A body that is null, empty or no XML has error unreadable and null counts. Rows that repeat stay; other columns stay.
+    """
+
+    @F.pandas_udf(COVERAGE)
+    def read(body: pd.Series) -> pd.Series:
+        return body.map(lambda b: [feed_coverage(b)])
+
+    told = bodies.withColumn("_told", F.get(read("body"), 0)).drop("body")
+    return told.select(*[c for c in told.columns if c != "_told"], "_told.*").withColumn("link_fallback_needed", (F.col("link") < F.col("items")) & (F.col("guid") > F.col("link")))

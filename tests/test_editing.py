@@ -50,6 +50,11 @@ def test_versions(spark):
     df = spark.createDataFrame([("Claude Opus 4.5 and claude opus V4.5; Claude Opus 4.5-2; Xclaude Opus 3",)], "t string")
     got = editing.derive_versions(df, "t", [("claude", ["Claude"], r"\s+(opus)\s+(v?\d+(?:\.\d+)?)")]).first()
     assert got.derived_entities == ["claude@opus-4.5", "claude@opus-v4.5"]
+    lines = [("qwen", ["通義千問", "Q.wen"], r"\s*(v?\d+(?:\.\d+)?)(?:\s*(max|plus))?"), ("plain", ["Plain"], ""), ("cmd", ["cmd"], r" (a|\d)")]
+    df = spark.createDataFrame([(1, "發布通義千問 V3 Max, q.wen2.5 and Qxwen 7, cmd a, CMD 7"), (2, None)], "k int, t string")
+    got = {r.k: r.derived_entities for r in editing.derive_versions(df, "t", lines).collect()}
+    assert got == {1: ["qwen@3-max", "qwen@2.5", "cmd@7"], 2: []}
+    assert editing.derive_versions(df, "t", []).first().derived_entities == []
 
 
 def test_chains_and_robots(spark):

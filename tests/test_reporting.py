@@ -48,6 +48,7 @@ def test_titles_from_addresses():
     want = {
         "https://x.org/news/claude-opus-4-5": "Claude Opus 4.5", "https://x.org/a/2026-08-03": "2026 08 03", "https://x.org/GPT_4o-mini.html?x=1": "GPT 4o Mini",
         "https://x.org/a-1-2-3-4/": "A 1.2 3 4", "https://x.org/post-123000637-5": "Post 123000637 5", "https://x.org/": "",
+        "https://x.org/4-5-model-4-5": "4 5 Model 4.5", "https://x.org/a-1-b-2-3-_c": "A 1 B 2.3 C", "https://x.org/--": "",
     }
     assert {u: pages.slug_title(u) for u in want} == want
 
@@ -107,6 +108,27 @@ def test_dates_in_texts(spark):
     assert tuple(gap[0]) == (2, 3, 1)
 
 
+def test_references(spark):
+    text_ = "(docs/a.md) see a/b.py, a/b.pyx; ../up/c.md /abs/d.md 9x/e.md a/9x/f.md a/g.md/h x/.md lib/i.json.txt k.md a/b.py é/z.md"
+    want = ["docs/a.md", "a/b.py", "a/g.md", "lib/i.json.txt"]
+    assert values(spark, [text_, None, ""], rollups.references) == [want, [], []]
+
+
+def test_names_without_titles(spark):
+    want = {
+        "Jane Doe, Ph. D., M.B.A.": "Jane Doe", "Bob Lee M D": "Bob Lee", "By Ann  Lee, D. Phil": "Ann  Lee", "MD": "MD", "Ann Lee III (guest)": "Ann Lee", "Ann Mad": "Ann Mad", "Lee, Jr., PhD": "Lee", None: "", " ; Ann Lee , ": "Ann Lee",
+    }
+    assert values(spark, list(want), text.author_name) == list(want.values())
+
+
+def test_versions_near_names(spark):
+    want = {
+        "Claude Opus 4": True, "claude. 4": False, "xclaude 4": False, "claude" + " " * 40 + "4": True, "claude" + " " * 41 + "4": False, "a claude or a Claude; no 5": False, "claude; then gpt-5": True,
+        "gptgpt5": True, "agptgpt5": False, "no names 5": False, None: False, "claude claude claude ٤": True,
+    }
+    assert values(spark, list(want), lambda t: text.mentions_version(t, ("claude", "gpt"))) == list(want.values())
+
+
 def test_dead_references(spark):
     files = [
         ("README.md", "see scripts/run.py, scripts/gone.py, other/gone.md and scripts/x.py"), ("scripts/run.py", "lib/aa.py lib/bb.py _probe/x1.json"), ("scripts/lib/aa.py", ""),

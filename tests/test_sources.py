@@ -85,6 +85,9 @@ def test_sitemap_json_and_release_pages(spark):
     html = '<h3><div id="july-24-2026">x</div></h3><ul><li>gpt-5.1 is <b>generally available</b></li></ul><h3 id="july-9th-2024">y</h3><ul><li>old model deprecated</li></ul>'
     rows = pages.release_notes(spark.createDataFrame([(1, html)], "page_id long, html string")).orderBy("part", "pos").collect()
     assert [(r.date, r.lifecycle, r.tail) for r in rows] == [("2026-07-24", "ga", False), ("2024-07-09", "deprecated", True)] and rows[0].model_ids == ["gpt-5.1"]
+    html = '<h3 id="sept-3-2026">x</h3><link href="a"><nav><ul><li>Home</li></ul></nav><li>One entry</li><li>July 23, 2026</li><li> </li><h3 id="May-4-2026">y</h3><lite>no</lite><aside><li>z</li></aside><footer><li>Terms</li></footer>'
+    rows = pages.release_notes(spark.createDataFrame([(1, html), (2, None), (3, "<p id='x'>")], "page_id long, html string")).collect()
+    assert [(r.page_id, r.date, r.text) for r in rows] == [(1, "2026-09-03", "One entry")]
 
 
 def test_fetch_verdicts(spark):

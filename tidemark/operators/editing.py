@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import re
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -127,27 +126,29 @@ def folded_lines(text: Column) -> Column:
     return F.translate(fold(text), UNSEEN, "")
 
 
+def _quoted(word: str) -> str:
+    """A word as a pattern that Java and Python read alike."""
+    return "".join(c if c.isalnum() or c == " " else f"\\{c}" for c in word)
+
+
+def _versions(text: Column, line: str, surface: str, pattern: str) -> Column:
+    """line@version for each place where the surface and the pattern stand, outside of longer words and versions."""
+    rule = F.lit(rf"(?i)(?<![A-Za-z0-9]){_quoted(surface)}(?:{pattern})(?![-.]\d)")
+    places = F.regexp_extract_all(text, rule, 0)
+    groups = [F.regexp_extract_all(text, rule, n) for n in range(1, re.compile(pattern).groups + 1)]
+    named = F.transform(places, lambda _, n: F.lower(F.array_join(F.filter(F.array(*[F.get(g, n) for g in groups]), lambda x: x != ""), " ")))
+    versions = F.transform(named, lambda v: F.regexp_replace(F.trim(F.regexp_replace(v, r"\s+", "-"), F.lit("-")), r"^v(?=[0-9])", ""))
+    return F.transform(F.filter(versions, lambda v: v.rlike("[0-9]")), lambda v: F.concat(F.lit(f"{line}@"), v))
+
+
 def derive_versions(df: DataFrame, column: str, lines: list[tuple[str, list[str], str]]) -> DataFrame:
-    """df with derived_entities, like line@version; lines: (id, surfaces, version pattern).
+    """df with derived_entities, like line@version; lines: (id, surfaces, version pattern with groups).
 
-    A match must hold a digit, not begin inside a word, and not end inside a longer version.
+    Lines come in their order, each version once; a null text, or lines without a pattern, have none.
     """
-    rules = [(i, re.compile(rf"(?<![A-Za-z0-9]){re.escape(s)}(?:{pattern})(?![-.]\d)", re.I)) for i, surfaces, pattern in lines for s in surfaces if s and pattern]
-
-    def find(text: str | None) -> list[str]:
-        out: dict[str, None] = {}
-        for line, rule in rules:
-            for m in rule.finditer(text or ""):
-                version = re.sub(r"^v(?=\d)", "", "-".join(" ".join(g for g in m.groups() if g).lower().split())).strip("-")
-                if any(c.isdigit() for c in version):
-                    out[f"{line}@{version}"] = None
-        return list(out)
-
-    @F.pandas_udf(T.ArrayType(T.StringType()))
-    def run(text: pd.Series) -> pd.Series:
-        return text.map(find)
-
-    return df.withColumn("derived_entities", run(column))
+    text = F.coalesce(F.col(column), F.lit(""))
+    made = [_versions(text, i, s, pattern) for i, surfaces, pattern in lines if pattern and re.compile(pattern).groups for s in surfaces if s]
+    return df.withColumn("derived_entities", F.array_distinct(F.concat(*made)) if made else F.array().cast("array<string>"))
 
 
 def chain_alert(day: Column, today: Column, stale_days: int, measurable: Column) -> Column:

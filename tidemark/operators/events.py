@@ -214,6 +214,17 @@ def blockers(min_confidence: int = MIN_CONFIDENCE) -> Column:
     return F.array_compact(F.array(*rules))
 
 
+def gate_codes(status: Column, codes: Column, before: Column, lead_days: Column, most: int = 7) -> Column:
+    """The blockers that an event has after the gate, stale_backfill last where it came too long after what it tells of.
+
+    One in review gets the codes just found; a published one keeps those it had; others aren't looked at.
+    """
+    none = F.array().cast("array<string>")
+    stale = F.when(F.coalesce(lead_days > most, F.lit(False)) if most else F.lit(False), F.array(F.lit("stale_backfill"))).otherwise(none)
+    held = F.coalesce(F.when(status == "review", codes).otherwise(before), none)
+    return F.when(status.isin("review", "published"), F.array_union(held, stale)).otherwise(held)
+
+
 def next_status(status: Column, codes: Column, lead_days: Column, most: int = 7) -> Column:
     """What the gate makes of an event: dropped stays; a stale published one goes back to review; a clean one goes out."""
     stale = F.coalesce(lead_days > most, F.lit(False)) if most else F.lit(False)

@@ -333,3 +333,22 @@ def q94_changed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     now = p.select(F.concat(F.lit("p"), k).alias("name"), F.when(k % 11 > 0, F.col("p_name")).alias("text"))
     before = p.filter(k % 4 != 1).select(F.concat(F.lit("p"), k).alias("name"), F.when(k % 11 > 0, F.concat("p_name", F.when(k % 4 == 2, "!").otherwise(""))).alias("text"))
     return export.changed_pages(now, before)
+
+
+# Months as the anchors of release pages have them, in full or short.
+_ANCHOR_MONTHS = ("jan", "february", "march", "apr", "may", "june", "july", "aug", "sept", "october", "nov", "december")
+
+
+@query(f"""WITH {SIGNALS}, d AS (SELECT *, trim(regexp_replace(regexp_replace(title, '[<>&]', '', 'g'), '[\\s]+', ' ', 'g')) AS entry, row_number() OVER (PARTITION BY doc_id // 8 ORDER BY doc_id) AS k, count(*) OVER (PARTITION BY doc_id // 8) AS of FROM signals)
+SELECT doc_id // 8 AS page_id, make_date(2020 + doc_id % 6, doc_id % 12 + 1, doc_id % 28 + 1)::VARCHAR AS date, entry AS text, k = of AS tail FROM d WHERE entry <> ''""")
+def q96_release_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Release pages of eight titles each, under anchors in full and short months, with menus, links and dates between them."""
+    k, months = F.col("doc_id"), F.array(*[F.lit(m) for m in _ANCHOR_MONTHS])
+    anchor = F.concat_ws("-", F.get(months, k % 12), F.concat(k % 28 + 1, F.when(k % 3 == 0, "th").otherwise("")), 2020 + k % 6)
+    entry = F.regexp_replace("title", "[<>&]", "")
+    part = F.concat(
+        F.lit('<h3><div id="'), anchor, F.lit('">h</div></h3><link rel="x"><nav><ul><li>Docs</li></ul></nav><ul><li class="a"><b>'), entry, F.lit("</b></li><li>July 23</li></ul><aside>One may subscribe to this page by mail or by a feed.</aside>")
+    )
+    parts = F.transform(F.array_sort(F.collect_list(F.struct(k.alias("k"), part.alias("part")))), lambda x: x["part"])
+    made = signals(spark, sf_dir).groupBy(F.floor(k / 8).alias("page_id")).agg(F.concat(F.lit("<title>t</title>"), F.array_join(parts, ""), F.lit("<footer><li>Home</li></footer>")).alias("html"))
+    return pages.release_notes(made).select("page_id", F.col("date").cast("string").alias("date"), "text", "tail")

@@ -239,6 +239,19 @@ def q20_status_transition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("next_status", events.next_status(F.col("status"), F.col("codes"), F.col("lead_days"))).groupBy("status", "next_status").agg(F.count("*").alias("n"))
 
 
+@query(f"""WITH {_GATE_SQL}, s AS (
+  SELECT CASE o_orderstatus WHEN 'O' THEN 'review' WHEN 'F' THEN 'published' ELSE 'dropped' END AS status, codes, k % 12 > 7 AS stale, CASE WHEN k % 3 = 0 THEN ['thin_fact'] ELSE [] END AS had FROM b
+), h AS (
+  SELECT status, CASE status WHEN 'review' THEN codes ELSE had END || CASE WHEN stale AND status <> 'dropped' THEN ['stale_backfill'] ELSE [] END AS codes FROM s
+) SELECT status, code, count(*) AS n FROM (SELECT status, unnest(codes) AS code FROM h) GROUP BY status, code""")
+def q95_gate_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often each code is among the blockers that the gate leaves."""
+    rows = _gate_rows(spark, sf_dir).withColumns({"codes": events.blockers(), "status": F.expr("case o_orderstatus when 'O' then 'review' when 'F' then 'published' else 'dropped' end")})
+    had = F.when(F.col("o_orderkey") % 3 == 0, F.array(F.lit("thin_fact")))
+    left = events.gate_codes(F.col("status"), F.col("codes"), had, F.col("lead_days"))
+    return rows.select("status", F.explode(left).alias("code")).groupBy("status", "code").agg(F.count("*").alias("n"))
+
+
 @query(f"""WITH {SIGNALS}, a AS (SELECT source, CASE WHEN trim(CASE WHEN doc_id % 4 = 0 THEN summary ELSE '' END) <> '' THEN 'has_text' WHEN n = 7 THEN 'unfetched' WHEN n % 4 = 1 THEN 'withheld' WHEN n % 4 = 2 THEN 'unfetched' ELSE 'withheld' END AS state FROM signals)
 SELECT source, count(*) FILTER (state = 'has_text') AS has_text, count(*) FILTER (state = 'unfetched') AS unfetched, count(*) FILTER (state = 'withheld') AS withheld,
   count(*) FILTER (state = 'withheld') > 0 AS needs_source_link, CASE WHEN bool_or(state = 'has_text') THEN 'has_text' WHEN bool_or(state = 'unfetched') THEN 'unfetched' ELSE 'withheld' END AS thin_reason FROM a GROUP BY source""")

@@ -82,18 +82,16 @@ def read_feed(body: str | None, quota: int) -> list[dict]:
     return out
 
 
+#: A word with a letter, and two short numbers after it, which are one version.
+VERSIONED = re.compile(r"(?<![^-])([^-]*[^\W\d_][^-]*)-(\d{1,2})-(\d{1,2})(?![^-])")
+
+
 def slug_title(url: str) -> str:
     """A title from the last part of an address: two short numbers after a word with a letter are a version."""
-    last = re.sub(r"\.(?:html?|php|aspx?)$", "", urlsplit(url).path.rstrip("/").rpartition("/")[2])
-    words = [w for w in re.split("[-_]+", last) if w]
-    # a version is marked first, so that its two numbers are one word in what follows
-    version = [re.fullmatch(r"\d{1,2}", w) is not None for w in words]
-    title, n = [], 0
-    while n < len(words):
-        pair = n + 1 < len(words) and version[n] and version[n + 1] and bool(title) and re.search(r"[^\W\d_]", title[-1]) is not None
-        title.append(f"{words[n]}.{words[n + 1]}" if pair else words[n])
-        n += 2 if pair else 1
-    return " ".join(w if w.isupper() or re.search(r"\d", w) else w.capitalize() for w in title)
+    path = urlsplit(url).path.rstrip("/")
+    dashed = re.sub("[-_]+", "-", re.sub(r"\.(?:html?|php|aspx?)$", "", path[path.rfind("/") + 1 :])).strip("-")
+    as_written = lambda w: w.isupper() or any(c.isdigit() for c in w)
+    return " ".join(w if as_written(w) else w.capitalize() for w in VERSIONED.sub(r"\1-\2.\3", dashed).split("-"))
 
 
 def read_sitemap(body: str | None, quota: int, prefix: str = "", hints: tuple[str, ...] = ()) -> list[dict]:
@@ -152,22 +150,27 @@ def items_of(bodies: DataFrame, reader: Callable[[str | None], list[dict]]) -> D
     return bodies.select(*kept, F.posexplode(read("body")).alias("pos", "item")).select(*kept, "pos", "item.*")
 
 
-ANCHOR = r'(?i)id="((?:january|february|march|april|may|june|july|august|september|october|november|december)-\d{1,2}(?:st|nd|rd|th)?-20\d{2})"'
+# a month in full or short, then day and year
+ANCHOR = rf'(?i)id="((?:{"|".join(m[:3] for m in dates.MONTHS)})[a-z]*-\d{{1,2}}(?:st|nd|rd|th)?-20\d{{2}})"'
+#: Parts of a page that hold no entries.
+BESIDE = r"(?is)<(nav|footer|aside)\b.*?</\1>"
 
 
 def release_notes(pages: DataFrame) -> DataFrame:
     """pages (page_id, html) as rows of a release page: anchor, pos, text, date, lifecycle, model_ids, tail.
 
-    The page is cut at dated anchors; each list item is a row, and text beside lists if it has 40 characters. The last
-    part is marked, as a page's end may hold anything.
+    The page is cut at dated anchors; each list item is a row, and text beside lists if it has 40 characters. Menus,
+    footers and asides aren't read, and a text that is a date alone is no entry. The last part is marked, as a page's
+    end may hold anything. A page without such anchors, or a null one, has no rows.
     """
     parts = F.filter(F.split(F.regexp_replace("html", ANCHOR, "\u0001$1\u0002"), "\u0001"), lambda p: p.contains("\u0002"))
     cut = pages.select("page_id", F.posexplode(parts).alias("part", "chunk"), F.size(parts).alias("n"))
     chunk = cut.select("page_id", "part", (F.col("part") == F.col("n") - 1).alias("tail"), F.split_part("chunk", F.lit("\u0002"), F.lit(1)).alias("anchor"), F.regexp_replace(F.split_part("chunk", F.lit("\u0002"), F.lit(2)), r"^[^>]*>", "").alias("body"))
-    items = F.regexp_extract_all("body", F.lit(r"(?is)<li[^>]*>(.*?)</li>"), 1)
-    rest = F.regexp_replace("body", r"(?is)<li[^>]*>.*?</li>", " ")
-    rows = F.concat(text.strip_all(items), F.filter(F.array(text.strip_tags(rest)), lambda t: F.length(t) >= 40))
-    flat = chunk.select("page_id", "part", "tail", "anchor", F.posexplode(rows).alias("pos", "text"))
+    chunk = chunk.withColumn("body", F.regexp_replace("body", BESIDE, " "))
+    items = F.regexp_extract_all("body", F.lit(r"(?is)<li\b[^>]*>(.*?)</li>"), 1)
+    rest = F.regexp_replace("body", r"(?is)<li\b[^>]*>.*?</li>", " ")
+    rows = F.concat(F.filter(text.strip_all(items), lambda t: t != ""), F.filter(F.array(text.strip_tags(rest)), lambda t: F.length(t) >= 40))
+    flat = chunk.select("page_id", "part", "tail", "anchor", F.posexplode(rows).alias("pos", "text")).filter(~dates.is_date_only(F.col("text")))
     date = dates.entry_date(F.replace("anchor", F.lit("-"), F.lit(" ")))
     return flat.select("page_id", "part", "pos", "tail", "anchor", "text", date["iso"].alias("date"), text.lifecycle(F.col("text")).alias("lifecycle"), text.model_ids(F.col("text")).alias("model_ids"))
 

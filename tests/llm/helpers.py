@@ -18,7 +18,8 @@ EDGES = [
 ]
 SCHEMA = "doc_id long, text string, lang string, source string"
 #: Names that operators use inside.
-CLASHING = ("size", "shard", "row", "range", "part", "key", "node", "region", "label", "root", "block", "kind", "held_out", "score", "n_words", "words", "gram", "id_hash")
+CLASHING = ("size", "shard", "row", "range", "part", "key", "node", "region", "label", "root", "block", "kind", "held_out", "score", "n_words", "words", "gram", "id_hash",
+            "_id", "_hash", "_stays", "_n", "_row", "doc", "id", "n", "stays", "text_hash", "row_key", "asked", "salt", "lost", "first", "component", "term", "docs", "h1", "form", "spans")
 
 
 def documents(spark, rows=None):

@@ -408,19 +408,22 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     rows, named = _labelled(docs)
     stays = named.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias("row"), F.lit(True).alias("stays"))
     texts = rows.filter("n_shingles > 0").select("row", "doc_id", "text_hash").join(stays, "row", "left")
-    judged = texts.groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).agg(F.coalesce(F.bool_or("stays"), F.lit(False)).alias("_stays"), F.count("*").alias("_n"))
-    judged = stored(judged.filter("not _stays or _n > 1"))
-    repeats = judged.filter("_stays")
-    counted = judged.agg(F.count("*"), F.count_if("_stays")).first()
+    judged = texts.groupBy("doc_id", "text_hash").agg(F.coalesce(F.bool_or("stays"), F.lit(False)).alias("stays"), F.count("*").alias("n"))
+    judged = stored(judged.filter("not stays or n > 1"))
+    repeats = judged.filter("stays")
+    counted = judged.agg(F.count("*"), F.count_if("stays")).first()
 
     def small(df: DataFrame) -> DataFrame:
         return F.broadcast(df) if counted[0] <= BROADCAST_ROWS else df
 
-    same = docs["doc_id"].cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(docs["text"].cast("string")) == F.col("_hash")) & docs["text"].isNotNull()
-    out = docs.join(small(judged), same, "left_anti")
+    # a row as one value, so that no column of it meets a name that is used here
+    whole = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"))
+    own_id, own_hash = F.col("doc")["doc_id"].cast("long"), F.xxhash64(F.col("doc")["text"].cast("string"))
+    same = own_id.eqNullSafe(F.col("doc_id")) & (own_hash == F.col("text_hash")) & F.col("doc")["text"].isNotNull()
+    out = whole.join(small(judged), same, "left_anti")
     if counted[1]:
-        # of rows with the same identifier and text, one
-        again = docs.join(small(repeats), same, "left_semi")
-        held = again.groupBy(again["doc_id"].alias("_id"), F.xxhash64(again["text"].cast("string")).alias("_hash")).agg(F.first(F.struct(*[again[c] for c in docs.columns])).alias("_row"))
-        out = out.unionByName(held.select("_row.*"))
-    return out
+        # of rows with the same identifier and text the first by all their columns, whatever the order of tasks
+        again = whole.join(small(repeats), same, "left_semi")
+        held = again.groupBy(own_id.alias("doc_id"), own_hash.alias("text_hash")).agg(F.min_by("doc", F.to_json("doc")).alias("doc"))
+        out = out.unionByName(held.select("doc"))
+    return out.select("doc.*")

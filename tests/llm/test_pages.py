@@ -132,3 +132,21 @@ def test_a_damaged_chunk_is_found():
 def test_queries_run_on_whole_tables(spark):
     n = spark.read.parquet(f"{SMALL}/pages.parquet").count()
     assert queries.op6_main_text(spark, SMALL).count() == n and queries.op10_chunked_warc(spark, SMALL).count() == n
+
+
+@pytest.mark.parametrize(
+    ("html", "blocks"),
+    [
+        ("<body><form><label>Find</label><input><nav>menu</nav><article><h1>Title here</h1><p>An article of a page that a form holds.</p></article><button>Go</button></form></body>", ["Title here", "An article of a page that a form holds."]),
+        ("<main><form><p>All that this page has to say.</p><select><option>x</select></form></main>", ["All that this page has to say."]),
+        ("<main><h1>Title</h1><form><p>The text of a page stands in a form, as server pages have it.</p></form></main>", ["Title", "The text of a page stands in a form, as server pages have it."]),
+        ("<article><p>The text of an article is outside of the form.</p><form><label>Mail</label><p>Sign up here</p></form></article>", ["The text of an article is outside of the form."]),
+        *[(f"<article><p>one {x} two</p></article>", ["one two"]) for x in ("<svg><title>t</title></svg>", "<script>a</script>", "<button>b</button>", "<span hidden>c</span>", "<style>d</style>")],
+        ("<article><p>one<script>x</script>two</p></article>", ["onetwo"]),
+        ("<article><p>so <math><mi>a</mi><mo>=</mo><mn>2</mn><annotation>a=2</annotation></math> holds</p></article>", ["so a=2 holds"]),
+        ("<main><header><h1>A title in the main part</h1></header><p>And the text below it.</p></main>", ["A title in the main part", "And the text below it."]),
+        ("<header><h1>Site</h1></header><main><p>The text of the page.</p></main>", ["The text of the page."]),
+    ],
+)
+def test_forms_inline_elements_and_formulas(html, blocks):
+    assert html_text.content_blocks(html) == blocks

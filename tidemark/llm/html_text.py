@@ -19,8 +19,10 @@ from pyspark.sql import DataFrame
 from tidemark.llm.common import tune
 
 # Element names of the HTML standard.
-RAW = frozenset(("script", "style", "noscript", "template", "iframe", "object", "svg", "canvas", "math", "head", "title"))
-CHROME = frozenset(("nav", "header", "footer", "aside", "form", "button", "select", "textarea", "dialog", "menu"))
+RAW = frozenset(("script", "style", "noscript", "template", "iframe", "object", "svg", "canvas", "annotation", "annotation-xml", "head", "title"))
+CHROME = frozenset(("nav", "header", "footer", "aside", "button", "select", "textarea", "datalist", "label", "legend", "dialog", "menu"))
+#: Of what is hidden, what stands as a block of its own; the rest may stand within a line, which goes on after it.
+APART = frozenset(("nav", "header", "footer", "aside", "form", "dialog", "menu", "head"))
 BLOCKS = frozenset(
     ("address", "article", "blockquote", "body", "caption", "center", "dd", "details", "div", "dl", "dt", "fieldset", "figcaption", "figure", "h1", "h2",
      "h3", "h4", "h5", "h6", "hr", "html", "legend", "li", "main", "ol", "p", "pre", "section", "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul")
@@ -59,9 +61,9 @@ class _Lines(HTMLParser):
         self.stack: list[tuple[str, bool, int]] = []
         self.named: set[int] = set()
         self.hidden = 0
-        # what stands open: the outermost head's place, and the number of articles
+        # what stands open: the outermost head's place, and the numbers of articles (a main is one) and of forms
         self.head: int | None = None
-        self.articles = 0
+        self.articles = self.forms = 0
         self.region = 0
         self.kinds = {0: ""}
         self.parents = {0: -1}
@@ -90,21 +92,23 @@ class _Lines(HTMLParser):
         names = f"{given.get('class') or ''} {given.get('id') or ''}".split()
         hides = (
             tag in RAW
-            or (tag in CHROME and not (tag == "header" and self.articles))
+            or (tag in CHROME and not (tag == "header" and self.articles) and not (tag == "label" and not self.forms))
             or (given.get("role") or "").lower() in CHROME_ROLES
             or "hidden" in given
             or (given.get("aria-hidden") or "").lower() == "true"
         )
-        named = not hides and not self.hidden and tag not in ("html", "body", "article", "main") and any(map(CHROME_NAMES.fullmatch, names))
-        if tag in BLOCKS or hides or named:
+        # a form may hold a whole page, so only its controls are hidden at once
+        by_name = tag == "form" or (tag not in ("html", "body", "article", "main") and any(map(CHROME_NAMES.fullmatch, names)))
+        named = not hides and not self.hidden and by_name
+        if tag in BLOCKS or tag in APART or named:
             self.flush()
         if tag in ("p", "li", "dt", "dd", "tr", "td", "th", "option"):
             self.imply(tag)
         self.tags += 1
         if tag == "head" and self.head is None:
             self.head = len(self.stack)
-        if tag == "article":
-            self.articles += 1
+        self.articles += tag in ("article", "main")
+        self.forms += tag == "form"
         self.stack.append((tag, hides, self.region))
         if hides:
             self.hidden += 1
@@ -134,7 +138,8 @@ class _Lines(HTMLParser):
     def cut(self, n: int) -> None:
         self.region = self.stack[n][2]
         self.hidden -= sum(x[1] for x in self.stack[n:])
-        self.articles -= sum(x[0] == "article" for x in self.stack[n:])
+        self.articles -= sum(x[0] in ("article", "main") for x in self.stack[n:])
+        self.forms -= sum(x[0] == "form" for x in self.stack[n:])
         if self.head is not None and self.head >= n:
             self.head = None
         del self.stack[n:]
@@ -145,7 +150,7 @@ class _Lines(HTMLParser):
             return
         for n in range(len(self.stack) - 1, -1, -1):
             if self.stack[n][0] == tag:
-                if tag in BLOCKS or tag in REGIONS or self.region != self.stack[n][2] or any(x[1] or x[0] in BLOCKS for x in self.stack[n:]):
+                if tag in BLOCKS or tag in REGIONS or self.region != self.stack[n][2] or any(x[0] in BLOCKS or x[0] in APART for x in self.stack[n:]):
                     self.flush()
                 self.cut(n)
                 return
@@ -165,9 +170,17 @@ class _Lines(HTMLParser):
 def unhidden(parser: _Lines) -> list[tuple[int, str, int]]:
     """The lines without those of containers that are chrome by name.
 
-    If no article outside of them has text, those that hold an article with text are none; if there is no such article
-    either, those that hold most of the page's text.
+    A form that holds most of the page's text is none. If no article outside of them has text, those that hold an article
+    with text are none; if there is no such article either, those that hold most of the page's text.
     """
+    total = sum(len(text) for _, text, _ in parser.lines)
+    # regions are numbered from outside to inside
+    within = [0] * len(parser.kinds)
+    for region, text, _ in parser.lines:
+        within[region] += len(text)
+    for region in range(len(within) - 1, 0, -1):
+        within[parser.parents[region]] += within[region]
+    parser.named -= {r for r in parser.named if parser.kinds[r] == "form" and 2 * within[r] > total}
     # regions are numbered from outside to inside, so each takes from its parent: the named ones around it (itself
     # included), and the named ones around the outermost article it is in
     chrome: dict[int, frozenset[int]] = {-1: frozenset()}
@@ -178,13 +191,10 @@ def unhidden(parser: _Lines) -> list[tuple[int, str, int]]:
         chrome[region] = chrome[up] | {region} if region in parser.named else chrome[up]
     shown = set()
     if not any(of_article[r] is not None and not chrome[r] for r, _, _ in parser.lines):
-        size, articles = dict.fromkeys(parser.named, 0), set()
-        for region, text, _ in parser.lines:
-            for at in chrome[region]:
-                size[at] += len(text)
+        articles = set()
+        for region, _, _ in parser.lines:
             articles |= of_article[region] or frozenset()
-        total = sum(len(text) for _, text, _ in parser.lines)
-        shown = articles or {at for at, n in size.items() if 2 * n > total}
+        shown = articles or {at for at in parser.named if 2 * within[at] > total}
     return [x for x in parser.lines if chrome[x[0]] <= shown]
 
 

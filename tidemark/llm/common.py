@@ -5,6 +5,7 @@ from __future__ import annotations
 import gc
 import os
 import time
+import uuid
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -12,9 +13,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.shared import stored
+from tidemark.shared import shared_dir, stored
 
-__all__ = ["ascii_lower", "crc32_of", "gathered", "release", "stored", "tune"]
+__all__ = ["ascii_lower", "crc32_of", "gathered", "release", "stored", "tune", "written"]
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -37,6 +38,13 @@ def release(spark: SparkSession) -> None:
         time.sleep(0.3)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """df as a table in the shared folder, computed once: for many small rows, which take less room so than in a checkpoint."""
+    path = f"{shared_dir(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def gathered(batches: Iterator[pa.RecordBatch], at: int, size: int) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about so many bytes in column at: small for Arrow's transfer, large for array code."""
     held, n = [], 0

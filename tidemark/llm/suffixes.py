@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import release, stored, tune
+from tidemark.llm.common import release, stored, tune, written
 
 THRESHOLD = 50
 #: Bytes of the first digit: with fewer, runs are longer and more digits repeat by chance.
@@ -243,7 +243,7 @@ def _smallest(rows: DataFrame, n_digits: int) -> DataFrame:
 
 def _asking(rows: DataFrame, value: str) -> DataFrame:
     """(row_key, asked): the values that each row is asked about; a list is no longer than its row's text."""
-    return rows.groupBy("row_key").agg(F.collect_set(value).alias("asked"))
+    return rows.groupBy("row_key").agg(F.collect_list(value).alias("asked"))
 
 
 def repeats(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
@@ -254,34 +254,48 @@ def repeats(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     nothing from each other: a null is neither smaller nor larger. Rows that repeat give rows that repeat. Empty table:
     no rows. Other columns are ignored. Ranges are maximal and in order; kept is binary, as a cut may split a character.
     """
-    spark = docs.sparkSession
-    tune(spark)
-    texts = _texts(docs, threshold)
-    one = _pass(texts, 1, threshold, _first_digit, ends=True)
-    group = W.partitionBy("d0", "salt")
-    again = one.withColumn("again", F.col("salt").isNotNull() | (F.min("row_key").over(group) < F.max("row_key").over(group)))
-    asked = stored(_asking(again.filter("again"), "d0"))
-    release(spark)
-
-    two = _pass(texts.join(asked, "row_key"), 3, threshold, _second_digit)
-    judged = stored(_smallest(two, 3).select("row_key", "id", F.when(~F.col("lost"), F.col("d0")).alias("d0"), "d1", "lost"))
-    release(spark)
-    firsts = judged.filter("not lost")
-    mixed = firsts.groupBy("d0").agg(F.min("id").alias("low"), F.max("id").alias("high")).filter("low < high").select("d0")
-    asked = _asking(firsts.join(mixed, "d0"), "d1")
-
-    three = _pass(texts.join(asked, "row_key"), 2, threshold, _last_digit)
-    windows = stored(_smallest(three, 2).filter("lost").select("row_key", "id", "d0"))
-    release(spark)
+    tune(docs.sparkSession)
+    asked = _repeated_digits(docs, threshold)
+    release(docs.sparkSession)
+    judged = _judged_stretches(docs, threshold, asked)
+    release(docs.sparkSession)
+    windows = _lost_windows(docs, threshold, judged)
+    release(docs.sparkSession)
     gone = judged.filter("lost").select("row_key", "id", F.col("d1").alias("stretch"), F.lit(None).cast("long").alias("window"))
     gone = gone.unionByName(windows.select("row_key", "id", F.lit(None).cast("long").alias("stretch"), F.col("d0").alias("window")))
-    gone = gone.groupBy("row_key", "id").agg(F.collect_set("stretch").alias("stretches"), F.collect_set("window").alias("windows"))
+    gone = gone.groupBy("row_key", "id").agg(F.collect_list("stretch").alias("stretches"), F.collect_list("window").alias("windows"))
     every = docs.select(F.col("doc_id").cast("long").alias("id"), F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("text")).withColumn("row_key", _row_key())
     none = F.array().cast("array<long>")
     both = every.join(gone, ["row_key", "id"], "left").select("id", "text", F.coalesce("stretches", none).alias("stretches"), F.coalesce("windows", none).alias("windows"))
     return _without(both, threshold)
 
 
+# Each pass is a function of its own: when it returns, nothing refers to its shuffle files, and release() has them deleted.
+
+
+def _repeated_digits(docs: DataFrame, threshold: int) -> DataFrame:
+    """(row_key, asked): first digits of each row that another row has as well."""
+    rows = _pass(_texts(docs, threshold), 1, threshold, _first_digit, ends=True)
+    group = W.partitionBy("d0", "salt")
+    again = rows.withColumn("again", F.col("salt").isNotNull() | (F.min("row_key").over(group) < F.max("row_key").over(group)))
+    return stored(_asking(again.filter("again"), "d0"))
+
+
+def _judged_stretches(docs: DataFrame, threshold: int, asked: DataFrame) -> DataFrame:
+    """(row_key, id, d0, d1, lost): stretches of runs with such digits; d0, the first digit, only where they aren't lost."""
+    rows = _pass(_texts(docs, threshold).join(asked, "row_key"), 3, threshold, _second_digit)
+    return written(_smallest(rows, 3).select("row_key", "id", F.when(~F.col("lost"), F.col("d0")).alias("d0"), "d1", "lost"))
+
+
+def _lost_windows(docs: DataFrame, threshold: int, judged: DataFrame) -> DataFrame:
+    """(row_key, id, d0): windows of the runs left whose first digit has stretches of several documents."""
+    firsts = judged.filter("not lost")
+    mixed = firsts.groupBy("d0").agg(F.min("id").alias("low"), F.max("id").alias("high")).filter("low < high").select("d0")
+    asked = _asking(firsts.join(mixed, "d0"), "d1")
+    rows = _pass(_texts(docs, threshold).join(asked, "row_key"), 2, threshold, _last_digit)
+    return written(_smallest(rows, 2).filter("lost").select("row_key", "id", "d0"))
+
+
 SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 OUT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("spans", SPANS), ("kept", pa.binary())])
 

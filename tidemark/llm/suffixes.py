@@ -8,9 +8,11 @@ soon as its group can't hold another document:
    share one: a run of about a dozen suffixes is one row of the pass. Runs whose digit one row alone has are finished.
 2. The second digit is the whole stretch that a run's windows cover. In a group of equal stretches all but the smallest
    document lose all windows of the run; the smallest stays in the order if its first digit has other stretches.
-3. The last digit is the window itself, for the few runs that are left: equal groups are exactly the repeated windows.
+3. The third digit is the stretch that WIDTH neighbouring windows of a run have in common. Most of those left end here:
+   they have a gram in common by chance, and nothing around it.
+4. The last digit is the window itself, for what is left: equal groups are exactly the repeated windows.
 
-Digits are 64-bit fingerprints; a group of pass 2 or 3 is equal in two of them with different bases. A task sends one
+Digits are 64-bit fingerprints; a group of pass 2 or 4 is equal in two of them with different bases. A task sends one
 row for equal digits of what it holds, and marks the others as answered, so a passage that a third of all documents
 share isn't a third of a group.
 """
@@ -31,6 +33,8 @@ from tidemark.llm.common import release, stored, tune, written
 THRESHOLD = 50
 #: Bytes of the first digit: with fewer, runs are longer and more digits repeat by chance.
 DIGIT = 26
+#: Windows that have a third digit in common.
+WIDTH = 9
 #: Bytes whose windows are looked at together; a longer text is cut, with THRESHOLD - 1 bytes in common.
 STEP = 1 << 18
 #: Rows that a task holds to find equal digits among them.
@@ -54,6 +58,12 @@ def _powers(base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return _mixed(_mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(base))), up, down
 
 
+def _counted(first: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """All whole numbers from each first to before its end."""
+    size = end - first
+    return np.repeat(first - np.cumsum(size) + size, size) + np.arange(size.sum())
+
+
 class Prints:
     """Fingerprints of any stretch of bytes, from sums over their prefixes."""
 
@@ -108,8 +118,16 @@ class Runs:
 
     def windows(self, which: np.ndarray) -> np.ndarray:
         """The start of each window of these runs."""
-        first, size = self.first[which], (self.end - self.first)[which]
-        return np.repeat(first - np.cumsum(size) + size, size) + np.arange(size.sum())
+        return _counted(self.first[which], self.end[which])
+
+    def shares(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Parts of these runs, of WIDTH windows at most: run, first and last start, and the fingerprint of what they have in common."""
+        low, high = (self.anchor - self.end + 1)[which] // WIDTH, (self.anchor - self.first)[which] // WIDTH
+        part, run = _counted(low, high + 1), np.repeat(which, high + 1 - low)
+        anchor = self.anchor[run]
+        first, end = np.maximum(anchor - part * WIDTH - WIDTH + 1, self.first[run]), np.minimum(anchor - part * WIDTH + 1, self.end[run])
+        common = self.prints[0].at(anchor - part * WIDTH, self.threshold - WIDTH + 1)
+        return run, first, end, _mixed(common + part.astype(np.uint64) * np.uint64(_BASES[1]))
 
     def place(self, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The row of each start and where it is in that row's text."""
@@ -228,10 +246,16 @@ def _second_digit(runs: Runs, asked: Asked):
     return [runs.digit[which], *runs.stretches(which)], runs.row[which]
 
 
-def _last_digit(runs: Runs, asked: Asked):
+def _third_digit(runs: Runs, asked: Asked):
     every = np.arange(len(runs.first))
-    which = np.flatnonzero(asked.has(runs.row, runs.stretches(every)[0]))
-    start = runs.windows(which)
+    run, _, _, common = runs.shares(every[asked.has(runs.row, runs.stretches(every)[0])])
+    return [common], runs.row[run]
+
+
+def _last_digit(runs: Runs, asked: Asked):
+    run, first, end, common = runs.shares(np.arange(len(runs.first)))
+    left = asked.has(runs.row[run], common)
+    start = _counted(first[left], end[left])
     return [p.at(start, runs.threshold) for p in runs.prints], runs.place(start)[0]
 
 
@@ -255,11 +279,14 @@ def repeats(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     no rows. Other columns are ignored. Ranges are maximal and in order; kept is binary, as a cut may split a character.
     """
     tune(docs.sparkSession)
-    asked = _repeated_digits(docs, threshold)
+    asked = _repeated_grams(docs, threshold)
     release(docs.sparkSession)
     judged = _judged_stretches(docs, threshold, asked)
+    asked = None
+    release(docs.sparkSession)
+    asked = _repeated_shares(docs, threshold, judged)
     release(docs.sparkSession)
-    windows = _lost_windows(docs, threshold, judged)
+    windows = _lost_windows(docs, threshold, asked)
     release(docs.sparkSession)
     gone = judged.filter("lost").select("row_key", "id", F.col("d1").alias("stretch"), F.lit(None).cast("long").alias("window"))
     gone = gone.unionByName(windows.select("row_key", "id", F.lit(None).cast("long").alias("stretch"), F.col("d0").alias("window")))
@@ -273,25 +300,33 @@ def repeats(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
 # Each pass is a function of its own: when it returns, nothing refers to its shuffle files, and release() has them deleted.
 
 
-def _repeated_digits(docs: DataFrame, threshold: int) -> DataFrame:
-    """(row_key, asked): first digits of each row that another row has as well."""
-    rows = _pass(_texts(docs, threshold), 1, threshold, _first_digit, ends=True)
+def _again(rows: DataFrame) -> DataFrame:
+    """(row_key, asked): the digits of each row that another row has as well."""
     group = W.partitionBy("d0", "salt")
     again = rows.withColumn("again", F.col("salt").isNotNull() | (F.min("row_key").over(group) < F.max("row_key").over(group)))
     return stored(_asking(again.filter("again"), "d0"))
 
 
+def _repeated_grams(docs: DataFrame, threshold: int) -> DataFrame:
+    return _again(_pass(_texts(docs, threshold), 1, threshold, _first_digit, ends=True))
+
+
 def _judged_stretches(docs: DataFrame, threshold: int, asked: DataFrame) -> DataFrame:
     """(row_key, id, d0, d1, lost): stretches of runs with such digits; d0, the first digit, only where they aren't lost."""
     rows = _pass(_texts(docs, threshold).join(asked, "row_key"), 3, threshold, _second_digit)
     return written(_smallest(rows, 3).select("row_key", "id", F.when(~F.col("lost"), F.col("d0")).alias("d0"), "d1", "lost"))
 
 
-def _lost_windows(docs: DataFrame, threshold: int, judged: DataFrame) -> DataFrame:
-    """(row_key, id, d0): windows of the runs left whose first digit has stretches of several documents."""
+def _repeated_shares(docs: DataFrame, threshold: int, judged: DataFrame) -> DataFrame:
+    """Of the runs left, those whose first digit has stretches of several documents, and what their windows share."""
     firsts = judged.filter("not lost")
     mixed = firsts.groupBy("d0").agg(F.min("id").alias("low"), F.max("id").alias("high")).filter("low < high").select("d0")
     asked = _asking(firsts.join(mixed, "d0"), "d1")
+    return _again(_pass(_texts(docs, threshold).join(asked, "row_key"), 1, threshold, _third_digit, ends=True))
+
+
+def _lost_windows(docs: DataFrame, threshold: int, asked: DataFrame) -> DataFrame:
+    """(row_key, id, d0): windows that a document with a smaller identifier has as well."""
     rows = _pass(_texts(docs, threshold).join(asked, "row_key"), 2, threshold, _last_digit)
     return written(_smallest(rows, 2).filter("lost").select("row_key", "id", "d0"))
 

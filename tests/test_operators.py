@@ -5,7 +5,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from tidemark.operators import digests, entities, events, graph, ledgers, quality
+from tidemark.operators import digests, entities, events, graph, ledgers, quality, similarity
 
 AT = dt.datetime(2026, 7, 1)
 
@@ -222,3 +222,67 @@ def test_entities(spark):
     got = entities.match_entities(spark.createDataFrame([(t,) for t in texts], "t string"), "t", words).collect()
     assert [r.entity_hits for r in got] == [["acme-labs", "ai"], ["acme"], ["zhipu"], [], [], ["acme"]]
     assert got[0].entity_types == ["company", "technology"]
+
+
+def plain_pairs(left, right, threshold, hours_, once):
+    out = set()
+    for i, x, at, s in left:
+        for j, y, to, t in right:
+            a, b = set(x or ()), set(y or ())
+            if not a or not b or s is None or s != t or (once and i >= j):
+                continue
+            if hours_ is not None and (at is None or to is None or abs((at - to).total_seconds()) > hours_ * 3600):
+                continue
+            if len(a & b) / len(a | b) >= threshold:
+                out.add((i, j, round(len(a & b) / len(a | b), 9)))
+    return out
+
+
+def test_similarity_joins_against_loops(spark):
+    schema = "id long, tokens array<string>, at timestamp, s string"
+    for seed, threshold, hours_, once in ((1, 0.3, 96, False), (2, 0.5, None, True), (3, 0.95, 168, True), (4, 1.0, 1, False), (5, 0.8, 48, True)):
+        rng = random.Random(seed)
+
+        def rows(n, base):
+            words = lambda: [rng.choice("abcdefghij") for _ in range(rng.randrange(0, 7))] + ["all"] * rng.randrange(2)
+            return [(base + k, words() if rng.random() < 0.95 else None, hours(rng.choice((0, 1, 47, 48, 96, 97, 168, 169, -3))) if rng.random() < 0.95 else None, rng.choice(("x", "y", None))) for k in range(n)]
+
+        left = rows(60, 0)
+        right = left if once else rows(60, 1000)
+        a, b = (spark.createDataFrame(x, schema) for x in (left, right))
+        got = [(r.left, r.right, round(r.similarity, 9)) for r in similarity.similar_pairs(a, b, threshold, ("s",), hours_, once).collect()]
+        assert len(got) == len(set(got)) and set(got) == plain_pairs(left, right, threshold, hours_, once), seed
+    none = spark.createDataFrame([], schema)
+    assert similarity.similar_pairs(none, none, 0.5).count() == 0
+
+
+def test_candidates_follow_results(spark):
+    """A token that every title has makes no candidates, as rarer ones stand before it."""
+    n = 3000
+    rows = spark.range(n).selectExpr("id", "array('every', 'title', concat('own', id), concat('also', id), concat('pair', id div 2), concat('both', id div 2), concat('two', id div 2)) AS tokens")
+    found = similarity.candidates(rows, rows, 0.5, once=True)
+    assert found.count() == n // 2 == similarity.similar_pairs(rows, rows, 0.5, once=True).count()
+
+
+def test_many_copies_of_a_title_are_settled_in_a_few_rounds(spark):
+    """Every node matches every earlier one with the same rank; a chain whose links wait for each other as well."""
+    n = 60
+    clique = [(b, a, 7.0) for a in range(n) for b in range(a + 1, n)]
+    nodes = spark.range(n).withColumnRenamed("id", "signal")
+    assert [r.signal for r in events.settle_leaders(nodes, spark.createDataFrame(clique, "signal long, event long, rank double"), 3).collect()] == [0]
+    chain = spark.createDataFrame([(k, k - 1, 1.0) for k in range(1, 9)], "signal long, event long, rank double")
+    assert sorted(r.signal for r in events.settle_leaders(spark.range(9).withColumnRenamed("id", "signal"), chain).collect()) == [0, 2, 4, 6, 8]
+
+
+def test_leaders_on_random_graphs(spark):
+    for seed in range(4):
+        rng = random.Random(seed)
+        n = 40
+        edges = [(b, a, float(rng.choice((1, 2, 3)))) for b in range(n) for a in range(b) if rng.random() < 0.15]
+        leaders = set()
+        for b in range(n):
+            ranks = [r for x, a, r in edges if x == b and a in leaders]
+            if ranks.count(max(ranks, default=0)) != 1:
+                leaders.add(b)
+        got = events.settle_leaders(spark.range(n).withColumnRenamed("id", "signal"), spark.createDataFrame(edges, "signal long, event long, rank double"))
+        assert {r.signal for r in got.collect()} == leaders

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import dates, text
 from tidemark.functions.numbers import clamp, jaccard
 from tidemark.operators.graph import connected_components
+from tidemark.operators.similarity import similar_pairs
 from tidemark.shared import stored
 
 #: Titles alike at least this much may be of one event; the stricter value serves where no setting can be read.
@@ -27,22 +28,19 @@ def keyed(df: DataFrame, ascii_only: bool = False) -> DataFrame:
 def match(signals: DataFrame, events: DataFrame, similar: float = SIMILAR) -> DataFrame:
     """(signal, event, same_fp, same_bucket, similarity) of all pairs that belong together.
 
-    Both sides are keyed: signal or event, at, tokens, fp, bucket. Pairs with equal fingerprints come from a join on the
-    fingerprint; the others share a token and lie in the same or a neighbouring 96-hour bucket, so they come from a join
-    on both, never from all pairs. Times that are null match nothing; two fingerprints that differ veto.
+    Both sides are keyed: signal or event (unique), at, tokens, fp, bucket. Pairs with equal fingerprints come from a
+    join on the fingerprint, the others from a similarity join within 96 hours. Times that are null match nothing; two
+    fingerprints that differ veto.
     """
     s = signals.select("signal", F.col("at").alias("s_at"), F.col("tokens").alias("s_tokens"), F.col("fp").alias("s_fp"), F.col("bucket").alias("s_bucket")).filter("s_at is not null")
     e = events.select("event", F.col("at").alias("e_at"), F.col("tokens").alias("e_tokens"), F.col("fp").alias("e_fp"), F.col("bucket").alias("e_bucket")).filter("e_at is not null")
     apart = dates.hours_between(F.col("s_at"), F.col("e_at"))
-    like = jaccard(F.col("s_tokens"), F.col("e_tokens"))
     by_fp = s.join(e, F.col("s_fp") == F.col("e_fp")).filter((F.col("s_bucket") == F.col("e_bucket")) & (apart <= F.when(F.col("s_bucket") == "incident", INCIDENT_HOURS).otherwise(IDENTITY_HOURS)))
-    width = BY_TITLE_HOURS * 3600
-    s_token = s.select("*", F.explode("s_tokens").alias("token"), F.floor(F.unix_seconds("s_at") / width).alias("slot"))
-    e_token = e.select("event", F.explode("e_tokens").alias("token"), F.explode(F.array(*[F.floor(F.unix_seconds("e_at") / width) + d for d in (-1, 0, 1)])).alias("slot"))
-    near = s_token.join(e_token, ["token", "slot"]).select("signal", "event").distinct()
-    by_title = near.join(s, "signal").join(e, "event").filter((apart <= BY_TITLE_HOURS) & ~(F.col("s_fp").isNotNull() & F.col("e_fp").isNotNull()) & (like >= similar))
-    out = [F.col("signal"), F.col("event"), F.coalesce(F.col("s_fp") == F.col("e_fp"), F.lit(False)).alias("same_fp"), (F.col("s_bucket") == F.col("e_bucket")).alias("same_bucket"), F.round(like, 6).alias("similarity")]
-    return by_fp.select(*out).unionByName(by_title.select(*out))
+    left, right = (df.select(F.col(k).alias("id"), "tokens", "at") for df, k in ((signals, "signal"), (events, "event")))
+    near = similar_pairs(left, right, similar, hours=BY_TITLE_HOURS).select(F.col("left").alias("signal"), F.col("right").alias("event"), "similarity")
+    by_title = near.join(s.select("signal", "s_fp", "s_bucket"), "signal").join(e.select("event", "e_fp", "e_bucket"), "event").filter("s_fp is null or e_fp is null")
+    facts = [F.col("signal"), F.col("event"), F.coalesce(F.col("s_fp") == F.col("e_fp"), F.lit(False)).alias("same_fp"), (F.col("s_bucket") == F.col("e_bucket")).alias("same_bucket")]
+    return by_fp.select(*facts, F.round(jaccard(F.col("s_tokens"), F.col("e_tokens")), 6).alias("similarity")).unionByName(by_title.select(*facts, F.round("similarity", 6).alias("similarity")))
 
 
 def attach(pairs: DataFrame) -> DataFrame:
@@ -53,43 +51,75 @@ def attach(pairs: DataFrame) -> DataFrame:
 
 
 def lead_events(signals: DataFrame, similar: float = SIMILAR, opens: int = 70) -> DataFrame:
-    """(signal, event, state) by sequential leader clustering; signals: signal, title, at, eventability, order.
+    """(signal, event, state) by sequential leader clustering; signals: signal (unique), title, at, eventability, order.
 
     Signals come by eventability, then order. One attaches to its unique best event, else opens one if it may, else is
-    deferred. Only those that may open events depend on each other, and only within blocks of possible matches, so the
-    rule runs block by block; all others are matched with the finished events at once.
+    deferred. Who opens events is settled in rounds, as only those that may do so depend on each other; all others, and
+    those of them that open none, are then matched with the finished events at once.
     """
     every = keyed(signals)
     openers = every.filter(F.col("eventability") >= opens)
-    events_like = openers.withColumnRenamed("signal", "event")
-    pairs = match(openers, events_like, similar).filter("signal <> event")
-    blocks = connected_components(pairs.select(F.col("signal").alias("a"), F.col("event").alias("b")))
-    placed = openers.join(blocks.withColumnRenamed("node", "signal"), "signal", "left").select("signal", "eventability", "order", F.coalesce("root", "signal").alias("block"))
-    edges = pairs.groupBy("signal").agg(F.collect_list(F.struct("event", "same_fp", "same_bucket", "similarity")).alias("edges"))
-
-    def run(rows):
-        import pandas as pd
-
-        rows = rows.sort_values(["eventability", "order", "signal"], ascending=[False, True, True])
-        leaders, out = set(), []
-        for r in rows.itertuples():
-            ranks = [(e["same_fp"], e["same_bucket"], e["similarity"], e["event"]) for e in (r.edges if r.edges is not None else ()) if e["event"] in leaders]
-            top = max((x[:3] for x in ranks), default=None)
-            best = [x[3] for x in ranks if x[:3] == top]
-            if len(best) == 1:
-                out.append((r.signal, best[0], "attached"))
-            else:
-                leaders.add(r.signal)
-                out.append((r.signal, r.signal, "opened"))
-        return pd.DataFrame(out, columns=["signal", "event", "state"])
-
-    first = placed.join(edges, "signal", "left").groupBy("block").applyInPandas(run, "signal long, event long, state string")
-    first = stored(first)
-    leaders = every.join(first.filter("state = 'opened'").select("signal"), "signal", "left_semi").withColumnRenamed("signal", "event")
-    late = every.filter(F.col("eventability") < opens)
-    found = attach(match(late, leaders, similar))
-    rest = late.select("signal").join(found, "signal", "left").select("signal", "event", F.when(F.col("event").isNull(), "deferred").otherwise("attached").alias("state"))
-    return first.unionByName(rest)
+    turn = F.struct(-F.col("eventability"), F.col("order"), F.col("signal"))
+    pairs = match(openers, openers.withColumnRenamed("signal", "event"), similar).filter("signal <> event")
+    first, second = (openers.select(F.col("signal").alias(k), turn.alias(f"{k}_turn")) for k in ("signal", "event"))
+    # what is better comes first, and a likeness is never over 1: the order of attach() as one number
+    rank = F.col("same_fp").cast("int") * 4 + F.col("same_bucket").cast("int") * 2 + F.col("similarity")
+    earlier = pairs.join(first, "signal").join(second, "event").filter("event_turn < signal_turn").select("signal", "event", rank.alias("rank"))
+    opened = settle_leaders(openers.select("signal"), earlier)
+    leaders = stored(every.join(opened, "signal", "left_semi"))
+    events = leaders.withColumnRenamed("signal", "event")
+    rest = every.join(opened, "signal", "left_anti")
+    # an opener sees events that came before it alone
+    late = stored(rest.select("signal", "eventability", turn.alias("turn")))
+    found = match(rest, events, similar).join(late.withColumnRenamed("turn", "signal_turn"), "signal")
+    found = found.join(leaders.select(F.col("signal").alias("event"), turn.alias("event_turn")), "event").filter((F.col("eventability") < opens) | (F.col("event_turn") < F.col("signal_turn")))
+    placed = late.select("signal").join(attach(found), "signal", "left")
+    placed = placed.select("signal", "event", F.when(F.col("event").isNull(), "deferred").otherwise("attached").alias("state"))
+    return leaders.select("signal", F.col("signal").alias("event"), F.lit("opened").alias("state")).unionByName(placed)
+
+
+def settle_leaders(nodes: DataFrame, earlier: DataFrame, max_rounds: int = 200) -> DataFrame:
+    """(signal) of nodes (signal) that open an event; earlier (signal, event, rank): matches with nodes that come before.
+
+    A node opens if, of the earlier ones that opened, none or more than one is the best. Each round settles all that the
+    known leaders decide: a node opens once nothing open could still be its best alone; it doesn't open once nothing open
+    could tie with its best. Nodes that wait for each other alone, all with one best leader already, open none either:
+    the first of them can't, so the next one can't. So many copies of one title take one round, not one each.
+    """
+    edges = stored(earlier)
+    open_ = stored(nodes.select("signal"))
+    leaders = stored(open_.limit(0))
+    for _ in range(max_rounds):
+        state = open_.select(F.col("signal").alias("event"), F.lit(False).alias("leads")).unionByName(leaders.select(F.col("signal").alias("event"), F.lit(True).alias("leads")))
+        live = edges.join(open_, "signal").join(state, "event")
+        at_rank = live.groupBy("signal", "rank").agg(F.count_if("leads").alias("leaders"), F.count_if(~F.col("leads")).alias("waits"))
+        told = at_rank.groupBy("signal").agg(F.max(F.when(F.col("leaders") > 0, F.struct("rank", "leaders"))).alias("best"), F.max(F.when(F.col("waits") > 0, F.col("rank"))).alias("wait"))
+        told = open_.join(told, "signal", "left").select("signal", F.col("best.rank").alias("best"), F.coalesce("best.leaders", F.lit(0)).alias("ties"), "wait")
+        verdict = (
+            F.when(F.col("wait").isNull() & (F.col("ties") != 1), "opens").when((F.col("ties") > 1) & (F.col("wait") <= F.col("best")), "opens")
+            .when((F.col("ties") == 1) & (F.col("wait").isNull() | (F.col("wait") < F.col("best"))), "joins").when(F.col("ties") == 1, "held").otherwise("waits")
+        )
+        told = stored(told.select("signal", "best", verdict.alias("verdict")))
+        held = told.filter("verdict in ('joins', 'held')").select("signal", "best")
+        # a held node joins if all that it waits for do; the others are taken out until none is left to take
+        waits = stored(edges.join(told.filter("verdict = 'held'").select("signal", "best"), "signal").filter("rank >= best").join(open_.select(F.col("signal").alias("event")), "event").select("signal", "event"))
+        joins = stored(held.select("signal"))
+        n = joins.count()
+        while n:
+            out = waits.join(joins.select(F.col("signal").alias("event")), "event", "left_anti").select("signal").distinct()
+            joins = stored(joins.join(out, "signal", "left_anti"))
+            n, before = joins.count(), n
+            if n == before:
+                break
+        opens = told.filter("verdict = 'opens'").select("signal")
+        leaders = stored(leaders.unionByName(opens))
+        left = stored(open_.join(joins, "signal", "left_anti").join(opens, "signal", "left_anti"))
+        # matches of settled nodes, and matches with nodes that open nothing, decide no more
+        edges = stored(edges.join(left, "signal", "left_semi").join(joins.select(F.col("signal").alias("event")), "event", "left_anti"))
+        if left.isEmpty():
+            return leaders
+        open_ = left
+    raise RuntimeError("leaders didn't settle")
 
 
 def event_id(at: Column, identity: Column, facet: Column) -> Column:
@@ -97,23 +127,21 @@ def event_id(at: Column, identity: Column, facet: Column) -> Column:
 
 
 def repost_pairs(evidence: DataFrame, rule: str) -> DataFrame:
-    """(a, b) of an event's evidence where one repeats the other.
+    """(event, a, b) of an event's evidence where one repeats the other.
 
     evidence: node (unique), event, lang, at, fp, tokens (of the title), entities. rule `verbatim`: titles at least 0.95
     alike within 168 hours; `translated`: other languages, entities at least 0.8 alike within 48 hours, no two
     fingerprints that differ. What is missing matches nothing.
     """
-    cols = ("node", "lang", "at", "fp", "tokens", "entities")
-    a = evidence.select("event", *[F.col(c).alias(f"a_{c}") for c in cols])
-    b = evidence.select("event", *[F.col(c).alias(f"b_{c}") for c in cols])
-    both = a.join(b, "event").filter("a_node < b_node")
-    apart = dates.hours_between(F.col("a_at"), F.col("b_at"))
+    of, least, within = ("tokens", 0.95, 168) if rule == "verbatim" else ("entities", 0.8, 48)
+    sets = evidence.select(F.col("node").alias("id"), "event", "at", F.col(of).alias("tokens"))
+    pairs = similar_pairs(sets, sets, least, by=("event",), hours=within, once=True).select("event", F.col("left").alias("a"), F.col("right").alias("b"))
     if rule == "verbatim":
-        kept = both.filter((apart <= 168) & (jaccard(F.col("a_tokens"), F.col("b_tokens")) >= 0.95))
-    else:
-        tongues = [F.nullif(F.lower(F.trim(f"{x}_lang")), F.lit("")) for x in "ab"]
-        kept = both.filter((tongues[0] != tongues[1]) & (apart <= 48) & F.coalesce(F.col("a_fp") == F.col("b_fp"), F.lit(True)) & (jaccard(F.col("a_entities"), F.col("b_entities")) >= 0.8))
-    return kept.select("event", F.col("a_node").alias("a"), F.col("b_node").alias("b"))
+        return pairs
+    told = evidence.select("node", F.nullif(F.lower(F.trim("lang")), F.lit("")).alias("lang"), "fp")
+    for x in "ab":
+        pairs = pairs.join(told.select(F.col("node").alias(x), F.col("lang").alias(f"{x}_lang"), F.col("fp").alias(f"{x}_fp")), x)
+    return pairs.filter((F.col("a_lang") != F.col("b_lang")) & F.coalesce(F.col("a_fp") == F.col("b_fp"), F.lit(True))).select("event", "a", "b")
 
 
 def reposts(evidence: DataFrame, rule: str) -> DataFrame:

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions import dates, numbers, text
-from tidemark.operators import events, ledgers, quality
+from tidemark.functions import dates, text
+from tidemark.operators import events, ledgers, quality, similarity
 from tidemark.plans.base import SCORED, SIGNALS, TITLED, query, signals, sql_facet, sql_fingerprint, sql_jaccard, sql_tokens, table, titles
 
 
@@ -70,14 +70,10 @@ def q09_facet(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT a.doc_id AS a, b.doc_id AS b, round({sql_jaccard('a.tk', 'b.tk')}, 6) AS similarity FROM t a JOIN t b ON a.source = b.source AND a.doc_id < b.doc_id
 WHERE abs(epoch_us(a.published) - epoch_us(b.published)) <= 96 * 3600000000 AND {sql_jaccard('a.tk', 'b.tk')} >= 0.30""")
 def q10_jaccard_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Similar titles of one source within 96 hours: candidates share a token, so no pairs without one are made."""
-    s = signals(spark, sf_dir).filter("published is not null").select("doc_id", "source", "published", text.title_tokens(text.fold(F.col("title"), True)).alias("tk"))
-    each = s.select("doc_id", "source", "published", F.explode("tk").alias("token"))
-    other = each.select(F.col("doc_id").alias("b"), "source", F.col("published").alias("b_at"), "token")
-    near = each.withColumnRenamed("doc_id", "a").join(other, ["source", "token"]).filter((F.col("a") < F.col("b")) & (dates.hours_between(F.col("published"), F.col("b_at")) <= 96)).select("a", "b").distinct()
-    both = near.join(s.select(F.col("doc_id").alias("a"), F.col("tk").alias("ta")), "a").join(s.select(F.col("doc_id").alias("b"), F.col("tk").alias("tb")), "b")
-    alike = numbers.jaccard(F.col("ta"), F.col("tb"))
-    return both.filter(alike >= events.SIMILAR).select("a", "b", F.round(alike, 6).alias("similarity"))
+    """Similar titles of one source within 96 hours."""
+    s = signals(spark, sf_dir).select(F.col("doc_id").alias("id"), "source", F.col("published").alias("at"), text.title_tokens(text.fold(F.col("title"), True)).alias("tokens"))
+    pairs = similarity.similar_pairs(s, s, events.SIMILAR, by=("source",), hours=events.BY_TITLE_HOURS, once=True)
+    return pairs.select(F.col("left").alias("a"), F.col("right").alias("b"), F.round("similarity", 6).alias("similarity"))
 
 
 def _evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -155,9 +151,38 @@ def q14_attach_best(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.attach(events.match(late, known)).select("signal", "event", F.bround(100 * F.col("similarity")).cast("int").alias("relevance"))
 
 
-@query()
+#: Signals one after the other, the list of leaders so far as the state.
+_LEADERS_SQL = f"""WITH RECURSIVE {TITLED}, k AS MATERIALIZED (
+  SELECT p_partkey AS id, seen, {sql_fingerprint('title')} AS fp, {sql_facet('title')} AS facet, {sql_tokens('title')} AS tk, p_partkey * 7 % 101 AS ev FROM titled
+), kb AS MATERIALIZED (SELECT *, CASE facet WHEN 'update' THEN 'release' WHEN 'benchmark' THEN 'capability' ELSE facet END AS bucket, row_number() OVER (ORDER BY ev DESC, id) AS turn FROM k), m AS MATERIALIZED (
+  SELECT s.id AS signal, s.turn, s.ev, e.id AS event, e.turn AS e_turn, coalesce(s.fp = e.fp, false)::INT * 4 + (s.bucket = e.bucket)::INT * 2 + round({sql_jaccard('s.tk', 'e.tk')}, 6) AS rank
+  FROM kb s JOIN kb e ON e.ev >= 70 AND s.id <> e.id AND e.turn < s.turn AND abs(epoch_us(s.seen) - epoch_us(e.seen)) <= 504 * 3600000000
+  WHERE CASE WHEN s.fp <> e.fp THEN false
+    WHEN s.fp = e.fp THEN s.bucket = e.bucket AND abs(epoch_us(s.seen) - epoch_us(e.seen)) <= (CASE s.bucket WHEN 'incident' THEN 168 ELSE 504 END) * 3600000000
+    ELSE abs(epoch_us(s.seen) - epoch_us(e.seen)) <= 96 * 3600000000 AND {sql_jaccard('s.tk', 'e.tk')} >= 0.30 END
+), near AS MATERIALIZED (
+  SELECT turn, list(struct_pack(rank := rank, event := event) ORDER BY rank DESC, event) AS near FROM m WHERE ev >= 70 GROUP BY turn
+), o AS MATERIALIZED (
+  SELECT kb.turn, id, coalesce(near, []) AS near FROM kb LEFT JOIN near USING (turn) WHERE ev >= 70
+), r AS (
+  SELECT 0::BIGINT AS n, []::BIGINT[] AS leaders
+  UNION ALL
+  SELECT n + 1, CASE WHEN len(b) > 0 AND (len(b) = 1 OR b[1].rank > b[2].rank) THEN leaders ELSE list_append(leaders, id) END
+  FROM (SELECT n, leaders, o.id, list_filter(o.near, lambda x: list_contains(leaders, x.event)) AS b FROM r JOIN o ON o.turn = r.n + 1)
+), l AS (
+  SELECT unnest(leaders) AS id FROM (SELECT leaders FROM r ORDER BY n DESC LIMIT 1)
+), p AS (
+  SELECT signal, event, rank() OVER (PARTITION BY signal ORDER BY rank DESC) AS place FROM m WHERE event IN (SELECT id FROM l) AND signal NOT IN (SELECT id FROM l)
+), a AS (
+  SELECT signal, any_value(event) AS event FROM p WHERE place = 1 GROUP BY signal HAVING count(*) = 1
+)
+SELECT id AS signal, CASE WHEN id IN (SELECT id FROM l) THEN id ELSE a.event END AS event, CASE WHEN id IN (SELECT id FROM l) THEN 'opened' WHEN a.event IS NULL THEN 'deferred' ELSE 'attached' END AS state
+FROM kb LEFT JOIN a ON a.signal = kb.id"""
+
+
+@query(_LEADERS_SQL)
 def q15_leader_cluster(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sequential by nature: held against a plain loop in the tests."""
+    """Sequential by nature, settled in rounds."""
     s = titles(spark, sf_dir).select(F.col("p_partkey").alias("signal"), "title", "at", (F.col("p_partkey") * 7 % 101).cast("int").alias("eventability"), F.col("p_partkey").alias("order"))
     return events.lead_events(s)
 

@@ -150,11 +150,16 @@ def test_shares_are_exact(spark):
     assert got == [1 + 10**9 * (n + 5) // (t + 5 * v) if v else None for n, t, v in rows]
 
 
-def test_terms_of_long_texts(monkeypatch):
-    text = "Ein Wort, noch ein WORT und Übermut; x " * 50
-    whole = divergence.term_counts(text)
-    monkeypatch.setattr(divergence, "STEP", 7)
-    assert divergence.term_counts(text) == whole and whole["wort"] == 100 and whole["Übermut"] == 50
+@given(st.text(alphabet=st.sampled_from("aBé日 ,1\n[Z"), max_size=60), st.integers(1, 9))
+@settings(max_examples=200, deadline=None)
+def test_terms_by_steps(text, step):
+    """A text that is cut into steps has the same terms, also where one is longer than a step."""
+    want = TERMS.findall("".join(c.lower() if c < "\x80" else c for c in text))
+    before, divergence.STEP = divergence.STEP, step
+    try:
+        assert [t.decode() for terms in divergence.terms_of(text.encode()) for t in terms] == want
+    finally:
+        divergence.STEP = before
 
 
 def test_counts_are_passed_on(spark, monkeypatch, small):

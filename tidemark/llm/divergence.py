@@ -13,7 +13,6 @@ million doesn't fit a long.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 
@@ -22,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import UPPER, release, stored, tune
+from tidemark.llm.common import release, stored, tune
 
 #: A term is kept in a language if at least so many of its documents have it.
 MIN_DOCS = 30
@@ -30,29 +29,30 @@ MIN_DOCS = 30
 ADDED, SCALE = 5, 1_000_000_000
 #: Terms of a source that are reported.
 TOP = 50
-#: Fixed value: what terms are made of, all but ASCII that isn't a letter.
-TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 
-#: Counts of so many terms are held before they are passed on, and so much text is cut into terms at a time.
-HELD, STEP = 200_000, 1 << 20
+#: Counts of so many terms are held before they are passed on, and so many bytes are cut into terms at a time.
+HELD, STEP = 400_000, 1 << 20
 
 COUNTS = "lang string, source string, term string, n long, docs long"
 ARROW = pa.schema([("lang", pa.string()), ("source", pa.string()), ("term", pa.string()), ("n", pa.int64()), ("docs", pa.int64())])
-LOWER = str.maketrans(UPPER, UPPER.lower())
-_TERM, _BREAK = re.compile(TERM), re.compile(TERM.replace("[^", "[").rstrip("+"))
+#: Bytes of UTF-8: capitals to small letters, and ASCII that is no letter to spaces.
+SPACED = bytes(b if b > 127 else ord(chr(b).lower()) if chr(b).isalpha() else 32 for b in range(256))
 
 
-def term_counts(text: str) -> Counter:
-    """How often each term stands in a text; a long one is cut into steps between terms."""
-    if len(text) <= STEP:
-        return Counter(_TERM.findall(text.translate(LOWER)))
-    out, at = Counter(), 0
+def terms_of(text: bytes) -> Iterator[list[bytes]]:
+    """The terms of a text in UTF-8, a step of it at a time; steps end between terms."""
+    at = 0
     while at < len(text):
-        end = _BREAK.search(text, at + STEP) if at + STEP < len(text) else None
-        stop = end.end() if end else len(text)
-        out.update(_TERM.findall(text[at:stop].translate(LOWER)))
-        at = stop
-    return out
+        step = text[at : at + STEP].translate(SPACED)
+        if at + STEP < len(text) and step[-1] != 32:
+            # up to the last space; a term without one goes on until it ends
+            if (end := step.rfind(b" ") + 1) > 0:
+                step = step[:end]
+            else:
+                while at + len(step) < len(text) and SPACED[text[at + len(step)]] != 32:
+                    step += text[at + len(step) : at + len(step) + STEP].translate(SPACED).split(b" ", 1)[0]
+        yield step.split()
+        at += len(step)
 
 
 def counted(docs: DataFrame) -> DataFrame:
@@ -63,31 +63,34 @@ def counted(docs: DataFrame) -> DataFrame:
     """
     tune(docs.sparkSession)
 
-    def flushed(held: dict) -> pa.RecordBatch:
-        rows = [(*group, term, n, d) for group, terms in held.items() for term, (n, d) in terms.items()]
-        return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), ARROW.types, strict=True)], schema=ARROW)
+    def flushed(held: dict[tuple[str, str], list]) -> Iterator[pa.RecordBatch]:
+        for (lang, source), (n, rows_with, rows) in held.items():
+            size = len(n) + 1
+            terms = pa.array([None, *n], pa.binary()).cast(pa.string())
+            columns = [[0, *n.values()], [rows, *map(rows_with.__getitem__, n)]]
+            yield pa.record_batch([pa.array([lang] * size), pa.array([source] * size), terms, *[pa.array(c, pa.int64()) for c in columns]], schema=ARROW)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[str, str], dict[str | None, list[int]]] = {}
+        held: dict[tuple[str, str], list] = {}
         size = 0
         for batch in batches:
             for text, lang, source in zip(*batch.columns, strict=True):
-                terms = held.setdefault((lang.as_py(), source.as_py()), {})
-                before = len(terms)
-                for term, n in [(None, 0), *term_counts(text.as_py()).items()]:
-                    if (x := terms.get(term)) is None:
-                        terms[term] = [n, 1]
-                    else:
-                        x[0] += n
-                        x[1] += 1
-                size += len(terms) - before
+                group = held.setdefault((lang.as_py(), source.as_py()), [Counter(), Counter(), 0])
+                before, seen = len(group[0]), set()
+                for terms in terms_of(text.as_py()):
+                    group[0].update(terms)
+                    seen.update(terms)
+                group[1].update(seen)
+                group[2] += 1
+                size += len(group[0]) - before
                 if size >= HELD:
-                    yield flushed(held)
+                    yield from flushed(held)
                     held, size = {}, 0
-        if held:
-            yield flushed(held)
+        yield from flushed(held)
 
-    read = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("text", "lang", "source")]).mapInArrow(run, COUNTS)
+    lang, source = (F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source"))
+    text = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("text")
+    read = docs.select(text, lang, source).mapInArrow(run, COUNTS)
     return read.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
 
 

@@ -6,6 +6,7 @@ import random
 from pyspark.sql import functions as F
 
 from tidemark.operators import digests, entities, events, graph, ledgers, quality, similarity
+from tidemark.streaming import attach, state
 
 AT = dt.datetime(2026, 7, 1)
 
@@ -286,3 +287,63 @@ def test_leaders_on_random_graphs(spark):
                 leaders.add(b)
         got = events.settle_leaders(spark.range(n).withColumnRenamed("id", "signal"), spark.createDataFrame(edges, "signal long, event long, rank double"))
         assert {r.signal for r in got.collect()} == leaders
+
+
+def run_stream(spark, made, at):
+    out = []
+    query = made.writeStream.outputMode("append").foreachBatch(lambda b, n: out.extend(map(tuple, b.collect()))).option("checkpointLocation", at).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return out
+
+
+def slices(spark, rows, schema, parts, to):
+    """rows as a stream that takes a part at a time, and a last row that lets all others be told."""
+    import time
+
+    for part in [*parts, [(None, None, dt.datetime(2100, 1, 1)) if "title" in schema else (None, dt.datetime(2100, 1, 1), None)]]:
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(to)
+        time.sleep(0.05)
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(to)
+
+
+def test_attaching_on_a_stream_is_the_same_for_any_split(spark, tmp_path):
+    schema, rng = "id long, title string, at timestamp", random.Random(5)
+    rows = sorted(((i, rng.choice(TITLES), hours(rng.choice((0, 48, 96, 97, 168, 169, 504, 505, 300, 1200)))) for i in range(50)), key=lambda r: r[2])
+    known = [(1000 + i, rng.choice(TITLES), hours(rng.choice((0, 1, 60, 300)))) for i in range(8)]
+    known.sort(key=lambda r: r[2])
+    keyed = [events.keyed(spark.createDataFrame(x, schema)).withColumnRenamed("id", k) for x, k in ((rows, "signal"), (known, "event"))]
+    want = {(r.signal, r.event) for r in events.attach(events.match(*keyed)).collect()}
+    assert want
+    for n, (cut, late) in enumerate((([0], "1 day"), ([20, 20, 37], "0 seconds"), ([7, 30], "60 days"))):
+        parts = [rows[a:b] for a, b in zip([0, *cut], [*cut, len(rows)], strict=True)]
+        early = [known[:4], known[4:]] if n else [known]
+        signals_, events_ = (slices(spark, x, schema, p, str(tmp_path / f"{k}{n}")) for x, p, k in ((rows, parts, "s"), (known, early, "e")))
+        told = run_stream(spark, attach.attach_stream(signals_, events_, late=late), str(tmp_path / f"log{n}"))
+        assert {(s, e) for s, _, e, _ in told if e is not None} == want, n
+        assert sorted(s for s, *_ in told if s is not None) == [r[0] for r in sorted(rows)]
+
+
+def test_editions_count_an_event_once(spark, tmp_path):
+    schema = "id long, at timestamp, open boolean"
+    first = [(1, hours(1), True), (2, hours(2), False), (1, hours(1), True), (3, None, True)]
+    second = [(2, hours(2), False), (4, hours(25), True)]
+    told = run_stream(spark, attach.edition_days(slices(spark, None, schema, [first, second], str(tmp_path / "p"))), str(tmp_path / "log"))
+    assert sorted(told) == [(AT.date(), 2, 1), (hours(24).date(), 1, 1)]
+
+
+def test_a_batch_tells_its_own_keys_and_a_restart_goes_on(spark, tmp_path):
+    schema, to = "k string, at timestamp", str(tmp_path / "in")
+    told = []
+
+    def go():
+        seen = state.first_seen(spark.readStream.schema(schema).parquet(to), ["k"], "at")
+        seen.writeStream.outputMode("update").foreachBatch(lambda b, n: told.append([(*map(tuple, b.collect()), n)])).option("checkpointLocation", str(tmp_path / "log")).trigger(availableNow=True).start().awaitTermination()
+
+    spark.createDataFrame([("a", hours(3)), ("b", hours(1)), ("a", hours(2))], schema).write.mode("append").parquet(to)
+    go()
+    spark.createDataFrame([("a", hours(1)), ("c", hours(9))], schema).write.mode("append").parquet(to)
+    go()
+    rows = [r for batch in told for r in batch[0][:-1]]
+    assert sorted(rows) == [("a", hours(1), 3), ("a", hours(2), 2), ("b", hours(1), 1), ("c", hours(9), 1)]
+    batches = spark.createDataFrame([(*r, n) for n, batch in enumerate(told) for r in batch[0][:-1]], "k string, first_observed_at timestamp, observations long, batch int")
+    assert {tuple(r) for r in state.latest(batches, ["k"]).collect()} == {("a", hours(1), 3), ("b", hours(1), 1), ("c", hours(9), 1)}

@@ -101,12 +101,24 @@ def test_merged_state_is_repeatable(spark, tmp_path):
         both = batch if before is None else batch.unionByName(before)
         return both.groupBy("k").agg(F.min("v").alias("v"))
 
-    sink = state.merge_into(str(tmp_path / "s"), ["k"], least)
-    batches = [spark.createDataFrame(x, "k string, v int") for x in ([("a", 3), ("b", 1)], [("a", 2)], [("a", 2)])]
+    path = str(tmp_path / "s")
+    batches = [spark.createDataFrame(x, "k string, v int") for x in ([("a", 3), ("b", 1)], [("a", 2)], [("a", 2)], [("c", 0)])]
+
+    def dies(number):
+        raise RuntimeError
+
+    shown = lambda: {(r.k, r.v) for r in state.current(spark, path).collect()}
+    assert state.current(spark, path) is None
+    sink = state.merge_into(path, ["k"], least, "one")
     sink(batches[0], 0)
+    with pytest.raises(RuntimeError):
+        state.merge_into(path, ["k"], least, "one", dies)(batches[1], 1)
+    assert shown() == {("a", 3), ("b", 1)}
     sink(batches[1], 1)
-    sink(batches[2], 1)
-    assert {(r.k, r.v) for r in spark.read.parquet(str(tmp_path / "s/v1")).collect()} == {("a", 2), ("b", 1)}
+    sink(batches[3], 1)
+    assert shown() == {("a", 2), ("b", 1)}
+    state.merge_into(path, ["k"], least, "two")(batches[3], 1)
+    assert shown() == {("a", 2), ("b", 1), ("c", 0)}
 
 
 @pytest.fixture(scope="module")

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -13,7 +15,10 @@ from tidemark.operators import ledgers
 
 
 def first_seen(stream: DataFrame, key: list[str], at: str) -> DataFrame:
-    """(key…, at): the earliest time of each key so far. Write-once keys never expire, so there is no watermark."""
+    """(key…, first_observed_at, observations) of each key so far. Write-once keys never expire, so there is no watermark.
+
+    Write it in update mode: a batch tells the keys that it has touched alone, and latest() puts them together.
+    """
     return stream.groupBy(*key).agg(F.min(at).alias("first_observed_at"), F.count("*").alias("observations"))
 
 
@@ -50,15 +55,59 @@ def rolling_health(stream: DataFrame) -> DataFrame:
     return stream.groupBy("source").applyInPandasWithState(fold, HEALTH, kept, "update", GroupStateTimeout.NoTimeout)
 
 
-def merge_into(path: str, key: list[str], combine: Callable[[DataFrame, DataFrame | None], DataFrame]) -> Callable[[DataFrame, int], None]:
-    """A foreachBatch sink that keeps one row a key; state is written only after a batch has succeeded.
+def current(spark: SparkSession, path: str) -> DataFrame | None:
+    """The last committed version of a table that merge_into() keeps, or None before the first one."""
+    last = _commits(spark, path)
+    last = last and last.agg(F.max_by("folder", "version").alias("folder")).first()
+    return spark.read.parquet(f"{path}/{last.folder}") if last and last.folder else None
+
+
+def _commits(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.schema(COMMITS).parquet(f"{path}/commits")
+    except AnalysisException:
+        return None
+
+
+COMMITS = "version long, folder string, run string, number long"
 
-    Each batch writes a version of its own, so a repeated batch gives the same version and readers never see half of one.
+
+def merge_into(
+    path: str, key: list[str], combine: Callable[[DataFrame, DataFrame | None], DataFrame], run: str = "", before_commit: Callable[[int], None] | None = None
+) -> Callable[[DataFrame, int], None]:
+    """A foreachBatch sink that keeps one row a key in a table of versions; one writer at a time.
+
+    A batch writes a version into a folder of its own, then a row of the commit table that names it. Readers see the last
+    version that is named, never half of one; a batch that fails before its commit leaves a folder that nothing names. A
+    batch of a run that has been committed already is left out, so repeating it changes nothing. The state belongs to the
+    path, not to a checkpoint: another run, with another checkpoint, goes on from the last version. before_commit is
+    called between the two writes.
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        before = spark.read.parquet(f"{path}/v{number - 1}") if number else None
-        combine(batch, before).dropDuplicates(key).write.mode("overwrite").parquet(f"{path}/v{number}")
+        spark, done = batch.sparkSession, _commits(batch.sparkSession, path)
+        last = done.agg(F.max("version").alias("version"), F.max_by("folder", "version").alias("folder"), F.count_if((F.col("run") == run) & (F.col("number") == number)).alias("again")).first() if done else None
+        if last and last.again:
+            return
+        folder = f"data/{uuid.uuid4().hex}"
+        before = spark.read.parquet(f"{path}/{last.folder}") if last and last.folder else None
+        combine(batch, before).dropDuplicates(key).write.parquet(f"{path}/{folder}")
+        if before_commit:
+            before_commit(number)
+        version = (last.version or 0) + 1 if last else 1
+        spark.createDataFrame([(version, folder, run, number)], COMMITS).coalesce(1).write.mode("append").parquet(f"{path}/commits")
 
     return write
+
+
+def cursors(batch: DataFrame, before: DataFrame | None) -> DataFrame:
+    """(source, cursor, failures) after a batch of fetches (source, ts, ok): a failed fetch doesn't move the cursor."""
+    seen = batch.groupBy("source").agg(F.max(F.when(F.col("ok"), F.col("ts"))).alias("cursor"), F.count_if(~F.col("ok")).alias("failures"))
+    both = seen if before is None else seen.unionByName(before)
+    return both.groupBy("source").agg(F.max("cursor").alias("cursor"), F.sum("failures").alias("failures"))
+
+
+def latest(rows: DataFrame, key: list[str]) -> DataFrame:
+    """Of rows that batches have told of keys, the last of each; rows have the batch's number."""
+    rest = [c for c in rows.columns if c not in (*key, "batch")]
+    return rows.groupBy(*key).agg(F.max_by(F.struct(*rest), "batch").alias("x")).select(*key, "x.*")

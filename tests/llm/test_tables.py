@@ -145,6 +145,18 @@ def test_license_spans_against_plain_loops(spark):
     assert got == want and len(want) > 40
 
 
+def test_long_templates_and_shuffled_joins(spark):
+    """A template of thousands of words, and joins that broadcast nothing: the same spans."""
+    rng = np.random.default_rng(8)
+    long = [f"l{k}" for k in rng.integers(0, 900, 3000).tolist()]
+    own = (("long", " ".join(long)), *licenses.TEMPLATES)
+    edited = long[:1000] + ["x"] * 2 + long[1000:2000] + long[2003:]
+    rows = [(1, "before it " + " ".join(edited) + " after", "en", "s"), (1, "before it " + " ".join(edited) + " after", "en", "s"), (2, " ".join(long[:900]), "en", "s"), (3, dict(licenses.TEMPLATES)["isc"] + " end", "en", "s")]
+    sides = [[(r.doc_id, r.label, r.first_word, r.last_word, r.likeness) for r in licenses.license_spans(documents(spark, rows), own, n).collect()] for n in (licenses.BROADCAST_ROWS, 0)]
+    assert sorted(sides[0]) == sorted(sides[1])
+    assert [(r[0], r[1], r[2]) for r in sorted(sides[0])] == [(1, "long", 2), (3, "isc", 0)] and 0.9 < sorted(sides[0])[0][4] < 1
+
+
 def test_long_texts_take_time_in_proportion(spark):
     notice = " ".join(t for _, t in licenses.TEMPLATES)
     rows = [(1, "word other thing more " * 250_000, "en", "s"), (2, f"{notice} " * 1000, "en", "s")]

@@ -1,8 +1,9 @@
 """License scan by diagonal voting, on DataFrame functions only.
 
-Every rolling k-gram of words is hashed and joined to the positions where license templates have the same k-gram; the
-templates' grams are few, so this join is a look-up within the row, and only hits become rows. A hit votes for the diagonal (document position - template position); neighbouring diagonals are merged, so that a few
-inserted or missing words don't split a span, and each merged span is verified by edit distance against its template.
+Every rolling k-gram of words is hashed and joined to the positions where license templates have the same k-gram. A hit
+votes for the diagonal (document position - template position); neighbouring diagonals are merged, so that a few
+inserted or missing words don't split a span, and each merged span that has votes enough is verified by edit distance
+against its template. Only then is its text taken from the document.
 """
 
 from __future__ import annotations
@@ -11,11 +12,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ascii_lower
+from tidemark.llm.common import ascii_lower, stored
 
 K = 4
-#: Words of a template at most.
-MOST_WORDS = 128
+#: Template positions up to so many (a row under 50 bytes) are broadcast, and so are candidate spans; beyond it, shuffled.
+BROADCAST_ROWS = 500_000
 #: Diagonals at most so far apart belong to one span.
 DIAGONAL_GAP = 3
 #: A span's likeness to its template, 1 - edit distance / longer length, is at least this.
@@ -45,6 +46,9 @@ TEMPLATES = (
     ("cc-by-4.0", "this work is licensed under a creative commons attribution 4 0 international license"),
     ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
     ("mpl-2.0", "this source code form is subject to the terms of the mozilla public license v 2 0"),
+    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement in no event shall the authors or copyright holders be liable for any claim damages or other liability whether in an action of contract tort or otherwise arising from out of or in connection with the software or the use or other dealings in the software"),
+    ("bsd-3-clause", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met 1 redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer 2 redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution 3 neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission this software is provided by the copyright holders and contributors as is and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed in no event shall the copyright holder or contributors be liable for any direct indirect incidental special exemplary or consequential damages including but not limited to procurement of substitute goods or services loss of use data or profits or business interruption however caused and on any theory of liability whether in contract strict liability or tort including negligence or otherwise arising in any way out of the use of this software even if advised of the possibility of such damage"),
+    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies the software is provided as is and the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness in no event shall the author be liable for any special direct indirect or consequential damages or any damages whatsoever resulting from loss of use data or profits whether in an action of contract negligence or other tortious action arising out of or in connection with the use or performance of this software"),
 )
 
 
@@ -76,91 +80,71 @@ def _gram(words: Column, i: Column) -> Column:
     return F.xxhash64(*[F.get(words, i + n) for n in range(K)])
 
 
-def _positions(known: DataFrame) -> dict[int, list[tuple]]:
-    """For each gram of the templates its places: (template, position, the word before it, the template's words).
-
-    Their number depends on the templates alone.
-    """
-    at = F.sequence(F.lit(0), F.size("t_words") - K)
-    rows = known.select("t_id", "t_n", "t_words", F.transform(at, lambda i: _gram(F.col("t_words"), i)).alias("grams")).orderBy("t_id").collect()
-    out: dict[int, list[tuple]] = {}
-    for r in rows:
-        for pos, gram in enumerate(r.grams):
-            out.setdefault(gram, []).append((r.t_id, pos, r.t_words[pos - 1] if pos else None, r.t_n))
-    return out
-
-
-def _hits(words: Column, positions: dict[int, list[tuple]]) -> Column:
-    """Array of (t_id, t_pos, diagonal, span_text) for each place where a template has the same gram.
-
-    span_text is told at the first hit of a run on a diagonal only, so that its size is in proportion to the text.
-    """
-
-    def place(t_id: int, pos: int, before: str | None, n: int) -> Column:
-        return F.struct(F.lit(t_id).alias("t_id"), F.lit(pos).alias("t_pos"), F.lit(before).cast("string").alias("before"), F.lit(n).alias("n"))
-
-    grams = sorted(positions)
-    table = F.map_from_arrays(F.array(*map(F.lit, grams)), F.array(*[F.array(*[place(*p) for p in positions[g]]) for g in grams]))
+def _templates(spark, templates) -> DataFrame:
+    """A row a template; its size depends on the templates alone."""
+    if any(len(text.split(" ")) < K for _, text in templates):
+        raise ValueError(f"a template has {K} words or more")
+    rows = [(n, label, text) for n, (label, text) in enumerate(templates)]
+    known = spark.createDataFrame(rows, "t_id int, t_label string, t_text string")
+    return known.withColumn("t_words", F.split("t_text", " ", -1)).withColumn("t_n", F.size("t_words"))
 
-    def hit(i: Column, p: Column) -> Column:
-        first = (i == 0) | p["before"].isNull() | (F.get(words, i - 1) != p["before"])
-        span = F.array_join(F.slice(words, F.greatest(i - p["t_pos"], F.lit(0)) + 1, p["n"]), " ")
-        return F.struct(p["t_id"].alias("t_id"), p["t_pos"].alias("t_pos"), (i - p["t_pos"]).alias("diagonal"), F.when(first, span).alias("span_text"))
 
-    at = F.sequence(F.lit(0), F.size(words) - K)
-    there = F.filter(at, lambda i: _gram(words, i).isin(*grams))
-    return F.when(F.size(words) >= K, F.flatten(F.transform(there, lambda i: F.transform(F.element_at(table, _gram(words, i)), lambda p: hit(i, p)))))
+def _bound(value: Column, make) -> Column:
+    """make(value) with value computed once: what a lambda takes from outside is computed again for each element."""
+    return F.get(F.transform(F.array(value), make), 0)
 
 
-def _templates(spark, templates) -> DataFrame:
-    """A row a template; its size depends on the templates alone."""
-    if any(not K <= len(text.split(" ")) <= MOST_WORDS for _, text in templates):
-        raise ValueError(f"a template has {K} to {MOST_WORDS} words")
-    rows = [F.struct(F.lit(n).alias("t_id"), F.lit(label).alias("t_label"), F.lit(text).alias("t_text")) for n, (label, text) in enumerate(templates)]
-    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*rows))).withColumn("t_words", F.split("t_text", " ", -1)).withColumn("t_n", F.size("t_words"))
+def _rolling(words: Column) -> Column:
+    """The hash of each k-gram, in order."""
+    return _bound(words, lambda w: F.when(F.size(w) >= K, F.transform(F.sequence(F.lit(0), F.size(w) - K), lambda i: _gram(w, i))))
 
 
-def license_spans(docs: DataFrame, templates=TEMPLATES) -> DataFrame:
+def license_spans(docs: DataFrame, templates=TEMPLATES, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Verified spans: doc_id, id_hash, text_hash, label, first_word, last_word, likeness, coverage.
 
-    docs has doc_id and text; other columns are ignored. Rows with the same id and text give the same spans once.
-    Null or empty texts have none; a text that fits several templates has a span of each. Nothing but hits is shuffled,
-    once, by document.
+    docs has doc_id and text; other columns are ignored. Rows with the same id and text give the same spans once; spans
+    that tie, of one template or of several, are all told. Null or empty texts have none. A template has K words or more.
+    Template positions and candidate spans are broadcast up to broadcast_rows of them, and shuffled beyond it.
     """
-    key = ["doc_id", "id_hash", "text_hash"]
+    key = ["id_hash", "text_hash"]
     known = _templates(docs.sparkSession, templates)
-    texts = docs.select("doc_id", F.xxhash64("doc_id").alias("id_hash"), F.xxhash64("text").alias("text_hash"), words_of(F.col("text")).alias("words"))
-    hits = texts.select(*key, F.explode(_hits(F.col("words"), _positions(known))).alias("hit")).select(*key, "hit.*")
-    # on a diagonal each position of the template is one bit
-    bits = [F.bit_or(F.when(F.floor(F.col("t_pos") / 64) == n, F.call_function("shiftleft", F.lit(1).cast("long"), F.col("t_pos") % 64)).otherwise(F.lit(0).cast("long"))).alias(f"bits{n}") for n in range(2)]
-    votes = (
-        hits.repartition("id_hash", "text_hash")
-        .groupBy(*key, "t_id", "diagonal")
-        # span_text follows from the diagonal, so max() only picks the common value
-        .agg(*bits, F.max("span_text").alias("span_text"))
-        .withColumn("votes", F.bit_count("bits0") + F.bit_count("bits1"))
-    )
+    n_positions = sum(len(text.split(" ")) - K + 1 for _, text in templates)
+    positions = known.select("t_id", F.posexplode(_rolling(F.col("t_words"))).alias("t_pos", "gram"))
+    texts = docs.select("doc_id", F.xxhash64("doc_id").alias("id_hash"), F.xxhash64("text").alias("text_hash"), "text")
+    grams = texts.select(*key, F.posexplode(_rolling(words_of(F.col("text")))).alias("pos", "gram"))
+    hits = grams.join(F.broadcast(positions) if n_positions <= broadcast_rows else positions, "gram")
+    hits = hits.select(*key, "t_id", "t_pos", (F.col("pos") - F.col("t_pos")).alias("diagonal"))
+    # on a diagonal each position of the template is one bit, so copies of a row count once
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("t_pos") % 64)
+    votes = hits.groupBy(*key, "t_id", "diagonal", F.floor(F.col("t_pos") / 64).alias("part")).agg(F.bit_or(bit).alias("bits"))
+    votes = votes.groupBy(*key, "t_id", "diagonal").agg(F.sum(F.bit_count("bits")).alias("votes"))
     near = W.partitionBy(*key, "t_id").orderBy("diagonal")
     merged = (
         votes.withColumn("apart", F.coalesce((F.col("diagonal") - F.lag("diagonal").over(near) > DIAGONAL_GAP).cast("int"), F.lit(0)))
         .withColumn("island", F.sum("apart").over(near))
         .groupBy(*key, "t_id", "island")
-        .agg(
-            F.sum("votes").alias("votes"), F.min("diagonal").alias("low"), F.max("diagonal").alias("high"),
-            F.max_by(F.struct("diagonal", "span_text"), F.struct("votes", F.negate("diagonal"))).alias("best"),
-        )
-        .join(F.broadcast(known.select("t_id", "t_label", "t_text", "t_n")), "t_id")
+        .agg(F.sum("votes").alias("votes"), F.min("diagonal").alias("low"), F.max("diagonal").alias("high"), F.max_by("diagonal", F.struct("votes", F.negate("diagonal"))).alias("best"))
+        .join(F.broadcast(known.select("t_id", "t_n")), "t_id")
         .withColumn("coverage", F.least(F.lit(1.0), F.col("votes") / (F.col("t_n") - (K - 1))))
         .filter(F.col("coverage") >= MIN_COVERAGE)
     )
-    likeness = 1 - F.levenshtein("best.span_text", "t_text") / F.greatest(F.length("best.span_text"), F.length("t_text"))
-    return (
-        merged.withColumn("likeness", likeness)
-        .filter(F.col("likeness") >= MIN_LIKENESS)
-        .select(
-            *key, F.col("t_label").alias("label"), F.greatest(F.col("low"), F.lit(0)).cast("long").alias("first_word"),
-            (F.col("high") + F.col("t_n") - 1).cast("long").alias("last_word"), "likeness", "coverage",
-        )
+    merged = stored(merged.groupBy(*key).agg(F.collect_list(F.struct("t_id", "t_n", "low", "high", "best", "coverage")).alias("spans"), F.count("*").alias("n")))
+    n_spans = merged.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    found = merged.drop("n")
+    once = texts.join(F.broadcast(found) if n_spans <= broadcast_rows else found, key)
+
+    def told(words: Column) -> Column:
+        return F.transform("spans", lambda s: s.withField("span_text", F.array_join(F.slice(words, F.greatest(s["best"], F.lit(0)) + 1, s["t_n"]), " ")))
+
+    placed = once.select("doc_id", *key, F.explode(_bound(words_of(F.col("text")), told)).alias("span")).select("doc_id", *key, "span.*").drop("best")
+    # rows that repeat have the same spans: told once, before they are verified
+    placed = placed.distinct().join(F.broadcast(known.select("t_id", "t_label", "t_text")), "t_id")
+    longer = F.greatest(F.length("span_text"), F.length("t_text"))
+    allowed = F.floor((1 - MIN_LIKENESS) * longer + 1e-9).cast("int")
+    placed = placed.withColumn("allowed", allowed).withColumn("edits", F.expr("levenshtein(span_text, t_text, allowed)")).filter("edits >= 0")
+    return placed.select(
+        "doc_id", *key, F.col("t_label").alias("label"), F.greatest(F.col("low"), F.lit(0)).cast("long").alias("first_word"), (F.col("high") + F.col("t_n") - 1).cast("long").alias("last_word"),
+        (1 - F.col("edits") / longer).alias("likeness"), "coverage",
     )
 
 

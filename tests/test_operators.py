@@ -347,3 +347,28 @@ def test_a_batch_tells_its_own_keys_and_a_restart_goes_on(spark, tmp_path):
     assert sorted(rows) == [("a", hours(1), 3), ("a", hours(2), 2), ("b", hours(1), 1), ("c", hours(9), 1)]
     batches = spark.createDataFrame([(*r, n) for n, batch in enumerate(told) for r in batch[0][:-1]], "k string, first_observed_at timestamp, observations long, batch int")
     assert {tuple(r) for r in state.latest(batches, ["k"]).collect()} == {("a", hours(1), 3), ("b", hours(1), 1), ("c", hours(9), 1)}
+
+
+def test_health_is_the_same_for_any_chunks(spark):
+    """A source with most of the runs is split by time, and the steps of its parts compose to the plain fold."""
+    rng, points = random.Random(4), dict(ledgers.POINTS)
+    rows = [(0 if rng.random() < 0.7 else rng.randrange(1, 6), n, rng.choice(("success", "failure", "severe_failure", "not_modified", "neutral", None))) for n in range(600)]
+    want = {}
+    for source, _, what in rows:
+        score, runs, neutral, bad, good = want.get(source, (100, 0, 0, 0, 0))
+        score = max(0, min(100, score + points.get(what, 0)))
+        if what in ("success", "not_modified"):
+            bad, good = 0, good + 1
+        elif what in ("failure", "severe_failure"):
+            bad, good = bad + 1, 0
+        else:
+            neutral += 1
+        want[source] = (score, runs + 1, neutral, bad, good)
+    df = spark.createDataFrame(rows, "source long, seq long, outcome string")
+    for chunk in (20_000, 100, 7):
+        assert {r[0]: tuple(r)[1:] for r in ledgers.health(df, chunk).collect()} == want, chunk
+    assert ledgers.health(df.limit(0)).count() == 0
+    state_ = None
+    for low, high in ((0, 100), (100, 101), (101, 600)):
+        state_ = state.courses(df.filter(f"seq >= {low} and seq < {high}"), state_)
+    assert {r[0]: tuple(r)[1:] for r in ledgers.health_of(state_).collect()} == want

@@ -35,33 +35,72 @@ def outcome(status: Column) -> Column:
     )
 
 
-def health(runs: DataFrame) -> DataFrame:
-    """runs (source, seq, outcome) to score, runs, neutral_runs, consecutive failures and successes of each source.
+#: Runs that are folded as one array at most, about; a source with more is split by time.
+CHUNK = 20_000
+#: What a score can't reach.
+FAR = 1 << 30
 
-    The score is clamped at each step, so it is a fold over the ordered runs. A clamped step is x -> min(hi, max(lo, x +
-    d)), and such steps compose; but a source's runs are few (one an interval), so a sorted array is folded.
-    """
-    points = F.lit(0)
+
+def _step() -> Column:
+    """A run as a step: x -> min(high, max(low, x + points)), what it does to both streaks, and its counts."""
+    points, good, bad = F.lit(0), F.col("outcome").isin("success", "not_modified"), F.col("outcome").isin("failure", "severe_failure")
     for name, n in POINTS:
         points = F.when(F.col("outcome") == name, n).otherwise(points)
-    ordered = F.array_sort(F.collect_list(F.struct("seq", points.alias("points"), "outcome")))
-    start = F.struct(F.lit(START).alias("score"), F.lit(0).alias("failures"), F.lit(0).alias("successes"), F.lit(0).alias("neutral"))
-
-    def step(acc: Column, x: Column) -> Column:
-        good, bad = x["outcome"].isin("success", "not_modified"), x["outcome"].isin("failure", "severe_failure")
-        return F.struct(
-            F.greatest(F.lit(0), F.least(F.lit(100), acc["score"] + x["points"])).alias("score"),
-            F.when(good, 0).when(bad, acc["failures"] + 1).otherwise(acc["failures"]).alias("failures"),
-            F.when(bad, 0).when(good, acc["successes"] + 1).otherwise(acc["successes"]).alias("successes"),
-            (acc["neutral"] + F.when(good | bad, 0).otherwise(1)).alias("neutral"),
-        )
-
-    folded = runs.groupBy("source").agg(F.aggregate(ordered, start, step).alias("h"), F.count("*").cast("int").alias("runs"))
-    return folded.select(
-        "source", "h.score", "runs", F.col("h.neutral").alias("neutral_runs"), F.col("h.failures").alias("consecutive_failures"), F.col("h.successes").alias("consecutive_successes")
+    one = lambda x: F.when(x, 1).otherwise(0)
+    return _steps(points, F.lit(0), F.lit(100), F.coalesce(good, F.lit(False)), one(bad), F.coalesce(bad, F.lit(False)), one(good), one(~F.coalesce(good | bad, F.lit(False))), F.lit(1))
+
+
+def _steps(*values: Column) -> Column:
+    names = ("points", "low", "high", "ends_failures", "failures", "ends_successes", "successes", "neutral", "runs")
+    return F.struct(*[v.cast("boolean" if n.startswith("ends") else "int").alias(n) for n, v in zip(names, values, strict=True)])
+
+
+def then(a: Column, b: Column) -> Column:
+    """Steps a and then b as one step: such steps compose, whatever is bracketed first."""
+    within = lambda x: F.least(b["high"], F.greatest(b["low"], x + b["points"]))
+    return _steps(
+        a["points"] + b["points"], within(a["low"]), within(a["high"]), a["ends_failures"] | b["ends_failures"], F.when(b["ends_failures"], b["failures"]).otherwise(a["failures"] + b["failures"]),
+        a["ends_successes"] | b["ends_successes"], F.when(b["ends_successes"], b["successes"]).otherwise(a["successes"] + b["successes"]), a["neutral"] + b["neutral"], a["runs"] + b["runs"],
+    )
+
+
+def _folded(rows: DataFrame, key: list[str], order: str) -> DataFrame:
+    """rows (key…, order, step) as one step a key."""
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct(order, "step"))), lambda x: x["step"])
+    nothing = _steps(F.lit(0), F.lit(-FAR), F.lit(FAR), F.lit(False), F.lit(0), F.lit(False), F.lit(0), F.lit(0), F.lit(0))
+    return rows.groupBy(*key).agg(F.aggregate(ordered, nothing, then).alias("step"))
+
+
+def course(runs: DataFrame, chunk: int = CHUNK) -> DataFrame:
+    """(source, step): all runs (source, seq, outcome) of each source as one step, whatever their number.
+
+    Rows are range-partitioned by source and time into parts of about `chunk` rows; a source's rows in a part are folded
+    as an array, and then its parts, of which there are as many as the source has chunks. So a source with a third of all
+    rows is many parts, and no array holds it whole.
+    """
+    parts = max(1, -(-runs.count() // chunk))
+    steps = runs.select("source", "seq", _step().alias("step"))
+    cut = steps.repartitionByRange(parts, "source", "seq").withColumn("part", F.spark_partition_id()) if parts > 1 else steps.withColumn("part", F.lit(0))
+    return _folded(_folded(cut, ["source", "part"], "seq"), ["source"], "part")
+
+
+def health_of(steps: DataFrame) -> DataFrame:
+    """(source, step) to score, runs, neutral_runs, consecutive failures and successes of each source."""
+    score = F.least(F.col("step.high"), F.greatest(F.col("step.low"), START + F.col("step.points")))
+    return steps.select(
+        "source", score.alias("score"), F.col("step.runs").alias("runs"), F.col("step.neutral").alias("neutral_runs"), F.col("step.failures").alias("consecutive_failures"), F.col("step.successes").alias("consecutive_successes")
     )
 
 
+def health(runs: DataFrame, chunk: int = CHUNK) -> DataFrame:
+    """runs (source, seq, outcome) to the health of each source; seq is unique within a source.
+
+    The score is clamped at each run, so it is a fold over the ordered runs, made of steps that compose. A null outcome
+    is neutral; a null source is one like others. Empty table: no rows.
+    """
+    return health_of(course(runs, chunk))
+
+
 def last_streak(runs: DataFrame, of: tuple[str, ...]) -> DataFrame:
     """(source, streak): how many runs at the end have one of these outcomes; neutral runs neither count nor break."""
     counted = runs.filter("outcome <> 'neutral'").withColumn("hit", F.col("outcome").isin(*of))

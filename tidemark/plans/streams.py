@@ -68,12 +68,20 @@ def s01_stream_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {_RUNS_SQL} SELECT * FROM h")
 def s02_stream_health(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """q26 as a stream of three batches, kept in a table of versions."""
     status = F.lit("404")
     for kind, code in STATUS:
         status = F.when(F.col("event_type") == kind, code).otherwise(status)
-    runs = _stream(spark, sf_dir).select(F.col("user_id").alias("source"), "ts", "event_id", ledgers.outcome(F.when(F.col("event_id") % 13 == 0, "404").otherwise(status)).alias("outcome"))
-    rows = _finish(spark, state.rolling_health(runs), "update")
-    return rows.groupBy("source").agg(F.max_by(F.struct("score", "runs", "neutral_runs", "consecutive_failures", "consecutive_successes"), "runs").alias("h")).select("source", "h.*")
+    told = ledgers.outcome(F.when(F.col("event_id") % 13 == 0, "404").otherwise(status))
+    rows = table(spark, sf_dir, "events").select(F.col("user_id").alias("source"), F.col("ts").cast("timestamp").alias("at"), "event_id", told.alias("outcome"))
+    at = f"{shared_dir(spark)}/{uuid.uuid4().hex}"
+    sink = state.merge_into(f"{at}/table", ["source"], state.courses, "health")
+    ordered = lambda df: df.select("source", F.struct("at", "event_id").alias("seq"), "outcome")
+    # a table without rows has a version too
+    state.merge_into(f"{at}/table", ["source"], state.courses)(ordered(rows.limit(0)), 0)
+    stream = ordered(_replayed(spark, rows, _CUTS))
+    stream.writeStream.foreachBatch(sink).option("checkpointLocation", f"{at}/log").trigger(availableNow=True).start().awaitTermination()
+    return ledgers.health_of(state.current(spark, f"{at}/table"))
 
 
 @query("SELECT event_id, user_id FROM events WHERE CAST(floor((epoch_us(TIMESTAMP '2024-01-20') - epoch_us(ts)) / 86400000000.0) AS INT) <= 7")

@@ -3,13 +3,11 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tidemark.operators import ledgers
 
@@ -28,31 +26,18 @@ def recent_only(stream: DataFrame, published: str, seen: str, days: int = 7) ->
     return stream.filter(F.coalesce(lead <= days, F.lit(True)))
 
 
-HEALTH = "source long, score int, runs int, neutral_runs int, consecutive_failures int, consecutive_successes int"
+def courses(batch: DataFrame, before: DataFrame | None) -> DataFrame:
+    """(source, step) after a batch of runs (source, seq, outcome): what came before, then the batch in its own order.
 
-
-def rolling_health(stream: DataFrame) -> DataFrame:
-    """stream (source, ts, event_id, outcome): the health of each source after each batch, the same fold as in batch.
-
-    Rows of a batch are folded in time order; a row that comes in a later batch counts after those before it.
+    A batch is one step a source, the same fold as in batch; a row that comes in a later batch counts after those before
+    it. Keep it with merge_into() and read it with ledgers.health_of().
     """
-    points = dict(ledgers.POINTS)
-
-    def fold(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        score, runs, neutral, bad, good = state.get if state.exists else (ledgers.START, 0, 0, 0, 0)
-        for r in pd.concat(list(parts)).sort_values(["ts", "event_id"]).itertuples():
-            score, runs = max(0, min(100, score + points.get(r.outcome, 0))), runs + 1
-            if r.outcome in ("success", "not_modified"):
-                bad, good = 0, good + 1
-            elif r.outcome in ("failure", "severe_failure"):
-                bad, good = bad + 1, 0
-            else:
-                neutral += 1
-        state.update((score, runs, neutral, bad, good))
-        yield pd.DataFrame([(key[0], score, runs, neutral, bad, good)], columns=[x.split()[0] for x in HEALTH.split(", ")])
-
-    kept = "score int, runs int, neutral int, bad int, good int"
-    return stream.groupBy("source").applyInPandasWithState(fold, HEALTH, kept, "update", GroupStateTimeout.NoTimeout)
+    now = ledgers.course(batch)
+    if before is None:
+        return now
+    both = now.select("source", F.col("step").alias("new")).join(before.select("source", F.col("step").alias("old")), "source", "full")
+    step = F.when(F.col("old").isNull(), F.col("new")).when(F.col("new").isNull(), F.col("old")).otherwise(ledgers.then(F.col("old"), F.col("new")))
+    return both.select("source", step.alias("step"))
 
 
 def current(spark: SparkSession, path: str) -> DataFrame | None:

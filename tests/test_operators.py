@@ -220,7 +220,7 @@ def test_draft_rules(spark):
 def test_entities(spark):
     words = [("acme", "Acme", "company"), ("acme-labs", "Acme Labs", "company"), ("ai", "AI", "technology"), ("zhipu", "智谱", "company")]
     texts = ["Acme Labs ships AI", "brain and acme", "智谱AI", "rail AI", None, "ＡＣＭＥ"]
-    got = entities.match_entities(spark.createDataFrame([(t,) for t in texts], "t string"), "t", words).collect()
+    got = entities.match_entities(spark.createDataFrame([*enumerate(texts)], "n int, t string"), "t", words).orderBy("n").collect()
     assert [r.entity_hits for r in got] == [["acme-labs", "ai"], ["acme"], ["zhipu"], [], [], ["acme"]]
     assert got[0].entity_types == ["company", "technology"]
 
@@ -372,3 +372,13 @@ def test_health_is_the_same_for_any_chunks(spark):
     for low, high in ((0, 100), (100, 101), (101, 600)):
         state_ = state.courses(df.filter(f"seq >= {low} and seq < {high}"), state_)
     assert {r[0]: tuple(r)[1:] for r in ledgers.health_of(state_).collect()} == want
+
+
+def test_a_large_dictionary(spark):
+    """Fifty thousand surfaces from a table: in no expression, and a text meets those alone that begin like a part of it."""
+    dictionary = spark.range(50_000).selectExpr("concat('e', id) AS id", "concat('Name', id, ' Works') AS surface", "'company' AS type", "id AS rank")
+    texts = spark.range(200).selectExpr("id AS n", "concat('At name', id * 7, ' works and xname', id, ' works') AS t")
+    got = {r.n: r.entity_hits for r in entities.match_entities(texts, "t", dictionary).collect()}
+    assert got == {n: [f"e{n * 7}"] for n in range(200)}
+    met = entities.candidates(texts.select(entities.folded(F.col("t")).alias("folded")), entities.terms_of(dictionary))
+    assert met.count() == 399

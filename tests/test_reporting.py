@@ -91,7 +91,7 @@ def test_entities_against_a_plain_loop(spark):
 def test_only_matched_surfaces_rule_out_names(spark):
     rows = [("We met Array Tools at Acme Labs, Acme Labs and 「新 產品」.",), ("Ray Tools and Array Tools",), (None,), ("New",)]
     got = editing.harvest(spark.createDataFrame(rows, "t string"), "t", [("r", "ray", "tool"), ("a", "acme", "company")]).collect()
-    assert [r.candidates for r in got] == [["Array Tools", "新 產品"], [], [], []]
+    assert {r.t: r.candidates for r in got} == {rows[0][0]: ["Array Tools", "新 產品"], rows[1][0]: [], None: [], "New": []}
     assert got[0].__fields__ == ["t", "candidates"]
 
 

@@ -376,15 +376,34 @@ def q59_author_kind(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").groupBy(text.author_kind(author).alias("author_kind")).agg(F.count("*").alias("n"), F.min("c_custkey").alias("first_sample"))
 
 
-@query(f"""WITH {SIGNALS}, t AS (SELECT doc_id, lower(title) AS t FROM signals), w AS (SELECT unnest(['the', 'and', 'that', 'in']) AS word),
-p AS (SELECT doc_id, word, strpos(t, word) AS place, t FROM t, w WHERE strpos(t, word) > 0),
-h AS (SELECT doc_id, word, place FROM p WHERE NOT regexp_matches(CASE WHEN place > 1 THEN substr(t, place - 1, 1) ELSE ' ' END || substr(t, place + length(word), 1), '[\\p{{L}}\\p{{N}}]'))
-SELECT t.doc_id, coalesce(string_agg('nation:' || upper(word), ',' ORDER BY place), '') AS entity_hits FROM t LEFT JOIN h ON t.doc_id = h.doc_id GROUP BY t.doc_id""")
+#: A dictionary from the table: the words of the documents' own titles, and pairs of them, that stand there often.
+_DICTIONARY_SQL = """g AS (
+  SELECT doc_id, trim(regexp_replace(lower(title), '[\\s]+', ' ', 'g')) AS t, list_filter(string_split(trim(regexp_replace(lower(title), '[^a-z]+', ' ', 'g')), ' '), lambda w: length(w) > 2) AS ws FROM signals
+), grams AS (
+  SELECT unnest(ws || list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])) AS term FROM g
+), w AS (SELECT term, row_number() OVER (ORDER BY count(*) DESC, term) AS rank FROM grams GROUP BY term HAVING count(*) >= 10)"""
+
+
+@query(f"""WITH RECURSIVE {SIGNALS}, {_DICTIONARY_SQL}, h AS MATERIALIZED (
+  SELECT doc_id, term, place, length(term) AS size, row_number() OVER (PARTITION BY doc_id ORDER BY length(term) DESC, rank) AS turn FROM (SELECT doc_id, t, term, rank, strpos(t, term) AS place FROM g, w WHERE contains(t, term))
+  WHERE NOT regexp_matches(CASE WHEN place > 1 THEN substr(t, place - 1, 1) ELSE ' ' END || substr(t, place + length(term), 1), '[\\p{{L}}\\p{{N}}]')
+), f AS MATERIALIZED (SELECT doc_id, list(struct_pack(term := term, place := place, size := size) ORDER BY turn) AS hits FROM h GROUP BY doc_id), r AS (
+  SELECT doc_id, hits, 1 AS n, hits[1:1] AS taken FROM f
+  UNION ALL
+  SELECT doc_id, hits, n + 1, CASE WHEN len(list_filter(taken, lambda y: hits[n + 1].place < y.place + y.size AND y.place < hits[n + 1].place + hits[n + 1].size)) = 0 THEN list_append(taken, hits[n + 1]) ELSE taken END FROM r WHERE n < len(hits)
+), x AS (SELECT doc_id, taken FROM r WHERE n = len(hits)), o AS (SELECT doc_id, string_agg(term, ',' ORDER BY place) AS entity_hits FROM (SELECT doc_id, unnest(taken, recursive := true) FROM x) GROUP BY doc_id)
+SELECT s.doc_id, coalesce(o.entity_hits, '') AS entity_hits FROM signals s LEFT JOIN o ON o.doc_id = s.doc_id""")
 def q60_entity_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Titles against a dictionary of the words and pairs of words that stand in titles ten times or more."""
     from tidemark.operators.entities import match_entities
 
-    names = [("nation:" + n, n.lower(), "company") for n in ("THE", "AND", "THAT", "IN")]
-    return match_entities(signals(spark, sf_dir).select("doc_id", "title"), "title", names).select("doc_id", F.array_join("entity_hits", ",").alias("entity_hits"))
+    s = signals(spark, sf_dir).select("doc_id", "title")
+    words = F.filter(F.split(F.trim(F.regexp_replace(F.lower("title"), "[^a-z]+", " ")), " "), lambda w: F.length(w) > 2)
+    pairs = F.filter(F.transform(words, lambda w, n: F.concat_ws(" ", w, F.get(words, n + 1))), lambda p: p.contains(" "))
+    counts = s.select(F.explode(F.concat(words, pairs)).alias("surface")).groupBy("surface").agg(F.count("*").alias("n")).filter("n >= 10")
+    # the oracle's rank: frequent terms first
+    dictionary = counts.select(F.col("surface").alias("id"), "surface", F.lit("word").alias("type"), F.struct(-F.col("n"), "surface").alias("rank"))
+    return match_entities(s, "title", dictionary).select("doc_id", F.array_join("entity_hits", ",").alias("entity_hits"))
 
 
 @query(f"WITH {SIGNALS} SELECT doc_id, trim(regexp_replace(lower(title), '[^a-z0-9一-鿿]+', '-', 'g'), '-') AS full_slug, coalesce(nullif(trim(substr(trim(regexp_replace(lower(title), '[^a-z0-9一-鿿]+', '-', 'g'), '-'), 1, 60), '-'), ''), 'untitled') AS slug FROM signals")

@@ -91,7 +91,8 @@ def counted(docs: DataFrame) -> DataFrame:
     lang, source = (F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source"))
     text = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("text")
     read = docs.select(text, lang, source).mapInArrow(run, COUNTS)
-    return read.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    # tasks have summed already, so rows are summed where all of a term meet, not before
+    return read.repartition("lang", "term").groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
 
 
 def _share(n: str, total: str, v: str) -> Column:
@@ -108,11 +109,12 @@ def divergence(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP) -> Dat
     first `top` of them. Ranks go by value, ties by the item's bytes. A null in any of the three columns is an empty
     text; rows that repeat count each; other columns are ignored. Empty table: no rows.
     """
-    found = stored(counted(docs))
+    # a term's rows are one a source, and lie in one partition already
+    of_term = W.partitionBy("lang", "term")
+    found = counted(docs).withColumns({"lang_n": F.sum("n").over(of_term), "with_term": F.sum("docs").over(of_term)})
+    found = stored(found.filter(F.col("term").isNull() | (F.col("with_term") >= min_docs)).drop("docs", "with_term"))
     release(docs.sparkSession)
-    terms = found.filter("term is not null")
-    kept = terms.groupBy("lang", "term").agg(F.sum("docs").alias("with_term"), F.sum("n").alias("lang_n")).filter(F.col("with_term") >= min_docs).drop("with_term")
-    postings = stored(terms.drop("docs").join(kept, ["lang", "term"]))
+    postings = found.filter("term is not null")
     langs = postings.groupBy("lang", "term").agg(F.first("lang_n").alias("lang_n")).groupBy("lang").agg(F.count("*").alias("v"), F.sum("lang_n").alias("lang_total"))
     totals = postings.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     groups = found.filter("term is null").select("lang", "source").join(totals, ["lang", "source"], "left").join(langs, "lang", "left").na.fill(0, ["total", "v", "lang_total"])

@@ -21,7 +21,7 @@ def _ranked(rows: DataFrame, counts: DataFrame) -> DataFrame:
     """rows (id, tokens, …) with tokens ordered from rare to frequent; sets without a token go."""
     each = rows.select("id", F.explode("tokens").alias("token")).join(counts, "token")
     order = each.groupBy("id").agg(F.transform(F.array_sort(F.collect_set(F.struct("n", "token"))), lambda x: x["token"]).alias("order"))
-    return rows.join(order, "id")
+    return rows.join(order.hint("merge"), "id")
 
 
 def candidates(left: DataFrame, right: DataFrame, threshold: float, by: tuple[str, ...] = (), hours: float | None = None, once: bool = False) -> DataFrame:
@@ -39,7 +39,8 @@ def candidates(left: DataFrame, right: DataFrame, threshold: float, by: tuple[st
         each = ranked.select(*by, F.col("id").alias(x), F.col("order").alias(f"{x}_order"), *([F.col("at").alias(f"{x}_at")] if hours is not None else []), F.explode(slots).alias("slot"), prefix.alias("prefix"))
         return each.select("*", F.posexplode("prefix").alias(f"{x}_place", "token")).drop("prefix")
 
-    both = side(left, "left", F.array(slot)).join(side(right, "right", near), [*by, "slot", "token"])
+    # tables that compress well look small enough to broadcast, and aren't
+    both = side(left, "left", F.array(slot)).join(side(right, "right", near).hint("merge"), [*by, "slot", "token"])
     if once:
         both = both.filter(F.col("left") < F.col("right"))
     a, b = F.size("left_order"), F.size("right_order")

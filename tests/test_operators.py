@@ -105,6 +105,21 @@ def test_leader_clustering_against_a_plain_loop(spark):
         assert {r.signal: (r.event, r.state) for r in events.lead_events(s).collect()} == want
 
 
+def test_attach_best_is_attach_with_copies(spark):
+    rng = random.Random(8)
+    texts = ["GPT-5 launch notes", "gpt-5 launch notes again", "GPT-5 outage report", "Plain maintenance note k1", "plain maintenance note k2", "Claude Opus 4.1 launch notes", "the of", None]
+    rows = [(k, rng.choice(texts), rng.choice([None, *map(hours, range(0, 700, 45))])) for k in range(160)]
+    signals = spark.createDataFrame(rows[:100], "signal long, title string, at timestamp")
+    known = spark.createDataFrame([(e, t, at) for e, t, at in rows[100:]], "event long, title string, at timestamp")
+    want = sorted(events.attach(events.match(events.keyed(signals), events.keyed(known))).collect())
+    assert want and sorted(events.attach_best(signals, known).collect()) == want
+    # a class of copies is compared once
+    copies = spark.range(3000).selectExpr("id as signal", "'Plain note' as title", "timestamp_seconds(id % 3) as at")
+    classes, members = events.classes_of(copies, "signal")
+    assert sorted((r.signal, r.n) for r in classes.collect()) == [(0, 1000), (1, 1000), (2, 1000)] and members.count() == 3000
+    assert events.attach_best(copies, copies.limit(1).withColumnRenamed("signal", "event")).count() == 3000
+
+
 def test_reposts(spark):
     base = ["one", "two", "three"]
     rows = [

@@ -145,10 +145,10 @@ _MATCH_SQL = f"""{TITLED}, k AS (
 @query(f"""WITH {_MATCH_SQL}, p AS (SELECT *, rank() OVER (PARTITION BY signal ORDER BY same_fp DESC, same_bucket DESC, similarity DESC) AS place FROM m)
 SELECT signal, any_value(event) AS event, CAST(round_even(100 * any_value(similarity), 0) AS INT) AS relevance FROM p WHERE place = 1 GROUP BY signal HAVING count(*) = 1""")
 def q14_attach_best(spark: SparkSession, sf_dir: str) -> DataFrame:
-    keyed = events.keyed(titles(spark, sf_dir), True)
+    made = titles(spark, sf_dir)
     # what was there in the first hours are the known events: a fixed share of all rows
-    late, known = keyed.filter("at >= '2024-01-01 09:00:00'").withColumnRenamed("p_partkey", "signal"), keyed.filter("at < '2024-01-01 09:00:00'").withColumnRenamed("p_partkey", "event")
-    return events.attach(events.match(late, known)).select("signal", "event", F.bround(100 * F.col("similarity")).cast("int").alias("relevance"))
+    late, known = made.filter("at >= '2024-01-01 09:00:00'").withColumnRenamed("p_partkey", "signal"), made.filter("at < '2024-01-01 09:00:00'").withColumnRenamed("p_partkey", "event")
+    return events.attach_best(late, known, ascii_only=True).select("signal", "event", F.bround(100 * F.col("similarity")).cast("int").alias("relevance"))
 
 
 #: Signals one after the other, the list of leaders so far as the state.

@@ -374,6 +374,19 @@ def test_attaching_on_a_stream_is_the_same_for_any_split(spark, tmp_path):
         assert sorted(s for s, *_ in told if s is not None) == [r[0] for r in sorted(rows)]
 
 
+def test_copies_are_one_class_of_a_stream(spark, tmp_path):
+    """The state and the join have a row a class and key, whatever the number of copies; each copy is told."""
+    schema = "id long, title string, at timestamp"
+    rows, known = [(i, "Plain note", hours(i % 3)) for i in range(600)], [(1000, "Plain note", hours(0)), (1001, "Plain other thing", hours(0))]
+    made = attach.attach_stream(*(slices(spark, x, schema, [x], str(tmp_path / k)) for k, x in (("s", rows), ("e", known))))
+    query = made.writeStream.outputMode("append").format("memory").queryName("copies").option("checkpointLocation", str(tmp_path / "log")).trigger(availableNow=True).start()
+    query.awaitTermination()
+    put = sum(o["numRowsUpdated"] for p in query.recentProgress for o in p["stateOperators"] if o["operatorName"] == "symmetricHashJoin")
+    assert 0 < put <= 30
+    told = spark.table("copies").filter("event = 1000")
+    assert told.count() == told.select("signal").distinct().count() == 600
+
+
 def test_editions_count_an_event_once(spark, tmp_path):
     schema = "id long, at timestamp, open boolean"
     first = [(1, hours(1), True), (2, hours(2), False), (1, hours(1), True), (3, None, True)]

@@ -446,3 +446,16 @@ def test_a_large_dictionary(spark):
     assert got == {n: [f"e{n * 7}"] for n in range(200)}
     met = entities.candidates(texts.select(entities.folded(F.col("t")).alias("folded")), entities.terms_of(dictionary))
     assert met.count() == 399
+
+
+def test_keys_of_a_text_do_not_carry_it(spark):
+    """A text has a row a key in the join with the dictionary, which must not have the text in it, and keys at word starts alone."""
+    texts = spark.createDataFrame([("abcde " * 3 + "fabcde zé abcde",), ("xabcde then abcde",), ("éabcde",)], "folded string")
+    terms = entities.terms_of(spark.createDataFrame([("e", "abcde", "t", 0), ("f", "zé", "t", 1)], "id string, surface string, type string, rank long"))
+    found = entities.candidates(texts, terms, free=True)
+    assert sorted((r.folded[:3], r.term, r.at) for r in found.collect()) == [("abc", "abcde", 1), ("abc", "zé", 26), ("xab", "abcde", 2)]
+    got = entities.match_entities(texts, "folded", terms.selectExpr("entity as id", "term as surface", "type", "rank")).select("folded", "entity_hits").collect()
+    assert {r.folded[:3]: r.entity_hits for r in got} == {"abc": ["e", "f"], "xab": [], "éab": []}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    generated = [line for line in plan.splitlines() if "Generate explode" in line]
+    assert generated and not any("folded" in line.split("], ")[-1] for line in generated)

@@ -198,6 +198,28 @@ def test_voices(spark):
     assert {r.event: r.voices for r in got.collect()} == {"e": 3, "f": 1}
 
 
+def test_voices_search_only_ties_that_may_close_a_circle(spark, monkeypatch):
+    rng = random.Random(4)
+    rows = [(k, rng.choice(["e", "f", "g", None]), rng.choice(["s", None]), rng.choice([None, " ", *"abcdef"]), rng.choice([None, "", *"uvwxyz"])) for k in range(60)]
+    rows += [(100 + k, "tree", None, "a", f"p{k}") for k in range(50)]
+    want = {}
+    for event in {r[1] for r in rows}:
+        sets = []
+        for node, of, source, group, person in rows:
+            if of == event:
+                own = {("g", group)} if (group or "").strip() else set()
+                own |= {("p", person)} if person else set()
+                own = own or {("s", source or node)}
+                met = [x for x in sets if x & own]
+                sets = [x for x in sets if not x & own] + [own.union(*met)]
+        want[event] = len(sets)
+    searched, components = [], events.connected_components
+    monkeypatch.setattr(events, "connected_components", lambda edges: searched.append(edges.count()) or components(edges))
+    got = events.independent_voices(spark.createDataFrame(rows, "node long, event string, source_id string, media_group string, person_id string"))
+    assert {r.event: r.voices for r in got.collect()} == want and want["tree"] == 1
+    assert searched[0] < 60
+
+
 def test_coverage_and_availability(spark):
     ev = spark.createDataFrame([("a", AT), ("a", hours(3)), ("b", AT), ("b", None)], "event string, first_fetch timestamp")
     assert {r.event: r.observable_from for r in events.observable_from(ev).collect()} == {"a": AT, "b": None}

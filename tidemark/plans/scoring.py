@@ -128,7 +128,7 @@ def q13_independent_voices(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_orderkey").alias("event"), (F.col("l_orderkey") * 100_000_000 + F.col("l_partkey") * 10_000 + F.col("l_suppkey")).alias("node"), F.col("l_suppkey").cast("string").alias("source_id"),
         F.when(F.col("l_suppkey") % 3 > 0, F.col("s_nationkey").cast("string")).alias("media_group"), F.when(F.col("l_partkey") % 4 == 0, (F.col("l_partkey") % 50).cast("string")).alias("person_id"),
     )
-    return events.independent_voices(ev.dropDuplicates(["node"]))
+    return events.independent_voices(ev)
 
 
 _MATCH_SQL = f"""{TITLED}, k AS (

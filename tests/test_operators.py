@@ -282,6 +282,16 @@ def test_health_decisions(spark):
     assert all(r.x == r.want for r in df.select("want", ledgers.health_decision(*[F.col(c) for c in "lfsdp"]).alias("x")).collect())
 
 
+def test_rows_of_a_similarity_join_carry_numbers(spark):
+    """A row of the join repeats its set for each token of its prefix: as words, long ones made it many times as large."""
+    words = [f"{'w' * 200}{k}" for k in range(6)]
+    rows = spark.createDataFrame([(1, words[:5], "a"), (2, words[:4], "a"), (3, words[4:], "a"), (4, words[:5], "b"), (5, [], "a"), (6, [None, words[0]], "b")], "id long, tokens array<string>, s string")
+    met = similarity.candidates(rows, rows, 0.3, ("s",), once=True)
+    assert dict(met.dtypes)["left_order"] == dict(met.dtypes)["right_order"] == "array<bigint>"
+    got = {(r.left, r.right, round(r.similarity, 6)) for r in similarity.similar_pairs(rows, rows, 0.1, ("s",), once=True).collect()}
+    assert got == {(1, 2, 0.8), (1, 3, 0.166667), (4, 6, 0.2)}
+
+
 def test_boards(spark):
     now = spark.createDataFrame([("a", 1300, AT), ("b", 260, AT), ("c", 900, AT), ("d", 5, AT)], "name string, stars long, at timestamp")
     before = spark.createDataFrame([("a", 1000, hours(-24)), ("b", 200, hours(-24)), ("d", 4, hours(-6))], "name string, prev_stars long, prev_at timestamp")

@@ -12,22 +12,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.numbers import jaccard
+from tidemark.shared import stored
 
 #: Keeps products of a threshold and a size on the right side of a whole number.
 EPSILON = 1e-9
 
 
 def _ranked(rows: DataFrame, counts: DataFrame) -> DataFrame:
-    """rows (id, tokens, …) with tokens ordered from rare to frequent; sets without a token go."""
+    """rows (id, tokens, …) with the numbers of their tokens, from rare to frequent; sets without a token go."""
     each = rows.select("id", F.explode("tokens").alias("token")).join(counts, "token")
-    order = each.groupBy("id").agg(F.transform(F.array_sort(F.collect_set(F.struct("n", "token"))), lambda x: x["token"]).alias("order"))
-    return rows.join(order.hint("merge"), "id")
+    order = each.groupBy("id").agg(F.transform(F.array_sort(F.collect_set(F.struct("n", "number"))), lambda x: x["number"]).alias("order"))
+    return rows.drop("tokens").join(order.hint("merge"), "id")
 
 
 def candidates(left: DataFrame, right: DataFrame, threshold: float, by: tuple[str, ...] = (), hours: float | None = None, once: bool = False) -> DataFrame:
     """(left, right, left_order, right_order) of pairs that may be at least `threshold` alike; see similar_pairs()."""
     sides = left if once else left.select("tokens").unionByName(right.select("tokens"))
     counts = sides.select(F.explode(F.array_distinct("tokens")).alias("token")).groupBy("token").agg(F.count("*").alias("n"))
+    # each row of the join carries its set, which takes less room as numbers than as words
+    counts = stored(counts.withColumn("number", F.monotonically_increasing_id()))
     slot = F.floor(F.unix_micros(F.col("at").cast("timestamp")) / (hours * 3_600_000_000)) if hours is not None else F.lit(0)
     near = F.array(*[slot + d for d in (-1, 0, 1)]) if hours is not None else F.array(slot)
     size = F.size("order")

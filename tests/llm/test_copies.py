@@ -3,9 +3,11 @@
 import hashlib
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -105,6 +107,38 @@ def test_a_passage_of_all_documents(spark):
     assert first.filter("salt is null").groupBy("d0").count().agg(F.max("count")).first()[0] <= 2 < first.groupBy("d0").count().agg(F.max("count")).first()[0]
 
 
+def _shuffle_files(spark):
+    found = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString(" ").split()
+    return {f.rsplit("/", 1)[-1] for f in found if "/shuffle_" in f}
+
+
+def test_passes_leave_no_shuffle_files(spark, monkeypatch):
+    """Nor do they wait for the driver's garbage to be collected: what passes wrote would add up until then."""
+    monkeypatch.setattr(suffixes, "release", lambda spark: None, raising=False)
+    docs, before = documents(spark, _mixed_rows(60, 5)), _shuffle_files(spark)
+    suffixes.repeats(docs)
+    until = time.time() + 5
+    while (left := _shuffle_files(spark) - before) and time.time() < until:
+        time.sleep(0.1)
+    assert not left
+
+
+def test_identifiers_of_any_size(spark):
+    """Negative, large and shared ones, and none: which row is smaller is by the identifier, not by what rows are joined by."""
+    ids = [0, -1, -(1 << 62), 5, 5, 5, None, None, (1 << 46) - 1, 1 << 46, 1 << 62, (1 << 63) - 1, -(1 << 63)]
+    rows = [(ids[k % len(ids)], text, "en", "s") for k, (_, text, *_) in enumerate(_mixed_rows(80, 9))]
+    assert found_repeats(documents(spark, rows)) == plain_repeats([r[:2] for r in rows])
+
+
+def test_halves_of_values():
+    """A list of upper halves asks for each value that has one of them; a list of whole values for these alone."""
+    value, row = np.array([3 << 40, 7, (1 << 64) - 5], np.uint64), np.array([0, 0, 1])
+    whole = suffixes.Asked(pa.array([[3 << 40], [-5]], pa.list_(pa.int64())))
+    halves = suffixes.Asked(pa.array([[3 << 8], [-1]], pa.list_(pa.int32())))
+    assert whole.has(row, value).tolist() == halves.has(row, value).tolist() == [True, False, True]
+    assert halves.has(row, value + np.uint64(1)).tolist() == [True, False, True] != whole.has(row, value + np.uint64(1)).tolist()
+
+
 @given(st.lists(st.integers(0, 400), min_size=1, unique=True), st.integers(2, 60))
 @settings(max_examples=80, deadline=None)
 def test_spans(starts, threshold):

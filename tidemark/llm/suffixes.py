@@ -15,6 +15,9 @@ soon as its group can't hold another document:
 Digits are 64-bit fingerprints; a group of pass 2 or 4 is equal in two of them with different bases. A task sends one
 row for equal digits of what it holds, and marks the others as answered, so a passage that a third of all documents
 share isn't a third of a group.
+
+Each pass ends in a table in the shared folder, and its shuffle files go as soon as that is written. What a row is asked
+about is half a fingerprint: one that meets by chance is work for the next pass, whose digits are whole.
 """
 
 from __future__ import annotations
@@ -28,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import release, stored, tune, written
+from tidemark.llm.common import tune, written
 
 THRESHOLD = 50
 #: Bytes of the first digit: with fewer, runs are longer and more digits repeat by chance.
@@ -36,7 +39,7 @@ DIGIT = 26
 #: Windows that have a third digit in common.
 WIDTH = 9
 #: Bytes whose windows are looked at together; a longer text is cut, with THRESHOLD - 1 bytes in common.
-STEP = 1 << 18
+STEP = 1 << 16
 #: Rows that a task holds to find equal digits among them.
 HELD = 400_000
 
@@ -90,8 +93,8 @@ class Runs:
         self.rows, self.places = np.array([p[0] for p in pieces]), np.array([p[1] for p in pieces])
         ends = np.cumsum([len(p[2]) for p in pieces])
         self.starts = ends - [len(p[2]) for p in pieces]
-        self.prints = [Prints(data, b) for b in _BASES]
-        grams = self.prints[0].all(digit)
+        self.data, self._prints = data, []
+        grams = self.prints(1)[0].all(digit)
         # the smallest fingerprint, of equal ones the first: its place is the low half
         least, width, spread = (grams & _HIGH) | np.arange(len(grams), dtype=np.uint64), 1, threshold - digit + 1
         while 2 * width <= spread:
@@ -110,11 +113,16 @@ class Runs:
         self.piece = np.searchsorted(self.starts, self.first, "right") - 1
         self.row = self.rows[self.piece]
 
-    def stretches(self, which: np.ndarray) -> list[np.ndarray]:
-        """Two fingerprints of the whole stretch of each of these runs: its first and last window overlap or are one."""
+    def prints(self, n: int) -> list[Prints]:
+        """With the first n bases; made when they are asked for, as most passes need one."""
+        self._prints += [Prints(self.data, b) for b in _BASES[len(self._prints) : n]]
+        return self._prints[:n]
+
+    def stretches(self, which: np.ndarray, n: int) -> list[np.ndarray]:
+        """n fingerprints of the whole stretch of each of these runs: its first and last window overlap or are one."""
         first, end = self.first[which], self.end[which]
         shape = ((end - first) * 64 + self.anchor[which] - first).astype(np.uint64)
-        return [_mixed(p.at(first, self.threshold) * np.uint64(3) + _mixed(p.at(end - 1, self.threshold) + shape)) for p in self.prints]
+        return [_mixed(p.at(first, self.threshold) * np.uint64(3) + _mixed(p.at(end - 1, self.threshold) + shape)) for p in self.prints(n)]
 
     def windows(self, which: np.ndarray) -> np.ndarray:
         """The start of each window of these runs."""
@@ -126,7 +134,7 @@ class Runs:
         part, run = _counted(low, high + 1), np.repeat(which, high + 1 - low)
         anchor = self.anchor[run]
         first, end = np.maximum(anchor - part * WIDTH - WIDTH + 1, self.first[run]), np.minimum(anchor - part * WIDTH + 1, self.end[run])
-        common = self.prints[0].at(anchor - part * WIDTH, self.threshold - WIDTH + 1)
+        common = self.prints(1)[0].at(anchor - part * WIDTH, self.threshold - WIDTH + 1)
         return run, first, end, _mixed(common + part.astype(np.uint64) * np.uint64(_BASES[1]))
 
     def place(self, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -157,12 +165,15 @@ def _signed(x: np.ndarray) -> pa.Array:
 
 
 class Asked:
-    """Which values each row of a batch asks for, from a column of lists."""
+    """Which values each row of a batch asks for, from a column of lists: of whole values, or of their upper halves."""
 
     def __init__(self, lists: pa.Array) -> None:
         sizes = np.diff(np.asarray(lists.offsets)) if len(lists) else np.zeros(0, np.int64)
         self.rows = sizes > 0
-        self.keys = np.unique(self._key(np.repeat(np.arange(len(sizes)), sizes), np.asarray(lists.flatten()).view(np.uint64)))
+        half = pa.types.is_int32(lists.type.value_type)
+        self.shift = np.uint64(32 if half else 0)
+        values = np.asarray(lists.flatten()).view(np.uint32 if half else np.uint64).astype(np.uint64)
+        self.keys = np.unique(self._key(np.repeat(np.arange(len(sizes)), sizes), values))
 
     @staticmethod
     def _key(row: np.ndarray, value: np.ndarray) -> np.ndarray:
@@ -171,7 +182,7 @@ class Asked:
     def has(self, row: np.ndarray, value: np.ndarray) -> np.ndarray:
         if not len(self.keys):
             return np.zeros(len(row), bool)
-        key = self._key(row, value)
+        key = self._key(row, value >> self.shift)
         return self.keys[np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)] == key
 
 
@@ -218,45 +229,52 @@ def _texts(docs: DataFrame, threshold: int) -> DataFrame:
 
 
 def _row_key():
-    return F.xxhash64("id", "text")
+    """The identifier and 16 bits of the text, so that rows that share an identifier don't share a list. It has few bytes
+    for what compresses a shuffle; an identifier too large for that is hashed."""
+    small = F.shiftleft("id", 16).bitwiseOR(F.xxhash64("text").bitwiseAND(0xFFFF))
+    return F.when(F.col("id").between(0, (1 << 46) - 1), small).otherwise(F.xxhash64("id", "text"))
 
 
 def _pass(rows: DataFrame, n_digits: int, threshold: int, choose, ends: bool = False) -> DataFrame:
-    """rows (row_key, id, text, asked) as rows of a pass; choose gives digits and the run of each, from runs and lists."""
+    """rows (row_key, id, text, lists) as rows of a pass; choose gives digits and the row of each, from runs and lists."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = Sorted(n_digits, ends)
         for batch in batches:
             key, doc, texts = np.asarray(batch.column(0)), np.asarray(batch.column(1)), batch.column(2)
-            asked = Asked(batch.column(3)) if batch.num_columns > 3 else None
+            lists = [Asked(c) for c in batch.columns[3:]]
             for runs in runs_of(texts, threshold):
-                digits, row = choose(runs, asked)
+                digits, row = choose(runs, *lists)
                 yield from held.add([*[d.view(np.int64) for d in digits], doc[row], key[row]])
         yield from held.flush()
 
     return rows.mapInArrow(run, ", ".join([*[f"d{k} long" for k in range(n_digits)], "id long", "row_key long", "salt long"]))
 
 
-def _first_digit(runs: Runs, asked: Asked | None):
+def _first_digit(runs: Runs):
     return [runs.digit], runs.row
 
 
-def _second_digit(runs: Runs, asked: Asked):
-    which = np.flatnonzero(asked.has(runs.row, runs.digit))
-    return [runs.digit[which], *runs.stretches(which)], runs.row[which]
+def _second_digit(runs: Runs, grams: Asked):
+    which = np.flatnonzero(grams.has(runs.row, runs.digit))
+    return [runs.digit[which], *runs.stretches(which, 2)], runs.row[which]
 
 
-def _third_digit(runs: Runs, asked: Asked):
+def _left(runs: Runs, stretches: Asked) -> np.ndarray:
     every = np.arange(len(runs.first))
-    run, _, _, common = runs.shares(every[asked.has(runs.row, runs.stretches(every)[0])])
+    return every[stretches.has(runs.row, runs.stretches(every, 1)[0])]
+
+
+def _third_digit(runs: Runs, stretches: Asked):
+    run, _, _, common = runs.shares(_left(runs, stretches))
     return [common], runs.row[run]
 
 
-def _last_digit(runs: Runs, asked: Asked):
-    run, first, end, common = runs.shares(np.arange(len(runs.first)))
-    left = asked.has(runs.row[run], common)
+def _last_digit(runs: Runs, stretches: Asked, shares: Asked):
+    run, first, end, common = runs.shares(_left(runs, stretches))
+    left = shares.has(runs.row[run], common)
     start = _counted(first[left], end[left])
-    return [p.at(start, runs.threshold) for p in runs.prints], runs.place(start)[0]
+    return [p.at(start, runs.threshold) for p in runs.prints(2)], runs.place(start)[0]
 
 
 def _smallest(rows: DataFrame, n_digits: int) -> DataFrame:
@@ -265,9 +283,9 @@ def _smallest(rows: DataFrame, n_digits: int) -> DataFrame:
     return rows.withColumn("lost", F.col("salt").isNotNull() | (F.col("id") > F.min("id").over(group)))
 
 
-def _asking(rows: DataFrame, value: str) -> DataFrame:
-    """(row_key, asked): the values that each row is asked about; a list is no longer than its row's text."""
-    return rows.groupBy("row_key").agg(F.collect_list(value).alias("asked"))
+def _asking(rows: DataFrame, value: str, name: str) -> DataFrame:
+    """(row_key, name): upper halves of the values that each row is asked about; a list is no longer than its row's text."""
+    return rows.groupBy("row_key").agg(F.collect_list(F.shiftright(value, 32).cast("int")).alias(name))
 
 
 def repeats(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
@@ -279,56 +297,38 @@ def repeats(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     no rows. Other columns are ignored. Ranges are maximal and in order; kept is binary, as a cut may split a character.
     """
     tune(docs.sparkSession)
-    asked = _repeated_grams(docs, threshold)
-    release(docs.sparkSession)
-    judged = _judged_stretches(docs, threshold, asked)
-    asked = None
-    release(docs.sparkSession)
-    asked = _repeated_shares(docs, threshold, judged)
-    release(docs.sparkSession)
-    windows = _lost_windows(docs, threshold, asked)
-    release(docs.sparkSession)
-    gone = judged.filter("lost").select("row_key", "id", F.col("d1").alias("stretch"), F.lit(None).cast("long").alias("window"))
-    gone = gone.unionByName(windows.select("row_key", "id", F.lit(None).cast("long").alias("stretch"), F.col("d0").alias("window")))
-    gone = gone.groupBy("row_key", "id").agg(F.collect_list("stretch").alias("stretches"), F.collect_list("window").alias("windows"))
+    texts = _texts(docs, threshold)
+    grams = written(_again(_pass(texts, 1, threshold, _first_digit, ends=True), "grams"))
+    judged = written(_judged_stretches(_pass(texts.join(grams, "row_key"), 3, threshold, _second_digit)))
+    left = written(_stretches_left(judged))
+    shares = written(_again(_pass(texts.join(left, "row_key"), 1, threshold, _third_digit, ends=True), "shares"))
+    last = _pass(texts.join(left.join(shares, "row_key"), "row_key"), 2, threshold, _last_digit)
+    windows = written(_smallest(last, 2).filter("lost").select("row_key", F.col("d0").alias("window")))
+    gone = judged.filter("lost").select("row_key", F.col("d1").alias("stretch"), F.lit(None).cast("long").alias("window"))
+    gone = gone.unionByName(windows.select("row_key", F.lit(None).cast("long").alias("stretch"), "window"))
+    gone = gone.groupBy("row_key").agg(F.collect_list("stretch").alias("stretches"), F.collect_list("window").alias("windows")).join(left, "row_key", "left")
     every = docs.select(F.col("doc_id").cast("long").alias("id"), F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("text")).withColumn("row_key", _row_key())
-    none = F.array().cast("array<long>")
-    both = every.join(gone, ["row_key", "id"], "left").select("id", "text", F.coalesce("stretches", none).alias("stretches"), F.coalesce("windows", none).alias("windows"))
-    return _without(both, threshold)
-
+    lists = [F.coalesce(c, F.array().cast(f"array<{kind}>")).alias(c) for c, kind in (("stretches", "long"), ("windows", "long"), ("left", "int"))]
+    return _without(every.join(gone, "row_key", "left").select("id", "text", *lists), threshold)
 
-# Each pass is a function of its own: when it returns, nothing refers to its shuffle files, and release() has them deleted.
 
-
-def _again(rows: DataFrame) -> DataFrame:
-    """(row_key, asked): the digits of each row that another row has as well."""
+def _again(rows: DataFrame, name: str) -> DataFrame:
+    """(row_key, name): the digits of each row that another row has as well."""
     group = W.partitionBy("d0", "salt")
     again = rows.withColumn("again", F.col("salt").isNotNull() | (F.min("row_key").over(group) < F.max("row_key").over(group)))
-    return stored(_asking(again.filter("again"), "d0"))
-
-
-def _repeated_grams(docs: DataFrame, threshold: int) -> DataFrame:
-    return _again(_pass(_texts(docs, threshold), 1, threshold, _first_digit, ends=True))
+    return _asking(again.filter("again"), "d0", name)
 
 
-def _judged_stretches(docs: DataFrame, threshold: int, asked: DataFrame) -> DataFrame:
-    """(row_key, id, d0, d1, lost): stretches of runs with such digits; d0, the first digit, only where they aren't lost."""
-    rows = _pass(_texts(docs, threshold).join(asked, "row_key"), 3, threshold, _second_digit)
-    return written(_smallest(rows, 3).select("row_key", "id", F.when(~F.col("lost"), F.col("d0")).alias("d0"), "d1", "lost"))
+def _judged_stretches(rows: DataFrame) -> DataFrame:
+    """(row_key, d0, d1, lost): stretches of runs with such digits; d0, the first digit, only where they aren't lost."""
+    return _smallest(rows, 3).select("row_key", F.when(~F.col("lost"), F.col("d0")).alias("d0"), "d1", "lost")
 
 
-def _repeated_shares(docs: DataFrame, threshold: int, judged: DataFrame) -> DataFrame:
-    """Of the runs left, those whose first digit has stretches of several documents, and what their windows share."""
+def _stretches_left(judged: DataFrame) -> DataFrame:
+    """(row_key, left): of the runs left, the stretches of those whose first digit has stretches of several rows."""
     firsts = judged.filter("not lost")
-    mixed = firsts.groupBy("d0").agg(F.min("id").alias("low"), F.max("id").alias("high")).filter("low < high").select("d0")
-    asked = _asking(firsts.join(mixed, "d0"), "d1")
-    return _again(_pass(_texts(docs, threshold).join(asked, "row_key"), 1, threshold, _third_digit, ends=True))
-
-
-def _lost_windows(docs: DataFrame, threshold: int, asked: DataFrame) -> DataFrame:
-    """(row_key, id, d0): windows that a document with a smaller identifier has as well."""
-    rows = _pass(_texts(docs, threshold).join(asked, "row_key"), 2, threshold, _last_digit)
-    return written(_smallest(rows, 2).filter("lost").select("row_key", "id", "d0"))
+    mixed = firsts.groupBy("d0").agg(F.min("row_key").alias("low"), F.max("row_key").alias("high")).filter("low < high").select("d0")
+    return _asking(firsts.join(mixed, "d0"), "d1", "left")
 
 
 SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
@@ -336,18 +336,19 @@ OUT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("spans", SPAN
 
 
 def _without(rows: DataFrame, threshold: int) -> DataFrame:
-    """rows (id, text, stretches, windows) with what they name taken out."""
+    """rows (id, text, stretches, windows, left) with what they name taken out; windows are looked for in what was left."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, stretches, windows = batch.column(1), Asked(batch.column(2)), Asked(batch.column(3))
+            texts, stretches, windows, left = batch.column(1), *map(Asked, batch.columns[2:])
             at: dict[int, list[np.ndarray]] = {}
             for runs in runs_of(texts, threshold, stretches.rows | windows.rows):
                 every = np.arange(len(runs.first))
-                lost = stretches.has(runs.row, runs.stretches(every)[0])
-                start = runs.windows(every[~lost])
+                own = runs.stretches(every, 1)[0]
+                lost = stretches.has(runs.row, own)
+                start = runs.windows(every[~lost & windows.rows[runs.row] & left.has(runs.row, own)])
                 row = runs.place(start)[0]
-                start = np.concatenate((runs.windows(every[lost]), start[windows.has(row, runs.prints[0].at(start, threshold))]))
+                start = np.concatenate((runs.windows(every[lost]), start[windows.has(row, runs.prints(1)[0].at(start, threshold))]))
                 row, place = runs.place(np.sort(start))
                 for r, own in zip(*_by_row(row, place), strict=True):
                     at.setdefault(int(r), []).append(own)
